@@ -19,14 +19,13 @@ def stamp(as_of: datetime | None) -> Column:
 def whole_seconds(df: DataFrame, name: str) -> Column:
     """Seconds since the epoch, rounded down.
 
-    Wall-clock columns are counted field by field: casting them to ``timestamp`` first would
-    make the difference of two of them depend on the session zone's daylight saving.
+    Wall-clock columns are not cast to ``timestamp`` for this: the difference of two of them
+    would depend on the session zone's daylight saving.
     """
-    column = F.col(name)
     if not isinstance(df.schema[name].dataType, T.TimestampNTZType):
-        return F.unix_seconds(column)
-    day = F.unix_date(F.to_date(column)).cast("long")
-    return day * 86400 + F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+        return F.unix_seconds(name)
+    micros = f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01', {name})"
+    return F.expr(f"floor({micros} / 1000000)")
 
 
 def minutes_between(df: DataFrame, start: str, end: str) -> Column:

@@ -20,7 +20,7 @@ from tripweave.operators.rules import (
 )
 from tripweave.plans import bronze, gold, silver
 from tripweave.sinks import read_dataset, write_dataset
-from tripweave.sources.trip_files import read_trips, with_ingestion_metadata
+from tripweave.sources.trip_files import is_splittable, read_trips, with_ingestion_metadata
 from tripweave.streaming.trip_stream import stream_folder, stream_trips
 
 
@@ -34,6 +34,7 @@ class DatasetSpec:
     inputs: tuple[str, ...]
     properties: Mapping[str, str] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
+    few_rows_per_partition: bool = False
     rules: Rules = field(default_factory=dict)
     mode: str = "warn"
 
@@ -99,6 +100,7 @@ DATASETS = (
         ("silver_taxi_trips",),
         {"quality": "silver"},
         partition_by=_DAY,
+        few_rows_per_partition=True,
     ),
     DatasetSpec(
         "silver_hourly_location_stats",
@@ -107,6 +109,7 @@ DATASETS = (
         ("silver_taxi_trips",),
         {"quality": "silver"},
         partition_by=_DAY,
+        few_rows_per_partition=True,
     ),
     DatasetSpec(
         "silver_payment_analysis",
@@ -229,6 +232,8 @@ def store_layers(
             rows,
             fmt=config.table_format,
             partition_by=spec.partition_by,
+            few_rows_each=spec.few_rows_per_partition,
+            rebalance=SOURCE in spec.inputs and not is_splittable(config.source_path),
             comment=spec.comment,
             properties=spec.properties,
             **target,

@@ -16,7 +16,7 @@ from tripweave.functions.labels import first_match
 from tripweave.functions.measures import extend
 from tripweave.operators.quality import QualityCheck, quality_score
 from tripweave.sinks import read_dataset, write_dataset
-from tripweave.sources.trip_files import read_trips, read_trips_inferred
+from tripweave.sources.trip_files import is_splittable, read_trips, read_trips_inferred
 
 log = logging.getLogger(__name__)
 
@@ -97,7 +97,8 @@ def ingest_trips(
             else read_trips(spark, source_path, schema)
         )
         records = with_job_metadata(clean_trips(source), labels, as_of)
-        write_dataset(records, table=table, path=path, fmt=fmt)
+        rebalance = not is_splittable(source_path)
+        write_dataset(records, table=table, path=path, fmt=fmt, rebalance=rebalance)
         stored = read_dataset(spark, records, table=table, path=path, fmt=fmt)
         found = quality_score(stored, JOB_CHECK).first().asDict()
     except Exception:

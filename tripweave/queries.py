@@ -148,7 +148,7 @@ def partitioned_sink(spark: SparkSession, folder: str) -> DataFrame:
     """Daily statistics written by pickup date and read back."""
     stats = _layers(spark, folder)["silver_daily_trip_stats"]
     path = scratch_path(spark, "daily-stats")
-    write_dataset(stats, path=path, partition_by=["pickup_date"])
+    write_dataset(stats, path=path, partition_by=["pickup_date"], few_rows_each=True)
     return _plain(read_dataset(spark, stats, path=path))
 
 
