@@ -26,6 +26,7 @@ EXPECTED_MILES_PER_TRIP = 10
 FRESHNESS_HOURS = 24
 MIN_ROUTE_TRIPS = 10
 TREND_WEEKS = 4
+RECENT_DAYS = (7, 30)
 QUALITY_STATUS = "Good"
 
 
@@ -221,8 +222,8 @@ def executive_summary(
 ) -> DataFrame:
     """One row: the latest day against the mean day of the 7 and 30 days before and itself.
 
-    With stored ``daily_stats`` only the latest day's trips are read: the latest date is
-    broadcast as one row and joined on the date, which prunes a date-partitioned table.
+    With stored ``daily_stats`` only the latest day's trips and the recent days' statistics
+    are read: the latest date is a scalar subquery, whose value prunes date partitions.
     Without them one pass over ``trips`` gives all figures per day first.
     """
     if daily_stats is None:
@@ -241,15 +242,16 @@ def executive_summary(
 
 
 def _summary_from_latest(trips: DataFrame, daily_stats: DataFrame) -> DataFrame:
-    latest = F.broadcast(trips.agg(F.max("pickup_date").alias("latest_date")))
-    today = trips.join(latest, F.col("pickup_date") == F.col("latest_date")).agg(
+    latest = trips.select(F.max("pickup_date")).scalar()
+    today = trips.filter(F.col("pickup_date") == latest).agg(
         F.max("pickup_date").alias("report_date"),
         rows().alias("trips_today"),
         F.sum("total_amount").alias("revenue_today"),
         F.avg("total_amount").alias("avg_revenue_per_trip_today"),
     )
-    recent = daily_stats.join(latest, _within_days(30)).agg(*_recent_means())
-    return today.crossJoin(F.broadcast(recent))
+    recent = daily_stats.filter(F.col("pickup_date") >= F.date_sub(latest, max(RECENT_DAYS)))
+    means = recent.withColumn("latest_date", latest).agg(*_recent_means())
+    return today.crossJoin(F.broadcast(means))
 
 
 def _summary_from_days(trips: DataFrame) -> DataFrame:
@@ -278,15 +280,15 @@ def _summary_from_days(trips: DataFrame) -> DataFrame:
     )
 
 
-def _within_days(days: int) -> Column:
-    """Dates from ``days`` before the latest one on: ``days + 1`` calendar days."""
-    return F.col("pickup_date") >= F.date_sub("latest_date", days)
-
-
 def _recent_means() -> list[Column]:
+    """Means over the dates from ``days`` before the latest on: ``days + 1`` calendar days."""
     return [
-        F.avg(F.when(_within_days(days), F.col(f"total_{what}"))).alias(f"avg_{what}_{days}d")
-        for days in (7, 30)
+        F.avg(
+            F.when(
+                F.col("pickup_date") >= F.date_sub("latest_date", days), F.col(f"total_{what}")
+            )
+        ).alias(f"avg_{what}_{days}d")
+        for days in RECENT_DAYS
         for what in ("trips", "revenue")
     ]
 
