@@ -1,0 +1,38 @@
+from pathlib import Path
+
+import pytest
+
+from tests.test_sources import GOOD, HEADER
+from tripweave.__main__ import main
+
+
+@pytest.fixture
+def source(tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "trips.csv").write_text(f"{HEADER}\n{GOOD}\n{GOOD}\n")
+    return str(tmp_path / "in")
+
+
+def test_layers(spark, source, tmp_path, capsys):
+    out = tmp_path / "out"
+    main(["layers", "--source-path", source, "--output-path", str(out), "--environment", "dev"])
+    assert "gold_executive_summary" in capsys.readouterr().out
+    assert len(list(out.iterdir())) == 15
+    assert spark.read.parquet(str(out / "silver_taxi_trips")).count() == 1
+    row = spark.read.parquet(str(out / "bronze_taxi_raw")).first()
+    assert row.environment == "dev" and Path(row.source_file).name == "trips.csv"
+    (summary,) = spark.read.parquet(str(out / "gold_executive_summary")).collect()
+    assert (str(summary.report_date), summary.revenue_today) == ("2019-01-01", 9.95)
+
+
+def test_ingest_into_a_table(spark, source, capsys):
+    main(["ingest", "--source-path", source, "--data-source", "trips", "--table", "cli_trips"])
+    printed = capsys.readouterr().out
+    assert "spark_catalog.default.cli_trips" in printed and "success" in printed
+    assert spark.table("cli_trips").count() == 2
+    assert spark.table("cli_trips").first().data_source == "trips"
+
+
+def test_one_target_is_needed(source):
+    with pytest.raises(SystemExit):
+        main(["ingest", "--source-path", source, "--data-source", "trips"])

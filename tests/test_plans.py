@@ -7,7 +7,7 @@ import pytest
 from tripweave.operators.ranking import overall_dense_rank
 from tripweave.plans import gold, silver
 from tripweave.plans.datasets import Layers
-from tripweave.sources.lineitem_trips import load_lineitem_trips
+from tripweave.sources.lineitem_trips import trips_from_lineitem
 from tripweave.sources.trip_files import with_ingestion_metadata
 
 # Above this size a method is interpreted: the JVM does not compile it.
@@ -31,8 +31,8 @@ def lines_below(plan, marker):
 
 @pytest.fixture(scope="module")
 def lazy(spark, small):
-    trips = with_ingestion_metadata(load_lineitem_trips(spark, small), from_files=False)
-    return Layers(trips)
+    trips = trips_from_lineitem(spark.read.parquet(f"{small}/lineitem.parquet"))
+    return Layers(with_ingestion_metadata(trips, from_files=False))
 
 
 @pytest.fixture(scope="module")

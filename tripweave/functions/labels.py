@@ -39,7 +39,9 @@ def first_match(cases: Sequence[tuple[Column, str]], default: str) -> Column:
 
 
 def code_label(code: str, labels: dict[int, str]) -> Column:
-    return first_match([(F.col(code) == key, text) for key, text in labels.items()], UNKNOWN)
+    """Label of a code column."""
+    cases = " ".join(f"WHEN {key} THEN '{text}'" for key, text in labels.items())
+    return F.expr(f"CASE {code} {cases} ELSE '{UNKNOWN}' END")
 
 
 def day_part(hour: str) -> Column:

@@ -44,7 +44,9 @@ def refine_trips(enriched: DataFrame, as_of: datetime | None = None) -> DataFram
         "time_of_day": day_part("pickup_hour"),
         "silver_processed_timestamp": stamp(as_of),
     }
-    return unique.select(*(derived.get(n, F.col(n)).alias(n) for n in SILVER_TRIP_COLUMNS))
+    return unique.select(
+        *(derived[n].alias(n) if n in derived else n for n in SILVER_TRIP_COLUMNS)
+    )
 
 
 def silver_trips(enriched: DataFrame, as_of: datetime | None = None) -> DataFrame:

@@ -42,17 +42,15 @@ _SPEED_MEANS = ("avg_speed",)
 
 def _plain(df: DataFrame) -> DataFrame:
     """``df`` without clock columns, zoned times as wall-clock, mean speeds rounded."""
-    kinds = dict(df.dtypes)
-
-    def shown(name: str):
-        column = F.col(name)
-        if kinds[name] == "timestamp":
-            column = column.cast("timestamp_ntz")
+    shown = []
+    for name, kind in df.dtypes:
         if name in _SPEED_MEANS:
-            column = F.round(column, 6)
-        return column.alias(name)
-
-    return df.select(*(shown(name) for name in df.columns if name not in _CLOCK))
+            shown.append(F.round(name, 6).alias(name))
+        elif kind == "timestamp" and name not in _CLOCK:
+            shown.append(F.col(name).cast("timestamp_ntz").alias(name))
+        elif name not in _CLOCK:
+            shown.append(name)
+    return df.select(*shown)
 
 
 def _layers(spark: SparkSession, folder: str) -> Layers:

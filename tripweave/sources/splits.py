@@ -1,0 +1,22 @@
+"""Spreading an input that a scan would hand to too few tasks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# A split is divided into at most so many tasks, which keeps them from becoming tiny.
+TASKS_PER_SPLIT = 16
+
+
+def spread_few_splits(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if it has fewer splits than there are cores, else unchanged.
+
+    A file of one row group, or one gzip file, is read by one task however many cores wait.
+    Large inputs have more splits than cores and are not shuffled. Rows go by the hash of all
+    columns, which spares the sort that makes a round-robin repeatable.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
+    if splits >= cores:
+        return df
+    return df.repartition(min(cores, splits * TASKS_PER_SPLIT), *df.columns)
