@@ -15,7 +15,7 @@ from tripweave.plans.datasets import (
     store_layers,
 )
 from tripweave.plans.ingest_job import JobLabels, clean_trips, ingest_trips, with_job_metadata
-from tripweave.schemas import TRIPS
+from tripweave.schemas import TRIPS, TRIPS_GEO
 from tripweave.session import cluster_conf, scratch_path
 from tripweave.sinks import write_dataset
 from tripweave.sources.lineitem_trips import load_lineitem_trips
@@ -216,3 +216,18 @@ def test_ingest_job_raises(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         ingest_trips(spark, str(tmp_path / "none"), JobLabels("x"), path=str(tmp_path / "out"))
 
+
+
+def test_ingest_job_with_coordinates(spark, tmp_path):
+    (tmp_path / "in.csv").write_text(
+        ",".join(TRIPS_GEO.names) + "\n"
+        "1,2015-01-15 19:05:39,2015-01-15 19:23:42,0,1.59,-73.99,40.75,1,N,-73.97,40.75,1,12,1,0.5,3.25,0,17.05\n"
+    )
+    path = str(tmp_path / "out")
+    ingest_trips(spark, str(tmp_path / "in.csv"), JobLabels("x"), path=path, schema=TRIPS_GEO)
+    row = spark.read.parquet(path).first()
+    assert (row.VendorID, row.pickup_longitude, row.passenger_count_clean) == ("1", -73.99, 1.0)
+    assert (row.pickup_datetime, row.data_quality_flag) == (
+        dt.datetime(2015, 1, 15, 19, 5, 39),
+        "CLEAN",
+    )
