@@ -7,6 +7,7 @@ import pytest
 from tripweave.operators.ranking import overall_dense_rank
 from tripweave.plans import gold, silver
 from tripweave.plans.datasets import Layers
+from tripweave.sinks import write_dataset
 from tripweave.sources.lineitem_trips import trips_from_lineitem
 from tripweave.sources.trip_files import with_ingestion_metadata
 
@@ -119,3 +120,22 @@ def test_generated_methods_stay_compilable(spark, lazy):
 def test_no_python_in_any_plan(lazy):
     for name, df in lazy.items():
         assert not re.search("Python|Pandas|Arrow", plan_of(df)), name
+
+
+def test_hot_date_is_written_by_several_tasks(spark, tmp_path):
+    """A date with nearly all rows gets several files; most others, not hashed to it, get one."""
+    rows = spark.range(200_000).selectExpr(
+        "if(id % 1000 = 0, date_add(DATE'2020-01-01', int(id / 1000) % 5), DATE'2021-01-01') d",
+        "uuid() payload",
+    )
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "1MB")
+    try:
+        write_dataset(rows, path=str(tmp_path / "out"), partition_by=["d"])
+    finally:
+        spark.conf.unset(size)
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "out").glob("d=*")}
+    hot = files.pop("d=2021-01-01")
+    assert hot > 3 and len(files) == 5
+    assert sorted(files.values())[2] == 1 and max(files.values()) <= hot
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 200_000

@@ -407,6 +407,12 @@ def oracle_sql() -> dict[str, str]:
             CAST(100 AS DOUBLE) - {_null_pct("tpep_pickup_datetime")} * 2
                 - {_null_pct("total_amount")} * 2 AS quality_score
         FROM trips""",
+        "ingest_job": _with("trips")
+        + f"""SELECT 'success' AS status, count(*) AS records_processed,
+            count(*) AS records_written,
+            CAST(100 AS DOUBLE) - {_null_pct("tpep_pickup_datetime")} * 2
+                - {_null_pct("total_amount")} * 2 AS quality_score
+        FROM trips""",
         "multi_table_quality": "\nUNION ALL\n".join(
             (
                 _table_quality("orders", ["o_orderdate"], ["o_totalprice"]),

@@ -16,7 +16,7 @@ from tripweave.operators.changes import snapshot_changes
 from tripweave.operators.quality import QualityCheck, quality_by_table, quality_score
 from tripweave.plans import gold
 from tripweave.plans.datasets import Layers, rule_report
-from tripweave.plans.ingest_job import JOB_CHECK, clean_trips
+from tripweave.plans.ingest_job import JOB_CHECK, JobLabels, clean_trips, ingest_trips
 from tripweave.plans.presentation import in_reading_order, latest_days, quality_trend
 from tripweave.schemas import TRIP_KEY, TRIPS, trip_schema
 from tripweave.session import scratch_path
@@ -111,6 +111,15 @@ def job_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_score(load_lineitem_trips(spark, folder), JOB_CHECK)
 
 
+def ingest_job(spark: SparkSession, folder: str) -> DataFrame:
+    """Summary of the stand-alone job over the trips as gzip files, types inferred."""
+    target = scratch_path(spark, "job")
+    summary = ingest_trips(spark, _trip_csv(spark, folder), JobLabels("lineitem"), path=target)
+    shown = ("status", "records_processed", "records_written", "quality_score")
+    layout = "status string, records_processed long, records_written long, quality_score double"
+    return spark.createDataFrame([tuple(summary[name] for name in shown)], layout)
+
+
 def multi_table_quality(spark: SparkSession, folder: str) -> DataFrame:
     checks = {
         "orders": QualityCheck(("o_orderdate",), ("o_totalprice",)),
@@ -186,6 +195,7 @@ def queries() -> dict[str, Query]:
         "expectation_report": expectations,
         "job_clean": job_clean,
         "job_quality": job_quality,
+        "ingest_job": ingest_job,
         "multi_table_quality": multi_table_quality,
         "latest_kpis_topk": latest_kpis_topk,
         "quality_trend": pass_rate_trend,
