@@ -33,6 +33,21 @@ def test_ingest_into_a_table(spark, source, capsys):
     assert spark.table("cli_trips").first().data_source == "trips"
 
 
+def test_check_tables(spark, capsys):
+    spark.sql("SELECT 1 AS id, -2.0D AS amount").write.mode("overwrite").saveAsTable("check_a")
+    spark.sql("SELECT int(NULL) AS id").write.mode("overwrite").saveAsTable("check_b")
+    main(
+        ["check", "--tables", "check_a,check_b", "--critical", "id", "--non-negative", "amount"]
+    )
+    cells = [line.split("|")[1:-1] for line in capsys.readouterr().out.splitlines()]
+    rows = [tuple(map(str.strip, row)) for row in cells if row]
+    assert rows[1:] == [
+        ("check_a", "id_null_percentage", "0.0", "1", "100.0"),
+        ("check_a", "amount_negative_count", "1.0", "1", "100.0"),
+        ("check_b", "id_null_percentage", "100.0", "1", "-100.0"),
+    ]
+
+
 def test_one_target_is_needed(source):
     with pytest.raises(SystemExit):
         main(["ingest", "--source-path", source, "--data-source", "trips"])

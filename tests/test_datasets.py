@@ -118,6 +118,17 @@ def test_sizes(layers):
         assert layers[name].count() == size, name
 
 
+def test_nothing_in_nothing_out(spark):
+    """No dataset fails without input; the two one-row datasets keep their row."""
+    source = with_ingestion_metadata(spark.createDataFrame([], TRIPS), from_files=False)
+    empty = Layers(source, AS_OF)
+    for name in SIZES:
+        one_row = name in ("silver_data_quality", "gold_executive_summary")
+        assert empty[name].count() == int(one_row), name
+    assert all(row.passed == row.failed == 0 for row in rule_report(empty).collect())
+    assert clean_trips(source).isEmpty()
+
+
 def test_rule_report(layers):
     report = {
         (dataset, rule): (passed, failed)

@@ -74,6 +74,11 @@ def test_several_tables(spark):
     ]
 
 
+def test_a_table_without_checks_is_an_error(spark):
+    with pytest.raises(ValueError, match="bare"):
+        quality_by_table({"bare": (spark.range(1), QualityCheck(()))})
+
+
 def test_snapshot_changes(spark):
     layout = "k int, j int, v double"
     old = spark.createDataFrame(

@@ -1,8 +1,9 @@
-"""Command line: store all datasets, or run the stand-alone ingestion.
+"""Command line: store all datasets, run the stand-alone ingestion, or score tables.
 
     python -m tripweave layers --source-path /data/trips.csv.gz --output-path /lake/trips
     python -m tripweave ingest --source-path /data/trips.csv.gz --data-source trips_public \\
         --catalog spark_catalog --schema default --table trips_bronze
+    python -m tripweave check --tables trips_bronze,other_table --critical id,ts
 """
 
 from __future__ import annotations
@@ -10,9 +11,10 @@ from __future__ import annotations
 import argparse
 import logging
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tripweave.config import PipelineConfig, table_path
+from tripweave.operators.quality import QualityCheck, quality_by_table
 from tripweave.plans.datasets import DATASETS, STREAM, store_layers
 from tripweave.plans.ingest_job import JobLabels, ingest_trips
 from tripweave.schemas import TRIPS
@@ -30,15 +32,34 @@ def parser() -> argparse.ArgumentParser:
     ingest = commands.add_parser("ingest", help="clean and score trip files into one table")
     ingest.add_argument("--source-path", required=True)
     ingest.add_argument("--data-source", required=True, help="label of the records' origin")
-    ingest.add_argument("--catalog", default="spark_catalog")
-    ingest.add_argument("--schema", default="default")
     target = ingest.add_mutually_exclusive_group(required=True)
     target.add_argument("--table")
     target.add_argument("--path")
     ingest.add_argument("--infer-schema", action="store_true")
+
+    check = commands.add_parser("check", help="quality scores of several tables")
+    check.add_argument("--tables", required=True, type=_names, help="names, comma-separated")
+    check.add_argument("--critical", default=[], type=_names, help="columns scored by NULLs")
+    check.add_argument("--non-negative", default=[], type=_names)
+    for command in (ingest, check):
+        command.add_argument("--catalog", default="spark_catalog")
+        command.add_argument("--schema", default="default")
     return top
 
 
+def _names(text: str) -> list[str]:
+    return text.split(",")
+
+
+def _check_of(df: DataFrame, critical: list[str], non_negative: list[str]) -> QualityCheck:
+    """The check for the columns that ``df`` has."""
+    present = set(df.columns)
+    return QualityCheck(
+        [name for name in critical if name in present],
+        [name for name in non_negative if name in present],
+    )
+
+
 def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     given = vars(parser().parse_args(argv))
@@ -51,6 +72,17 @@ def main(argv: list[str] | None = None) -> None:
         print("datasets      ", *(spec.name for spec in DATASETS), STREAM)
         store_layers(spark, config)
         return
+    if command == "check":
+        tables = {
+            name: spark.table(table_path(given["catalog"], given["schema"], name))
+            for name in given["tables"]
+        }
+        wanted = (given["critical"], given["non_negative"])
+        scores = quality_by_table(
+            {name: (df, _check_of(df, *wanted)) for name, df in tables.items()}
+        )
+        scores.show(n=len(tables) * sum(map(len, wanted)), truncate=False)
+        return
     table = given["table"]
     summary = ingest_trips(
         spark,

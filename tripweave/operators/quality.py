@@ -61,6 +61,8 @@ def quality_by_table(tables: Mapping[str, tuple[DataFrame, QualityCheck]]) -> Da
 def _long_form(table: str, df: DataFrame, check: QualityCheck) -> DataFrame:
     metrics = [f"{name}_null_percentage" for name in check.critical]
     metrics += [f"{name}_negative_count" for name in check.non_negative]
+    if not metrics:
+        raise ValueError(f"no column of {table} to check")
     lines = [
         F.struct(F.lit(metric).alias("metric"), F.col(metric).cast("double").alias("value"))
         for metric in metrics
