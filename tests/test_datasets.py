@@ -232,7 +232,8 @@ def test_ingest_job_raises(spark, tmp_path):
 def test_ingest_job_with_coordinates(spark, tmp_path):
     (tmp_path / "in.csv").write_text(
         ",".join(TRIPS_GEO.names) + "\n"
-        "1,2015-01-15 19:05:39,2015-01-15 19:23:42,0,1.59,-73.99,40.75,1,N,-73.97,40.75,1,12,1,0.5,3.25,0,17.05\n"
+        "1,2015-01-15 19:05:39,2015-01-15 19:23:42,0,1.59,-73.99,40.75,1,N,-73.97,40.75,"
+        "1,12,1,0.5,3.25,0,17.05\n"
     )
     path = str(tmp_path / "out")
     ingest_trips(spark, str(tmp_path / "in.csv"), JobLabels("x"), path=path, schema=TRIPS_GEO)

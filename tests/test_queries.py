@@ -27,7 +27,7 @@ def test_every_query_has_a_twin():
 @pytest.mark.parametrize("name", sorted(QUERIES.keys() - SLOW))
 def test_query_equals_its_twin(spark, engine, small, name):
     found = QUERIES[name](spark, small).toArrow()
-    wanted = engine.execute(ORACLES[name]).to_arrow_table()
+    wanted = engine.sql(ORACLES[name]).to_arrow_table()
     assert sorted((f.name, str(f.type)) for f in found.schema) == sorted(
         (f.name, str(f.type)) for f in wanted.schema
     )

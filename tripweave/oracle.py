@@ -207,6 +207,21 @@ _ROUTES = f"""
                 {_rounded("avg(avg_speed_mph)", 6)} AS avg_speed
             FROM silver GROUP BY PULocationID, DOLocationID HAVING count(*) >= 10))"""
 
+_SUMMARY = f"""
+    SELECT *, {_percent("trips_today - avg_trips_7d", "avg_trips_7d")}
+            AS trips_vs_7d_avg_pct,
+        {_percent("revenue_today - avg_revenue_7d", "avg_revenue_7d")}
+            AS revenue_vs_7d_avg_pct,
+        'Good' AS data_quality_status
+    FROM (SELECT max(pickup_date) AS report_date, count(*) AS trips_today,
+            sum(total_amount) AS revenue_today,
+            avg(total_amount) AS avg_revenue_per_trip_today
+        FROM silver WHERE pickup_date = (SELECT max(pickup_date) FROM silver)),
+        (SELECT avg(total_trips) AS avg_trips_7d, avg(total_revenue) AS avg_revenue_7d
+        FROM daily WHERE pickup_date >= (SELECT max(pickup_date) FROM silver) - 7),
+        (SELECT avg(total_trips) AS avg_trips_30d, avg(total_revenue) AS avg_revenue_30d
+        FROM daily WHERE pickup_date >= (SELECT max(pickup_date) FROM silver) - 30)"""
+
 
 def _rules_sql(source: str, dataset: str, rules: dict[str, str]) -> str:
     return "\nUNION ALL\n".join(
@@ -329,20 +344,8 @@ def oracle_sql() -> dict[str, str]:
                 sum(total_amount) AS total_revenue, count(*) AS trip_count,
                 sum(trip_distance) AS total_miles
             FROM silver GROUP BY pickup_date, time_of_day, payment_type_name)""",
-        "executive_summary": _with("silver", _DAILY)
-        + f"""SELECT *, {_percent("trips_today - avg_trips_7d", "avg_trips_7d")}
-                AS trips_vs_7d_avg_pct,
-            {_percent("revenue_today - avg_revenue_7d", "avg_revenue_7d")}
-                AS revenue_vs_7d_avg_pct,
-            'Good' AS data_quality_status
-        FROM (SELECT max(pickup_date) AS report_date, count(*) AS trips_today,
-                sum(total_amount) AS revenue_today,
-                avg(total_amount) AS avg_revenue_per_trip_today
-            FROM silver WHERE pickup_date = (SELECT max(pickup_date) FROM silver)),
-            (SELECT avg(total_trips) AS avg_trips_7d, avg(total_revenue) AS avg_revenue_7d
-            FROM daily WHERE pickup_date >= (SELECT max(pickup_date) FROM silver) - 7),
-            (SELECT avg(total_trips) AS avg_trips_30d, avg(total_revenue) AS avg_revenue_30d
-            FROM daily WHERE pickup_date >= (SELECT max(pickup_date) FROM silver) - 30)""",
+        "executive_summary": _with("silver", _DAILY) + _SUMMARY,
+        "executive_summary_from_daily_stats": _with("silver", _DAILY) + _SUMMARY,
         "expectation_report": _with("silver")
         + "\nUNION ALL\n".join(
             (

@@ -26,7 +26,10 @@ from tripweave.streaming.trip_stream import stream_folder, stream_trips
 
 @dataclass(frozen=True)
 class DatasetSpec:
-    """One dataset: ``build(*inputs, as_of)`` gives its rows, then ``rules`` apply by ``mode``."""
+    """One dataset: ``build(*inputs, as_of)`` gives its rows, then ``rules`` apply by ``mode``.
+
+    ``lazy_inputs`` replace ``inputs`` where nothing is stored and fewer inputs cost less.
+    """
 
     name: str
     comment: str
@@ -37,13 +40,19 @@ class DatasetSpec:
     few_rows_per_partition: bool = False
     rules: Rules = field(default_factory=dict)
     mode: str = "warn"
+    lazy_inputs: tuple[str, ...] = ()
 
-    def candidates(self, layers: Mapping[str, DataFrame], as_of: datetime | None) -> DataFrame:
+    def candidates(
+        self, layers: Mapping[str, DataFrame], as_of: datetime | None, lazy: bool = False
+    ) -> DataFrame:
         """Rows before the rules."""
-        return self.build(*(layers[name] for name in self.inputs), as_of=as_of)
+        names = self.lazy_inputs if lazy and self.lazy_inputs else self.inputs
+        return self.build(*(layers[name] for name in names), as_of=as_of)
 
-    def rows(self, layers: Mapping[str, DataFrame], as_of: datetime | None) -> DataFrame:
-        return apply_expectations(self.candidates(layers, as_of), self.rules, self.mode)
+    def rows(
+        self, layers: Mapping[str, DataFrame], as_of: datetime | None, lazy: bool = False
+    ) -> DataFrame:
+        return apply_expectations(self.candidates(layers, as_of, lazy), self.rules, self.mode)
 
 
 def _unchanged(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
@@ -173,6 +182,7 @@ DATASETS = (
         gold.executive_summary,
         ("silver_taxi_trips", "silver_daily_trip_stats"),
         {"quality": "gold", _OWNED: "executive_team", "sla": "1_hour"},
+        lazy_inputs=("silver_taxi_trips",),
     ),
 )
 
@@ -206,7 +216,7 @@ class Layers(Mapping[str, DataFrame]):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._planned:
-            self._planned[name] = _SPECS[name].rows(self, self._as_of)
+            self._planned[name] = _SPECS[name].rows(self, self._as_of, lazy=True)
         return self._planned[name]
 
     def __iter__(self) -> Iterator[str]:

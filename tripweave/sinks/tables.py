@@ -14,8 +14,9 @@ def spread(
     """Even out the rows before a write, rows of one output partition together.
 
     In general adaptive execution (on by default) splits a value with very many rows over
-    several tasks, and lets small ones share a task. ``few_rows_each`` says that every output partition is small (such as
-    one summary row per day): then writing is opening files, which all cores share by value.
+    several tasks, and lets small ones share a task. ``few_rows_each`` says that every output
+    partition is small (such as one summary row per day): then writing is mostly opening
+    files, which all cores share by value.
     """
     if few_rows_each:
         # Hashed, so that an aggregation by the same columns does not make it redundant.
