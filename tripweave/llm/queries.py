@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import langid, packing, simhash, winnow
+from tripweave.llm import credentials, langid, packing, simhash, winnow
 from tripweave.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,12 +58,29 @@ def op8_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_credential_linking(spark: SparkSession, folder: str) -> DataFrame:
+    found = credentials.scan(table(spark, folder, "documents"))
+    numbers = F.transform("base", lambda s: s["kind"])
+    counts = [
+        (F.size(numbers) - F.size(F.array_remove(numbers, at))).cast("long").alias(f"n_{kind.name}")
+        for at, kind in enumerate(credentials.BASE)
+    ]
+    every = F.array_sort(F.concat("base", "linked"))
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(credentials.written(F.col("base")), 256).alias("base_sha256"),
+        credentials.written(every).alias("spans"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_harmonic_packing": op1_harmonic_packing,
         "op5_language_id": op5_language_id,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_winnowing": op8_winnowing,
+        "op9_credential_linking": op9_credential_linking,
     }
 
 
