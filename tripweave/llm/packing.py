@@ -18,6 +18,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -103,24 +104,31 @@ class TokenIds:
             for chunk, ids in zip(part, self._tokenize([c.decode() for c in part]), strict=True):
                 self.chunks[chunk] = ids.tobytes()
 
-    def __call__(self, text: bytes) -> bytes:
-        chunks = text.split()
+    def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text; chunks that are new in a group of texts are learned together."""
         known = self.chunks
-        if new := {chunk for chunk in chunks if chunk not in known}:
-            if len(known) > _CACHED or len(self.words) > _CACHED:
+        for group in _groups(texts):
+            parts = [text.split() for text in group]
+            new = set(chain.from_iterable(parts)).difference(known)
+            if len(known) + len(new) > _CACHED or len(self.words) > _CACHED:
                 known.clear()
                 self.words.clear()
-                new = set(chunks)
-            self._learn(new)
-        return b"".join(map(known.__getitem__, chunks))
-
-    def prepare(self, texts: list[bytes]) -> None:
-        """Learns what several texts need at once, which is faster than one by one."""
-        known, new = self.chunks, set()
-        for text in texts:
-            new.update(chunk for chunk in text.split() if chunk not in known)
-        if len(known) + len(new) <= _CACHED:
+                new = set(chain.from_iterable(parts))
             self._learn(new)
+            for chunks in parts:
+                yield b"".join(map(known.__getitem__, chunks))
+
+
+def _groups(texts: list[bytes], size: int = 1 << 22) -> Iterator[list[bytes]]:
+    group, held = [], 0
+    for text in texts:
+        group.append(text)
+        held += len(text)
+        if held >= size:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
 
 
 @lru_cache(maxsize=2)
@@ -197,10 +205,8 @@ def pack(
 
         for batch in batches:
             kind, keys, out = batch.schema.field(0).type, batch.column(0).to_pylist(), []
-            texts = blobs(batch.column(1))
-            ids_of.prepare(texts)
-            for name, body in zip(keys, texts, strict=True):
-                raw = ids_of(body) + _END
+            for name, raw in zip(keys, ids_of(blobs(batch.column(1))), strict=True):
+                raw += _END
                 total, start = len(raw) // 4, 0
                 for length in cuts(total, capacity, slack):
                     part = raw[4 * start : 4 * (start + length)]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import credentials, langid, packing, simhash, winnow
+from tripweave.llm import capfilters, credentials, langid, packing, simhash, winnow
 from tripweave.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op1_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 
+def op3_cap_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return capfilters.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     part = remainder("doc_id", 5)
@@ -77,6 +81,7 @@ def op9_credential_linking(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_harmonic_packing": op1_harmonic_packing,
+        "op3_cap_filters": op3_cap_filters,
         "op5_language_id": op5_language_id,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_winnowing": op8_winnowing,
