@@ -1,0 +1,142 @@
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.cases import no_documents, odd_documents
+from tripweave.llm import ctw
+from tripweave.llm.queries import op2_context_tree
+
+
+def plain_words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+class PlainTree:
+    """Context-tree weighting, node by node."""
+
+    def __init__(self, counts, seen_too, depth):
+        self.depth = depth
+        self.counts = defaultdict(lambda: [0, 0])
+        self.children = defaultdict(set)
+        for token in seen_too:
+            for ctx, node, bit in self.decisions(token):
+                for n in range(len(ctx) + 1):
+                    self.counts[ctx[len(ctx) - n :], node][bit] += counts[token]
+                    if n:
+                        self.children[ctx[len(ctx) - n + 1 :], node].add(ctx[len(ctx) - n :])
+
+    def decisions(self, token):
+        body = b" " + token + b" "
+        for i in range(1, len(body)):
+            ctx = body[max(0, i - self.depth) : i]
+            for j in range(8):
+                yield ctx, (1 << j) | (body[i] >> (8 - j)), (body[i] >> (7 - j)) & 1
+
+    def leaf(self, ctx):
+        return len(ctx) == self.depth or ctx.startswith(b" ")
+
+    def log_kt(self, ctx, node):
+        a, b = self.counts[ctx, node]
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    def log_weighted(self, ctx, node):
+        kt = self.log_kt(ctx, node)
+        if self.leaf(ctx):
+            return kt
+        deeper = sum(self.log_weighted(child, node) for child in self.children[ctx, node])
+        top = max(kt, deeper)
+        return top + math.log(math.exp(kt - top) + math.exp(deeper - top)) - math.log(2)
+
+    def chance(self, ctx, node, bit):
+        mass, rest, best = 0.0, 1.0, 0.5
+        for n in range(len(ctx) + 1):
+            own = ctx[len(ctx) - n :]
+            a, b = self.counts[own, node]
+            if a + b == 0:
+                break
+            kt = (b + 0.5) / (a + b + 1)
+            stop = 1.0 if self.leaf(own) else math.exp(self.log_kt(own, node) - self.log_weighted(own, node)) / 2
+            best = mass + rest * kt
+            mass, rest = mass + rest * stop * kt, rest * (1 - stop)
+        return best if bit else 1 - best
+
+    def score(self, token):
+        return sum(math.log10(self.chance(*decision)) for decision in self.decisions(token))
+
+
+DOCS = [
+    (1, "The thin thing THE thick", True), (2, "the other then, the thé 中", True), (3, "thinner unseen zebra the", False),
+    (4, None, True), (4, None, True), (5, "", False), (None, "the the", False), (6, "x" * 40 + " \n\t y", None),
+]
+
+
+@pytest.mark.parametrize(("depth", "head"), [(2, 3), (5, 1000)])
+def test_against_a_plain_tree(spark, monkeypatch, depth, head):
+    frame = spark.createDataFrame(DOCS, "doc_id long, text string, good boolean")
+    learned, every = Counter(), set()
+    for _, text, good in DOCS:
+        tokens = [w.encode() for w in plain_words(text)] + [b"\n"]
+        every.update(tokens)
+        if good:
+            learned.update(tokens)
+    tree = PlainTree(learned, every, depth)
+    n, v = sum(learned.values()), len(learned)
+    wanted = []
+    for name, text, _ in DOCS:
+        tokens = [w.encode() for w in plain_words(text)] + [b"\n"]
+        base = sum(math.log10((learned[t] + 1) / (n + v + 1)) for t in tokens)
+        known = sum(learned[t] > 0 for t in tokens)
+        wanted.append((name, len(tokens), known, n, base, sum(map(tree.score, tokens))))
+    for most in (10**6, 1):  # broadcast and joined gram scores
+        monkeypatch.setattr(ctw, "MAX_BROADCAST_GRAMS", most)
+        rows = [tuple(r)[:6] for r in ctw.score(frame, frame.good, depth=depth, head=head).collect()]
+        for got, want in zip(sorted(rows, key=str), sorted(wanted, key=str), strict=True):
+            assert got[:4] == want[:4]
+            assert got[4:] == pytest.approx(want[4:], rel=1e-9)
+
+
+def test_chances_add_up_to_one():
+    tree = PlainTree(Counter({b"ab": 3, b"abc": 2, b"b": 1}), [b"ab", b"abc", b"b"], 3)
+
+    def total(ctx, node, j):
+        if j == 8:
+            return 1.0
+        return sum(tree.chance(ctx, node, bit) * total(ctx, 2 * node + bit, j + 1) for bit in (0, 1))
+
+    assert total(b" ab", 1, 0) == pytest.approx(1.0)
+
+
+def test_whole_table(spark):
+    folder = "/root/testdata/sf0.01"
+    texts = dict(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect())
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
+    tokens = {i: [*plain_words(t), "\n"] for i, t in texts.items()}
+    learned = Counter(w for i, own in tokens.items() if not held[i] for w in own)
+    n, v = sum(learned.values()), len(learned)
+    rows = op2_context_tree(spark, folder).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        own = tokens[row.doc_id]
+        base = sum(math.log10((learned[w] + 1) / (n + v + 1)) for w in own)
+        assert (row.held_out, row.n_tokens, row.train_tokens) == (held[row.doc_id], len(own), n)
+        assert row.n_known == sum(w in learned for w in own)
+        assert row.base_score == pytest.approx(base, rel=1e-9)
+    tested = [r for r in rows if r.held_out]
+    # Spells unknown words, which the word model does not, at little more; well below eight bits a byte.
+    assert sum(r.score for r in tested) > 1.12 * sum(r.base_score for r in tested)
+    assert -sum(r.score for r in tested) / math.log10(2) < 2.5 * sum(r.n_bytes for r in tested)
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark).withColumn("learn", F.lit("other"))
+    rows = ctw.score(docs, docs.lang == "en").collect()
+    assert len(rows) == docs.count()
+    assert {r.n_tokens for r in rows if r.doc_id in (2, 3, 4)} == {1}
+    nothing = ctw.score(docs, docs.lang == "xx").collect()
+    assert all(r.n_known == r.train_tokens == 0 for r in nothing)
+    assert all(r.score == pytest.approx(-8 * math.log10(2) * r.n_bytes) for r in nothing)
+    assert ctw.score(no_documents(spark), F.col("lang") == "en").count() == 0

@@ -1,0 +1,82 @@
+import hashlib
+import random
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.llm.cases import no_documents, odd_documents
+from tripweave.llm import pii
+from tripweave.llm.queries import op4_bootstrapped_pii
+
+
+def luhn(text):
+    digits = [int(c) for c in text if c in "0123456789"]
+    total = sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(digits[::-1]))
+    return 16 <= len(digits) <= 19 and total % 10 == 0
+
+
+FORMS = [
+    (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda t: True),
+    (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda t: all(int(p) <= 255 for p in t.split("."))),
+    (r"[0-9]([\x20-]?[0-9])+", luhn),
+    (r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: 8 <= sum(c in "0123456789" for c in t) <= 15),
+]
+
+
+def plain(text):
+    return [
+        (kind, *m.span())
+        for kind, (form, good) in enumerate(FORMS)
+        for m in re.finditer(form, text or "")
+        if good(m[0])
+    ]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.text(alphabet="a@.0159+- ()é%_\n", max_size=60))
+def test_base_spans_equal_plain_matching(text):
+    assert pii.base_spans(text) == plain(text)
+
+
+def test_base_spans_of_long_runs():
+    for text in ("a" * 300_000, "1" * 300_000, "+" + "1 " * 100_000, "a@" * 100_000, "1." * 100_000, "4111 1111 1111 1111 x"):
+        assert len(pii.base_spans(text)) <= 50_000
+    assert pii.base_spans("4111 1111 1111 1111") == plain("4111 1111 1111 1111") == [(2, 0, 19)]
+
+
+def test_whole_table(spark):
+    folder = "/root/testdata/sf0.01"
+    texts = dict(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect())
+    rows = op4_bootstrapped_pii(spark, folder).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        spans = plain(texts[row.doc_id])
+        shown = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in spans)
+        assert row.base_sha256 == hashlib.sha256(shown.encode()).hexdigest()
+        assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == [sum(k == n for k, _, _ in spans) for n in range(4)]
+        assert set(filter(None, shown.split(","))) <= set(row.spans.split(","))
+    assert sum(r.n_email for r in rows) > 10
+
+
+def test_patterns_discover_unseen_identifiers(spark):
+    draw = random.Random(4)
+    prose = " ".join(draw.choice("some plain words of a clean text with order 12345 in it".split()) for _ in range(200))
+    rows = [(i, f"{prose} please write to user{i}@example.org now {prose}") for i in range(12)]
+    rows += [(50, "please write to jane1234[at]example today"), (51, f"{prose} order 99887 and order 123456"), (52, "write to")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("pattern", F.lit(1))
+    patterns = pii.learn_patterns(docs)
+    assert patterns == {"write to": "email"}
+    found = {r.doc_id: r.s for r in docs.select("doc_id", pii.find(F.col("text"), patterns, spark).alias("s")).collect()}
+    assert [(s.kind, s.start, s.end, s.base) for s in found[50]] == [("email", 16, 24, False)]
+    assert not found[51] and not found[52] and all(len(found[i]) == 1 for i in range(12))
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark)
+    patterns = pii.learn_patterns(docs)
+    assert patterns == {}
+    rows = docs.select("doc_id", pii.find(F.col("text"), patterns, spark).alias("s")).collect()
+    assert len(rows) == docs.count() and not any(r.s for r in rows)
+    assert pii.learn_patterns(no_documents(spark)) == {}

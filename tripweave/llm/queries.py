@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import capfilters, credentials, langid, packing, simhash, winnow
+from tripweave.llm import capfilters, credentials, ctw, langid, packing, pii, simhash, winnow
 from tripweave.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,10 +24,52 @@ def op1_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 
+def op2_context_tree(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = ctw.score(docs, remainder("doc_id", 7) != 2)
+    held_out = F.coalesce(remainder("doc_id", 7) == 2, F.lit(False))
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"
+    )
+
+
 def op3_cap_filters(spark: SparkSession, folder: str) -> DataFrame:
     return capfilters.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def op4_bootstrapped_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    patterns = pii.learn_patterns(docs)
+    found = docs.select("doc_id", pii.find(F.col("text"), patterns, spark).alias("every"))
+    found = found.withColumn("base", F.filter("every", lambda s: s["base"]))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    number = F.array(*(F.lit(kind) for kind in pii.KINDS))
+
+    def written(spans: Column) -> Column:
+        placed = F.transform(
+            spans,
+            lambda s: F.struct(
+                F.array_position(number, s["kind"]).alias("at"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")
+            ),
+        )
+        shown = F.transform(
+            F.array_sort(placed),
+            lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
+        )
+        return F.array_join(shown, ",")
+
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(written(F.col("base")), 256).alias("base_sha256"),
+        written(F.col("every")).alias("spans"),
+    )
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     part = remainder("doc_id", 5)
@@ -81,7 +123,9 @@ def op9_credential_linking(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_harmonic_packing": op1_harmonic_packing,
+        "op2_context_tree": op2_context_tree,
         "op3_cap_filters": op3_cap_filters,
+        "op4_bootstrapped_pii": op4_bootstrapped_pii,
         "op5_language_id": op5_language_id,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_winnowing": op8_winnowing,
