@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import capfilters, credentials, ctw, langid, packing, pii, simhash, winnow
+from tripweave.llm import capfilters, credentials, ctw, langid, licences, packing, pii, simhash, winnow
 from tripweave.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,20 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = licences.scan(docs, licences.train(docs))
+    families = F.array_sort(F.array_distinct(F.transform("paragraphs", lambda p: p["family"])))
+    known = F.filter("paragraphs", lambda p: p["family"] != licences.UNKNOWN)
+    return found.select(
+        "doc_id",
+        F.size("paragraphs").cast("long").alias("n_paragraphs"),
+        F.size(known).cast("long").alias("n_licensed"),
+        F.array_join(F.array_remove(families, licences.UNKNOWN), ",").alias("families"),
+        F.array_max(F.transform(known, lambda p: p["probability"])).alias("probability"),
+    )
+
+
 def op7_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = simhash.near_duplicates(docs, shingle_words=3, max_bits=2)
@@ -127,6 +141,7 @@ def queries() -> dict[str, Query]:
         "op3_cap_filters": op3_cap_filters,
         "op4_bootstrapped_pii": op4_bootstrapped_pii,
         "op5_language_id": op5_language_id,
+        "op6_licence_scan": op6_licence_scan,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_winnowing": op8_winnowing,
         "op9_credential_linking": op9_credential_linking,
