@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import capfilters, credentials, ctw, langid, licences, packing, pii, simhash, winnow
+from tripweave.llm import capfilters, credentials, ctw, langid, licences, packing, pii, simhash, weaklabel, winnow
 from tripweave.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,6 +134,13 @@ def op9_credential_linking(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scorer = weaklabel.train(docs)
+    found = docs.select("doc_id", weaklabel.scored(F.col("text"), scorer, spark).alias("found"))
+    return found.select("doc_id", "found.*", (F.col("found.score") >= 0.5).alias("kept"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_harmonic_packing": op1_harmonic_packing,
@@ -145,6 +152,7 @@ def queries() -> dict[str, Query]:
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_winnowing": op8_winnowing,
         "op9_credential_linking": op9_credential_linking,
+        "op10_weak_labels": op10_weak_labels,
     }
 
 
