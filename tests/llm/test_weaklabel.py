@@ -44,7 +44,8 @@ def test_gradient_equals_its_plain_sum(spark):
 
     texts = ["Some words here.", "OTHER words ###", "x 1 2 3"]
     goods = [0.9, 0.2, 0.5]
-    rows = [(g, *weaklabel.features(t.encode())) for g, t in zip(goods, texts, strict=True)]
+    pairs = [weaklabel.features(t.encode()) for t in texts]
+    rows = [(g, at.tolist(), value.tolist()) for g, (at, value) in zip(goods, pairs, strict=True)]
     frame = spark.createDataFrame([*rows, (0.3, [], [])], "good double, at array<int>, value array<double>")
     weights = np.sin(np.arange(weaklabel.BUCKETS))
     wanted = np.zeros(weaklabel.BUCKETS + 1)

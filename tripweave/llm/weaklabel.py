@@ -113,17 +113,32 @@ def accuracies(counts: dict[str, int], rounds: int = EM_ROUNDS) -> dict[str, flo
     return dict(zip(patterns, good.tolist(), strict=True))
 
 
-def features(text: bytes) -> tuple[list[int], list[float]]:
-    """Hashed words and word shapes, damped counts at length one."""
-    counts: Counter = Counter()
-    for word, n in Counter(text.split()).items():
-        counts[zlib.crc32(b"w" + word.lower()) % BUCKETS] += n
+class _Buckets(dict):
+    """The buckets of a word and of its shape, as one number; a worker remembers them."""
+
+    def __missing__(self, word: bytes) -> int:
         shape = _RUNS.sub(rb"\1\1", word.translate(_SHAPE))
-        counts[zlib.crc32(b"s" + shape) % BUCKETS] += n
+        found = zlib.crc32(b"w" + word.lower()) % BUCKETS * BUCKETS + zlib.crc32(b"s" + shape) % BUCKETS
+        if len(self) > 500_000:
+            self.clear()
+        self[word] = found
+        return found
+
+
+_BUCKETS = _Buckets()
+
+
+def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed words and word shapes, damped counts at length one."""
+    counts = Counter(text.split())
     if not counts:
-        return [], []
-    values = np.log1p(np.array(list(counts.values()), float))
-    return list(counts), (values / np.linalg.norm(values)).tolist()
+        return np.zeros(0, np.int64), np.zeros(0)
+    both = np.array(list(map(_BUCKETS.__getitem__, counts)), np.int64)
+    times = np.array(list(counts.values()), float)
+    totals = np.bincount(both // BUCKETS, times, BUCKETS) + np.bincount(both % BUCKETS, times, BUCKETS)
+    at = np.flatnonzero(totals)
+    values = np.log1p(totals[at])
+    return at, values / np.linalg.norm(values)
 
 
 def voted(text: Column) -> Column:
@@ -144,7 +159,7 @@ class Scorer:
 
     def __call__(self, text: bytes) -> float:
         at, values = features(text)
-        margin = float(self.weights[at] @ np.array(values)) + self.bias if at else self.bias
+        margin = float(self.weights[at] @ values) + self.bias
         return 1 / (1 + float(np.exp(-np.clip(margin, -30, 30))))
 
 
@@ -160,7 +175,8 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, steps:
     posteriors = accuracies({row.votes: row["count"] for row in counts})
     draw = F.xxhash64("text")
     drawn = rows.select(draw.alias("draw")).distinct().orderBy("draw").limit(sample)
-    picked = rows.withColumn("draw", draw).join(drawn, "draw", "left_semi")
+    last = drawn.agg(F.max("draw")).first()[0]
+    picked = rows.withColumn("draw", draw).where(F.col("draw") <= F.lit(last).cast("bigint"))
     picked = picked.groupBy("draw").agg(F.first("text").alias("text"))
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +186,7 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, steps:
             yield pa.record_batch(
                 [
                     pa.array([posteriors[votes(t)] for t in texts], pa.float64()),
-                    pa.array([p[0] for p in pairs], pa.list_(pa.int32())),
+                    pa.array([p[0].astype(np.int32) for p in pairs], pa.list_(pa.int32())),
                     pa.array([p[1] for p in pairs], pa.list_(pa.float64())),
                 ],
                 names=["good", "at", "value"],
