@@ -162,6 +162,12 @@ def _unit(values: list) -> np.ndarray | None:
         return vector / np.linalg.norm(vector)
 
 
+def _units(rows: np.ndarray) -> np.ndarray:
+    """Rows that are neither zero nor infinite, at length one."""
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
 def near_vectors(
     vectors: DataFrame,
     id_col: str = "vec_id",
@@ -238,11 +244,17 @@ def near_vectors(
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [
-                len(x) == len(y) and float(_unit(x) @ _unit(y)) >= threshold
-                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            ]
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            lists = [batch.column(i) for i in (2, 3)]
+            sizes = [np.diff(part.offsets.to_numpy()) for part in lists]
+            keep = np.zeros(len(batch), bool)
+            for size in np.unique(sizes[0]).tolist():
+                rows = np.flatnonzero((sizes[0] == size) & (sizes[1] == size))
+                x, y = (
+                    part.values.to_numpy()[part.offsets.to_numpy()[rows][:, None] + np.arange(size)]
+                    for part in lists
+                )
+                keep[rows] = np.einsum("ij,ij->i", _units(x), _units(y)) >= threshold
+            yield batch.select([0, 1]).filter(pa.array(keep))
 
     pairs = pairs.select("src", "dst", "v1", "v2").mapInArrow(verified, "src long, dst long")
     return members.join(nodes.select("node", "low"), "node", "left"), stored(pairs, "pairs")
