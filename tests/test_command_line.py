@@ -35,7 +35,7 @@ def test_ingest_into_a_table(spark, source, capsys):
 
 def test_check_tables(spark, capsys):
     spark.sql("SELECT 1 AS id, -2.0D AS amount").write.mode("overwrite").saveAsTable("check_a")
-    spark.sql("SELECT int(NULL) AS id").write.mode("overwrite").saveAsTable("check_b")
+    spark.sql("SELECT int(NULL) AS id, 1 AS amount").write.mode("overwrite").saveAsTable("check_b")
     main(
         ["check", "--tables", "check_a,check_b", "--critical", "id", "--non-negative", "amount"]
     )
@@ -45,7 +45,21 @@ def test_check_tables(spark, capsys):
         ("check_a", "id_null_percentage", "0.0", "1", "100.0"),
         ("check_a", "amount_negative_count", "1.0", "1", "100.0"),
         ("check_b", "id_null_percentage", "100.0", "1", "-100.0"),
+        ("check_b", "amount_negative_count", "0.0", "1", "-100.0"),
     ]
+    with pytest.raises(ValueError, match="check_b lacks the columns to check: fare"):
+        main(["check", "--tables", "check_b", "--critical", "id,fare"])
+
+
+def test_ingestion_keeps_texts_that_are_no_time(spark, tmp_path, capsys):
+    (tmp_path / "in").mkdir()
+    bad = GOOD.replace(GOOD.split(",")[1], "garbage")
+    (tmp_path / "in" / "trips.csv").write_text(f"{HEADER}\n{GOOD}\n{bad}\n")
+    out = str(tmp_path / "out")
+    main(["ingest", "--source-path", str(tmp_path / "in"), "--data-source", "t", "--path", out])
+    stored = spark.read.parquet(out)
+    assert {r[0] for r in stored.select("tpep_pickup_datetime").collect()} == {GOOD.split(",")[1], "garbage"}
+    assert "100.0" in capsys.readouterr().out
 
 
 def test_one_target_is_needed(source):

@@ -160,8 +160,8 @@ def test_config(spark):
 
 def test_session_settings(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert cluster_conf(0)[key] == "8"
-    assert int(cluster_conf(100 * 10**12)[key]) == 200_000
+    assert cluster_conf(0)[key] == "1"
+    assert int(cluster_conf(100 * 10**12)[key]) == 372_530
     assert int(cluster_conf(10**12)[key]) == 3726
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")

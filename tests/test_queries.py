@@ -6,10 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+from tripweave import oracle, queries
 
-QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
-# Writes a file per day, which takes long on a local disk.
-SLOW = {"partitioned_sink"}
+QUERIES, ORACLES = queries.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +23,7 @@ def test_every_query_has_a_twin():
     assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES.keys() - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_twin(spark, engine, small, name):
     found = QUERIES[name](spark, small).toArrow()
     wanted = engine.sql(ORACLES[name]).to_arrow_table()

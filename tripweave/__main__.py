@@ -17,7 +17,10 @@ from tripweave.config import PipelineConfig, table_path
 from tripweave.operators.quality import QualityCheck, quality_by_table
 from tripweave.plans.datasets import DATASETS, STREAM, store_layers
 from tripweave.plans.ingest_job import JobLabels, ingest_trips
-from tripweave.schemas import TRIPS
+from tripweave.schemas import TRIPS, TRIPS_GEO, TRIPS_TEXT
+
+
+LAYOUTS = {"text": TRIPS_TEXT, "typed": TRIPS, "geo": TRIPS_GEO, "infer": None}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -35,7 +38,12 @@ def parser() -> argparse.ArgumentParser:
     target = ingest.add_mutually_exclusive_group(required=True)
     target.add_argument("--table")
     target.add_argument("--path")
-    ingest.add_argument("--infer-schema", action="store_true")
+    ingest.add_argument(
+        "--layout",
+        choices=LAYOUTS,
+        default="text",
+        help="text keeps times as they stand in the file; typed stores what is no time as NULL",
+    )
 
     check = commands.add_parser("check", help="quality scores of several tables")
     check.add_argument("--tables", required=True, type=_names, help="names, comma-separated")
@@ -51,13 +59,14 @@ def _names(text: str) -> list[str]:
     return text.split(",")
 
 
-def _check_of(df: DataFrame, critical: list[str], non_negative: list[str]) -> QualityCheck:
-    """The check for the columns that ``df`` has."""
-    present = set(df.columns)
-    return QualityCheck(
-        [name for name in critical if name in present],
-        [name for name in non_negative if name in present],
-    )
+def _check_of(
+    table: str, df: DataFrame, critical: list[str], non_negative: list[str]
+) -> QualityCheck:
+    """The check of ``df``; a column that it lacks is an error, not a perfect score."""
+    lacking = [name for name in (*critical, *non_negative) if name not in df.columns]
+    if lacking:
+        raise ValueError(f"table {table} lacks the columns to check: {', '.join(lacking)}")
+    return QualityCheck(critical, non_negative)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -79,7 +88,7 @@ def main(argv: list[str] | None = None) -> None:
         }
         wanted = (given["critical"], given["non_negative"])
         scores = quality_by_table(
-            {name: (df, _check_of(df, *wanted)) for name, df in tables.items()}
+            {name: (df, _check_of(name, df, *wanted)) for name, df in tables.items()}
         )
         scores.show(n=len(tables) * sum(map(len, wanted)), truncate=False)
         return
@@ -90,7 +99,7 @@ def main(argv: list[str] | None = None) -> None:
         JobLabels(given["data_source"]),
         table=table and table_path(given["catalog"], given["schema"], table),
         path=given["path"],
-        schema=None if given["infer_schema"] else TRIPS,
+        schema=LAYOUTS[given["layout"]],
     )
     for name, value in summary.items():
         print(f"{name:<18} {value}")

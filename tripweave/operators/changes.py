@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,14 +24,18 @@ def snapshot_changes(old: DataFrame, new: DataFrame, key: Sequence[str]) -> Data
     )
     net = weighed.groupBy(*columns).agg(F.sum("_w").alias("_net")).filter("_net <> 0")
 
-    same_key = Window.partitionBy(*key)
-    both = (F.min("_net").over(same_key) < 0) & (F.max("_net").over(same_key) > 0)
+    # Signs are aggregated before they are shuffled, and joined back: a join's hot keys can be
+    # split, a window's cannot.
+    signs = net.groupBy(*(F.col(name).alias(f"_{name}") for name in key)).agg(
+        ((F.min("_net") < 0) & (F.max("_net") > 0)).alias("_both")
+    )
+    same_key = reduce(and_, (F.col(name).eqNullSafe(F.col(f"_{name}")) for name in key))
     kind = (
         F.when(F.col("_net") > 0, F.when(F.col("_both"), "update_postimage").otherwise("insert"))
         .when(F.col("_both"), "update_preimage")
         .otherwise("delete")
     )
     return (
-        net.withColumn("_both", both)
+        net.join(signs, same_key)
         .select(*columns, kind.alias("_change_type"), F.abs("_net").alias("_row_count"))
     )

@@ -7,20 +7,21 @@ from pyspark.sql import functions as F
 
 # Sort order of each report.
 READING_ORDER = {
-    "gold_daily_kpis": [F.asc, "pickup_date"],
-    "gold_peak_hours_analysis": [F.asc, "is_weekend", "pickup_hour"],
-    "gold_route_performance": [F.desc, "trip_count"],
-    "gold_customer_segments": [F.desc, "total_revenue"],
-    "gold_revenue_breakdown": [F.asc, "pickup_date", "time_of_day", "payment_type_name"],
+    "gold_daily_kpis": ("pickup_date",),
+    "gold_peak_hours_analysis": ("is_weekend", "pickup_hour"),
+    "gold_route_performance": ("trip_count",),
+    "gold_customer_segments": ("total_revenue",),
+    "gold_revenue_breakdown": ("pickup_date", "time_of_day", "payment_type_name"),
 }
+LARGEST_FIRST = ("gold_route_performance", "gold_customer_segments")
 
 
 def in_reading_order(df: DataFrame, dataset: str) -> DataFrame:
     """``df`` sorted the way ``dataset`` is read; other datasets stay as they are."""
     if dataset not in READING_ORDER:
         return df
-    direction, *columns = READING_ORDER[dataset]
-    return df.orderBy(*(direction(name) for name in columns))
+    ascending = dataset not in LARGEST_FIRST
+    return df.orderBy(*READING_ORDER[dataset], ascending=ascending)
 
 
 def latest_days(kpis: DataFrame, days: int = 7) -> DataFrame:

@@ -17,7 +17,7 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 * _MIB) ->
     The deduplication shuffle moves about the whole input, so its initial partition number
     follows from the input size; smaller shuffles are coalesced at run time.
     """
-    partitions = min(max(-(-input_bytes // target_partition_bytes), 8), 200_000)
+    partitions = max(-(-input_bytes // target_partition_bytes), 1)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

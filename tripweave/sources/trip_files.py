@@ -41,11 +41,6 @@ def read_trips_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(header="true", inferSchema="true").csv(path)
 
 
-def is_splittable(path: str) -> bool:
-    """False for a gzip file, which one task must read from start to end."""
-    return not path.endswith(".gz")
-
-
 def with_ingestion_metadata(
     df: DataFrame,
     environment: str = "",
