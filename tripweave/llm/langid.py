@@ -15,18 +15,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import blobs, shielded
+from tripweave.llm.common import blobs, shielded, stored
 
 UNKNOWN = "und"
 ROWS_PER_LANGUAGE = 2_000
-MAX_WORDS = 200_000
+MAX_WORDS = 100_000
 MAX_GRAMS = 50_000
 ORDERS = (1, 2, 3, 4)
 _WORDS = re.compile(r"[^\W\d_]+")
-_CACHED = 300_000
+_CACHED = 100_000
 # Weight of a spelled word beside a known one: n-grams of one word are not independent.
 _SPELLED = 0.5
 # Weight of all languages' frequencies in one language's, in occurrences.
@@ -45,37 +46,26 @@ def _grams_at(word: str) -> Iterator[list[str]]:
 
 
 class LanguageModel:
-    """Log frequencies of words and n-grams in each language."""
+    """Log frequencies of words and n-grams in each language, by their places in one text."""
 
-    def __init__(self, languages: list[str], words: dict[str, dict], grams: dict[str, dict]):
+    def __init__(self, languages: list[str], words: pa.Table, grams: pa.Table):
         self.languages = languages
-        self.words, self.word_rows = self._table(words)
-        self.grams, self.gram_rows = {}, np.zeros((0, len(languages)), np.float32)
-        for n in ORDERS:
-            names, rows = self._table({g: c for g, c in grams.items() if len(g) == n})
-            shift = len(self.gram_rows)
-            self.grams |= {name: at + shift for name, at in names.items()}
-            self.gram_rows = np.concatenate([self.gram_rows, rows])
-
-    def _table(self, counts: dict[str, dict]) -> tuple[dict[str, int], np.ndarray]:
-        names = {name: at for at, name in enumerate(sorted(counts))}
-        table = np.zeros((len(names), len(self.languages)), np.float64)
-        for name, at in names.items():
-            table[at] = [counts[name].get(lang, 0) for lang in self.languages]
-        # What a language lacks, it takes from all languages together, the less the more it has.
-        shared = table.sum(axis=1, keepdims=True) / max(table.sum(), 1)
-        table = (table + _PRIOR * shared) / (table.sum(axis=0) + _PRIOR)
-        return names, np.log(table).astype(np.float32)
-
-    def spelled(self, word: str) -> np.ndarray:
-        found = []
-        for grams in _grams_at(word):
-            at = next((self.grams[g] for g in grams if g in self.grams), None)
-            if at is not None:
-                found.append(at)
-        if not found:
-            return np.zeros(len(self.languages), np.float32)
-        return _SPELLED * self.gram_rows[found].sum(axis=0)
+        self.words, self.word_rows = self._rows([words])
+        length = pa.compute.utf8_length(grams["feature"])
+        by_order = [grams.filter(pa.compute.equal(length, n)) for n in ORDERS]
+        self.grams, self.gram_rows = self._rows(by_order)
+
+    def _rows(self, tables: list[pa.Table]) -> tuple[str, np.ndarray]:
+        names, rows = [], [np.zeros((0, len(self.languages)), np.float32)]
+        for table in tables:
+            counts = [table[f"n{at}"].to_numpy() for at in range(len(self.languages))]
+            counts = np.array(counts, float).reshape(len(self.languages), len(table)).T
+            # What a language lacks, it takes from all languages together, the less the more it has.
+            shared = counts.sum(axis=1, keepdims=True) / max(counts.sum(), 1)
+            counts = (counts + _PRIOR * shared) / (counts.sum(axis=0) + _PRIOR)
+            names += table["feature"].to_pylist()
+            rows.append(np.log(counts).astype(np.float32))
+        return "\n".join(names), np.concatenate(rows)
 
 
 class Classifier:
@@ -83,13 +73,25 @@ class Classifier:
 
     def __init__(self, model: LanguageModel):
         self.model = model
+        self.grams = {gram: at for at, gram in enumerate(model.grams.split("\n"))}
+        self.known = len(model.word_rows)
+        self.rows = np.zeros((self.known + _CACHED, len(model.languages)), np.float32)
+        self.rows[: self.known] = model.word_rows
         self.forget_words()
 
     def forget_words(self) -> None:
-        model = self.model
-        self.rows = np.zeros((len(model.words) + _CACHED, len(model.languages)), np.float32)
-        self.rows[: len(model.words)] = model.word_rows
-        self.at = dict(model.words)
+        words = self.model.words.split("\n") if self.known else []
+        self.at = {word: at for at, word in enumerate(words)}
+
+    def spelled(self, word: str) -> np.ndarray:
+        found = []
+        for grams in _grams_at(word):
+            at = next((self.grams[g] for g in grams if g in self.grams), None)
+            if at is not None:
+                found.append(at)
+        if not found:
+            return np.zeros(len(self.model.languages), np.float32)
+        return _SPELLED * self.model.gram_rows[found].sum(axis=0)
 
     def __call__(self, text: bytes | None) -> tuple[str, float]:
         words = words_of(text or b"")
@@ -106,7 +108,7 @@ class Classifier:
                 known = self.at
             for word, _ in part:
                 if word not in known:
-                    self.rows[len(known)] = self.model.spelled(word)
+                    self.rows[len(known)] = self.spelled(word)
                     known[word] = len(known)
             weights = np.array([n for _, n in part], np.float64)
             total += weights @ self.rows[[known[word] for word, _ in part]]
@@ -128,14 +130,15 @@ def train(
     """
     rows, (text, lang) = shielded(labelled, text_col, lang_col)
     rows = rows.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    sizes = rows.groupBy(lang).agg(F.count(F.lit(1)).alias("n"))
-    draw = F.pmod(F.xxhash64(F.length(text), text), F.lit(1 << 30)) / float(1 << 30)
-    # Twice the rows wanted, roughly; the rank below cuts to the bound.
-    drawn = rows.join(sizes, lang)
-    drawn = drawn.withColumn("draw", draw).where(F.col("draw") * F.col("n") < 2 * rows_per_language)
-    best = Window.partitionBy(lang).orderBy("draw", text)
-    drawn = drawn.withColumn("place", F.row_number().over(best))
-    drawn = drawn.where(F.col("place") <= rows_per_language).select(text, F.col(lang).cast("string"))
+    draw = F.xxhash64(F.length(text), text)
+    rows = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), draw.alias("draw"))
+    # Only hashes are ranked; the last of each language tells which texts to take, once each.
+    best = Window.partitionBy("lang").orderBy("draw")
+    ranked = rows.select("lang", "draw").distinct().withColumn("place", F.row_number().over(best))
+    last = ranked.where(F.col("place") <= rows_per_language).groupBy("lang").agg(F.max("draw").alias("last"))
+    # One row a language, as the model itself has.
+    drawn = rows.join(F.broadcast(last), "lang").where("draw <= last")
+    drawn = drawn.groupBy("lang", "draw").agg(F.first("text").alias("text")).select("text", "lang")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -159,41 +162,32 @@ def train(
 
     words = drawn.mapInArrow(features, "lang string, word string, n long")
     words = words.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    by_word = words.groupBy("word").agg(
-        F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("counts"),
-        F.sum("n").alias("total"),
-    )
-    top = by_word.orderBy(F.desc("total"), "word").limit(MAX_WORDS).select("word", "counts")
-    tops = {word: counts for word, counts in top.collect()}
-
+    words = stored(words, "words")
+    languages = sorted(row.lang for row in words.select("lang").distinct().collect())
     padded = F.concat(F.lit("<"), "word", F.lit(">"))
     cut = F.expr(
-        "flatten(transform(sequence(1, {0}), n -> transform(sequence(1, greatest(length(padded) - n + 1, 1)),"
-        " i -> substring(padded, i, n))))".format(max(ORDERS))
+        f"flatten(transform(sequence(1, {max(ORDERS)}), n -> transform("
+        "sequence(1, greatest(length(padded) - n + 1, 1)), i -> substring(padded, i, n))))"
     )
     grams = (
         words.withColumn("padded", padded)
-        .select("lang", "n", F.explode(cut).alias("gram"))
-        .where("gram <> '<'")
-        .groupBy("gram", "lang")
-        .agg(F.sum("n").alias("n"))
-        .groupBy("gram")
-        .agg(
-            F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("counts"),
-            F.sum("n").alias("total"),
-        )
-        .withColumn(
-            "place",
-            F.row_number().over(
-                Window.partitionBy(F.length("gram")).orderBy(F.desc("total"), "gram")
-            ),
-        )
-        .where(F.col("place") <= MAX_GRAMS)
-        .select("gram", "counts")
+        .select("lang", "n", F.explode(cut).alias("feature"))
+        .where("feature <> '<'")
+    )
+    by_order = Window.partitionBy(F.length("feature")).orderBy(F.desc("total"), "feature")
+    grams = _counted(grams, languages).withColumn("place", F.row_number().over(by_order))
+    grams = grams.where(F.col("place") <= MAX_GRAMS).drop("place")
+    named = _counted(words.withColumnRenamed("word", "feature"), languages)
+    named = named.orderBy(F.desc("total"), "feature").limit(MAX_WORDS)
+    return LanguageModel(languages, named.toArrow(), grams.toArrow())
+
+
+def _counted(features: DataFrame, languages: list[str]) -> DataFrame:
+    """``feature``, its count in each language (``n0``, ``n1``, ...) and in all."""
+    own = [F.sum(F.when(F.col("lang") == name, F.col("n")).otherwise(0)) for name in languages]
+    return features.groupBy("feature").agg(
+        F.sum("n").alias("total"), *(n.alias(f"n{at}") for at, n in enumerate(own))
     )
-    found = {gram: counts for gram, counts in grams.collect()}
-    languages = sorted({lang for counts in tops.values() for lang in counts})
-    return LanguageModel(languages, tops, found)
 
 
 def predict(text: Column, model: LanguageModel, session) -> Column:

@@ -22,6 +22,7 @@ SEED = 42
 # A signature shared by more fingerprints than this is split by the other segment.
 LARGE_BUCKET = 64
 _ROWS = 4096  # shingles counted at once
+_TEXTS = 500  # texts copied at once
 
 
 def fingerprint(text: Column, shingle_words: int = 3) -> Column:
@@ -34,7 +35,10 @@ def fingerprint(text: Column, shingle_words: int = 3) -> Column:
 
     @F.arrow_udf("long")
     def prints(texts: pa.Array) -> pa.Array:
-        return pa.array([_fingerprint(t, shingle_words) for t in blobs(texts)], pa.int64())
+        parts = (texts.slice(at, _TEXTS) for at in range(0, len(texts), _TEXTS))
+        return pa.array(
+            [_fingerprint(t, shingle_words) for part in parts for t in blobs(part)], pa.int64()
+        )
 
     return prints(text)
 
