@@ -154,9 +154,9 @@ def train(
             for body, name in zip(blobs(part.column(0)), part.column(1).to_pylist(), strict=True):
                 for word, n in words_of(body).items():
                     counts[name, word] += n
-            if len(counts) > _CACHED:
-                yield batch()
-                counts.clear()
+                if len(counts) > _CACHED:
+                    yield batch()
+                    counts.clear()
         if counts:
             yield batch()
 
@@ -202,7 +202,8 @@ def predict(text: Column, model: LanguageModel, session) -> Column:
     @F.arrow_udf("struct<lang:string,score:double>")
     def classified(texts: pa.Array) -> pa.Array:
         classify = _classifier(shared)
-        found = [classify(text) for text in blobs(texts)]
+        parts = (texts.slice(at, 500) for at in range(0, len(texts), 500))
+        found = [classify(text) for part in parts for text in blobs(part)]
         return pa.array([{"lang": lang, "score": score} for lang, score in found], kind)
 
     return classified(text)

@@ -7,10 +7,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripweave.llm import credentials, langid, packing, simhash, winnow
-from tripweave.llm.common import content_key, remainder
+from tripweave.llm.common import content_key, remainder, stored
 from tripweave.llm.queries import TOKENIZER, table
 
 
+# Ids of at most 24 bytes each: 24 MB.
+BROADCAST_IDS = 1_000_000
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without an identifiable language: null texts and texts without letters."""
     model = langid.train(docs.where(remainder("doc_id", 5) != 0))
@@ -22,7 +26,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Keeps of each group of near-duplicates the document of smallest id, once.
 
     The ids to drop are far fewer than those to keep, so the texts are filtered by those and
-    need not be shuffled where Spark can broadcast them. Only rows whose id occurs several
+    are not shuffled where their number, which is checked, allows a broadcast. Only rows whose id occurs several
     times are compared, to keep one of each. Rows without an id cannot be named by others and
     are kept once for each text.
     """
@@ -31,12 +35,13 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
         F.max((F.col("doc_id") != F.col("component_id")).cast("int")).alias("extra"),
         F.count(F.lit(1)).alias("rows"),
     )
-    odd = ids.where("extra = 1 OR rows > 1 OR doc_id IS NULL")
-    same = docs["doc_id"].eqNullSafe(odd["doc_id"])
-    single = docs.join(odd, same, "left_anti")
-    first = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), content_key("text")))
+    odd = stored(ids.where("extra = 1 OR rows > 1 OR doc_id IS NULL"), "odd-ids")
     repeated = odd.where("rows > 1 AND coalesce(extra, 0) = 0 OR doc_id IS NULL")
+    if odd.count() <= BROADCAST_IDS:  # texts stay where they are; beyond, they are shuffled
+        odd, repeated = F.broadcast(odd), F.broadcast(repeated)
+    single = docs.join(odd, docs["doc_id"].eqNullSafe(odd["doc_id"]), "left_anti")
     copies = docs.join(repeated, docs["doc_id"].eqNullSafe(repeated["doc_id"]), "left_semi")
+    first = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), content_key("text")))
     place = F.row_number().over(first.orderBy(F.col("text").asc_nulls_last()))
     copies = copies.withColumn("_place_", place).where("_place_ = 1").drop("_place_")
     return single.unionByName(copies)
