@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -12,6 +15,31 @@ from tripweave.session import scratch_path
 
 UPPER = bytes(range(65, 91))
 LOWER = bytes(range(97, 123))
+_SPACE = re.compile(rb"[\t-\r ]")
+_RESIDENT: dict[Hashable, Any] = {}
+
+
+def resident(owner: Hashable, build: Callable[[], Any]) -> Any:
+    """What ``build`` gives, kept in this Python worker until another owner asks.
+
+    Workers outlive their stage: without this the tables of one operator would stay in memory
+    beside those of the next.
+    """
+    if owner not in _RESIDENT:
+        _RESIDENT.clear()
+        pa.default_memory_pool().release_unused()
+        _RESIDENT[owner] = build()
+    return _RESIDENT[owner]
+
+
+def pieces(text: bytes, size: int = 1 << 18) -> Iterator[bytes]:
+    """A text in parts of about ``size`` bytes; each but the last ends before ASCII white space."""
+    at = 0
+    while at < len(text):
+        space = _SPACE.search(text, at + size) if at + size < len(text) else None
+        end = space.start() if space else len(text)
+        yield text[at:end]
+        at = end
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import blobs, shielded, stored
+from tripweave.llm.common import blobs, pieces, resident, shielded, stored
 
 UNKNOWN = "und"
 ROWS_PER_LANGUAGE = 2_000
@@ -35,7 +35,10 @@ _PRIOR = 20.0
 
 
 def words_of(text: bytes) -> Counter:
-    return Counter(_WORDS.findall(text.decode("utf-8", "replace").lower()))
+    words: Counter = Counter()
+    for part in pieces(text):
+        words.update(_WORDS.findall(part.decode("utf-8", "replace").lower()))
+    return words
 
 
 def _grams_at(word: str) -> Iterator[list[str]]:
@@ -209,12 +212,7 @@ def predict(text: Column, model: LanguageModel, session) -> Column:
     return classified(text)
 
 
-_CLASSIFIERS: dict[int, Classifier] = {}
-
-
 def _classifier(shared) -> Classifier:
     """The classifier of this Python worker for a broadcast model."""
-    if shared.value not in (c.model for c in _CLASSIFIERS.values()):
-        _CLASSIFIERS.clear()
-        _CLASSIFIERS[0] = Classifier(shared.value)
-    return _CLASSIFIERS[0]
+    model = shared.value
+    return resident(("langid", id(model)), lambda: Classifier(model))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tripweave.llm.common import blobs, shielded, stored
+from tripweave.llm.common import blobs, resident, shielded, stored
 
 CAPACITY = 4096
 END_ID = 2
@@ -131,9 +131,8 @@ def _groups(texts: list[bytes], size: int = 1 << 22) -> Iterator[list[bytes]]:
         yield group
 
 
-@lru_cache(maxsize=2)
 def _token_ids(path: str) -> TokenIds:
-    return TokenIds(path)
+    return resident(("packing", path), lambda: TokenIds(path))
 
 
 class _Bins:

@@ -14,14 +14,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import blobs, shielded, stored
+from tripweave.llm.common import blobs, pieces, resident, shielded, stored
 from tripweave.llm.components import connected_components
 
 MAX_BITS = 2
 SEED = 42
 # A signature shared by more fingerprints than this is split by the other segment.
 LARGE_BUCKET = 64
-_ROWS = 4096  # shingles counted at once
 _TEXTS = 500  # texts copied at once
 
 
@@ -35,6 +34,7 @@ def fingerprint(text: Column, shingle_words: int = 3) -> Column:
 
     @F.arrow_udf("long")
     def prints(texts: pa.Array) -> pa.Array:
+        resident("simhash", dict)  # of other operators nothing stays
         parts = (texts.slice(at, _TEXTS) for at in range(0, len(texts), _TEXTS))
         return pa.array(
             [_fingerprint(t, shingle_words) for part in parts for t in blobs(part)], pa.int64()
@@ -44,22 +44,25 @@ def fingerprint(text: Column, shingle_words: int = 3) -> Column:
 
 
 def _fingerprint(text: bytes, n: int) -> int:
-    words = text.lower().split()
-    if not words:
-        return 0
-    digest = xxhash.xxh64_intdigest
-    if len(words) <= n:
-        hashes = [digest(b" ".join(words), SEED)]
-    else:
-        form = b" ".join([b"%b"] * n)
-        grams = zip(*(words[i:] for i in range(n)), strict=False)
-        hashes = [digest(form % gram, SEED) for gram in grams]
-    found = np.array(hashes, dtype="<u8")
-    counts = np.zeros(64, np.int64)
-    for at in range(0, len(found), _ROWS):
-        part = found[at : at + _ROWS].view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * counts > len(found), bitorder="little")
+    counts, total, words = np.zeros(64, np.int64), 0, []
+    form, digest = b" ".join([b"%b"] * n), xxhash.xxh64_intdigest
+
+    def count(hashes: list[int]) -> int:
+        bits = np.unpackbits(
+            np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"
+        )
+        np.add(counts, bits.sum(axis=0, dtype=np.int64), out=counts)
+        return len(hashes)
+
+    for part in pieces(text):
+        words += part.lower().split()
+        if len(words) >= n:
+            grams = zip(*(words[i:] for i in range(n)), strict=False)
+            total += count([digest(form % gram, SEED) for gram in grams])
+            words = words[len(words) - n + 1 :]
+    if not total and words:
+        total = count([digest(b" ".join(words), SEED)])
+    bits = np.packbits(2 * counts > total, bitorder="little")
     return int(bits.view("<i8")[0])
 
 

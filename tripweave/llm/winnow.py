@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import LOWER, UPPER, blobs, shielded
+from tripweave.llm.common import LOWER, UPPER, blobs, resident, shielded
 
 SPAN = 10
 GRAM = 5
@@ -227,6 +227,7 @@ def contamination(
 
     @F.arrow_udf(_RESULT)
     def scan(texts: pa.Array) -> pa.Array:
+        resident("winnow", dict)  # of other operators nothing stays
         out = []
         for group in _groups(blobs(texts)):
             merged = None
