@@ -4,6 +4,18 @@ import pytest
 
 from tests.test_sources import GOOD, HEADER
 from tripweave.__main__ import main
+from tripweave.session import cluster_conf
+
+
+@pytest.fixture(autouse=True)
+def session_as_before(spark):
+    before = {key: spark.conf.get(key, None) for key in cluster_conf(0)}
+    yield
+    for key, value in before.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
 
 
 @pytest.fixture
@@ -17,7 +29,7 @@ def test_layers(spark, source, tmp_path, capsys):
     out = tmp_path / "out"
     main(["layers", "--source-path", source, "--output-path", str(out), "--environment", "dev"])
     assert "gold_executive_summary" in capsys.readouterr().out
-    assert len(list(out.iterdir())) == 15
+    assert len(list(out.iterdir())) == 15 + 2  # rule report, descriptions
     assert spark.read.parquet(str(out / "silver_taxi_trips")).count() == 1
     row = spark.read.parquet(str(out / "bronze_taxi_raw")).first()
     assert row.environment == "dev" and Path(row.source_file).name == "trips.csv"
@@ -62,6 +74,11 @@ def test_ingestion_keeps_texts_that_are_no_time(spark, tmp_path, capsys):
     assert "100.0" in capsys.readouterr().out
 
 
+def test_a_source_is_needed(spark):
+    with pytest.raises(ValueError, match="source"):
+        main(["layers"])
+
+
 def test_one_target_is_needed(source):
     with pytest.raises(SystemExit):
         main(["ingest", "--source-path", source, "--data-source", "trips"])

@@ -6,6 +6,8 @@ from tests.conftest import values
 from tripweave.config import PipelineConfig, get_config, table_path
 from tripweave.plans.datasets import (
     DATASETS,
+    DESCRIPTIONS,
+    RULE_REPORT,
     SOURCE,
     STREAM,
     Layers,
@@ -16,7 +18,7 @@ from tripweave.plans.datasets import (
 )
 from tripweave.plans.ingest_job import JobLabels, clean_trips, ingest_trips, with_job_metadata
 from tripweave.schemas import TRIPS, TRIPS_GEO
-from tripweave.session import cluster_conf, scratch_path
+from tripweave.session import cluster_conf, input_bytes, scratch_path
 from tripweave.sinks import write_dataset
 from tripweave.sources.lineitem_trips import load_lineitem_trips
 from tripweave.sources.trip_files import csv_options, with_ingestion_metadata
@@ -75,7 +77,9 @@ def few_days(spark, small):
 
 
 def _same(stored, lazy):
-    assert list(stored) == [SOURCE, *SIZES]
+    assert list(stored) == [SOURCE, *SIZES, RULE_REPORT]
+    told = values(rule_report(lazy, AS_OF), "*")
+    assert sorted(values(stored[RULE_REPORT].drop("mode"), "*")) == sorted(told)
     for name in SIZES:
         assert stored[name].dtypes == lazy[name].dtypes, name
         assert stored[name].count() == lazy[name].count(), name
@@ -87,7 +91,6 @@ def _same(stored, lazy):
 
 
 def test_stored_as_tables(spark, few_days):
-    spark.sql("CREATE DATABASE IF NOT EXISTS trips_test")
     config = PipelineConfig("spark_catalog", "trips_test", as_of=AS_OF)
     stored = store_layers(spark, config, few_days)
     _same(stored, Layers(few_days, AS_OF))
@@ -104,13 +107,17 @@ def test_stored_below_a_folder_and_again(spark, few_days, tmp_path):
     config = PipelineConfig(output_path=str(tmp_path / "v1.2.3"), as_of=AS_OF)
     lazy = Layers(few_days, AS_OF)
     _same(store_layers(spark, config, few_days), lazy)
+    told = spark.read.parquet(f"{config.output_path}/{DESCRIPTIONS}").filter("properties['sla'] = '1_hour'")
+    assert values(told, "dataset") == ["gold_executive_summary"]
     again = store_layers(spark, config, few_days)
     assert again["silver_taxi_trips"].count() == lazy["silver_taxi_trips"].count()
 
 
-def test_write_needs_one_target(spark):
+def test_write_needs_one_target(spark, tmp_path):
     with pytest.raises(ValueError, match="table or path"):
         write_dataset(spark.range(1))
+    with pytest.raises(ValueError, match="keeps no comment"):
+        write_dataset(spark.range(1), path=str(tmp_path / "x"), comment="lost")
 
 
 def test_sizes(layers):
@@ -158,9 +165,12 @@ def test_config(spark):
     assert "from_session" in config.describe()
 
 
-def test_session_settings(spark):
+def test_session_settings(spark, tmp_path):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert cluster_conf(0)[key] == "1"
+    assert cluster_conf(0, time_zone="Asia/Tokyo")["spark.sql.session.timeZone"] == "Asia/Tokyo"
+    (tmp_path / "a.csv").write_text("12345")
+    assert input_bytes(spark, str(tmp_path)) == 5
     assert int(cluster_conf(100 * 10**12)[key]) == 372_530
     assert int(cluster_conf(10**12)[key]) == 3726
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.conftest import values
@@ -205,17 +206,20 @@ def test_summary_of_nothing_is_one_row(silver_of):
         assert row.trips_vs_7d_avg_pct is None
 
 
-@pytest.mark.parametrize("span", [100.0, 1.0, 0.05])
-def test_open_domain_rank_equals_the_plain_one(spark, span):
-    frame = spark.range(400).select(
-        "id",
-        F.when(F.col("id") % 17 != 0, F.round(F.pmod(F.col("id") * 7919, F.lit(101)) / 8 - 5, 2))
-        .alias("v"),
+@pytest.mark.parametrize("values_of", ["spread", "one value for most rows", "all alike"])
+def test_overall_rank_equals_a_window_over_all_rows(spark, values_of):
+    spread = F.round(F.pmod(F.col("id") * 7919, F.lit(101)) / 8 - 5, 2)
+    value = {"spread": spread, "all alike": F.lit(1.5)}.get(
+        values_of, F.when(F.col("id") % 3 > 0, F.lit(2.5)).otherwise(spread)
     )
-    plain = overall_dense_rank(frame, "v", "r")
-    spread = overall_dense_rank(frame, "v", "r", narrow=False, span=span)
-    assert plain.dtypes == spread.dtypes
-    assert sorted(values(plain, "id", "r")) == sorted(values(spread, "id", "r"))
+    for place, special in enumerate(("NaN", "Infinity", "-Infinity", None, "-0.0", "0.0")):
+        value = F.when(F.col("id") % 37 == place, F.lit(special).cast("double")).otherwise(value)
+    frame = spark.range(400).select("id", value.alias("v"))
+    plain = frame.withColumn("r", F.dense_rank().over(Window.orderBy(F.desc("v"))))
+    ranked = overall_dense_rank(frame, "v", "r")
+    assert plain.dtypes == ranked.dtypes
+    assert sorted(values(plain, "id", "r")) == sorted(values(ranked, "id", "r"))
+    assert overall_dense_rank(frame.limit(0), "v", "r").isEmpty()
 
 
 def test_look_ups(silver_of, spark):

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from tripweave import queries
 from tripweave.operators.ranking import overall_dense_rank
 from tripweave.plans import gold, silver
 from tripweave.plans.datasets import Layers
@@ -54,7 +55,7 @@ REPORTS = [
     silver.payment_analysis,
     gold.daily_kpis,
     gold.peak_hours,
-    gold.route_performance,
+    gold.rated_routes,
     gold.customer_segments,
     gold.weekly_trends,
     gold.revenue_breakdown,
@@ -96,17 +97,35 @@ def test_summary_prunes_date_partitions(stored):
     assert "Window" not in plan
 
 
+def test_summary_opens_the_trips_of_one_date_only(stored):
+    plan = plan_of(gold.executive_summary(*stored))
+    scans = [x for x in re.findall(r"PartitionFilters: \[([^\]]*).*?ReadSchema: struct<([^>]*)", plan)]
+    trips = [filters for filters, columns in scans if "total_amount:double" in columns]
+    assert trips and all("pickup_date = Subquery" in filters for filters in trips)
+
+
+def test_stored_rule_report_deduplicates_nothing(spark, small):
+    report = queries.stored_expectations(spark, small)
+    assert "WindowGroupLimit" not in plan_of(report) and report.count() == 13
+
+
 def test_filters_reach_the_scan(lazy, stored):
     plan = plan_of(stored[0].filter("pickup_date = DATE'2001-11-01' AND fare_amount > 5"))
     assert re.search(r"PartitionFilters: \[[^\]]*pickup_date = 2001-11-01", plan)
     assert "GreaterThan(fare_amount,5.0)" in plan
 
 
-def test_open_domain_rank_has_no_single_task_over_the_rows(spark):
+def test_overall_rank_has_no_single_task_over_the_rows(spark):
     rows = spark.range(1000).selectExpr("id", "round(id / 7, 2) v").repartition(4, "id")
-    plan = plan_of(overall_dense_rank(rows, "v", "r", narrow=False))
+    plan = plan_of(overall_dense_rank(rows, "v", "r"))
     for child in lines_below(plan, "Exchange SinglePartition"):
-        assert "keys=[_block]" in child
+        assert "keys=[_range]" in child
+
+
+def test_routes_are_aggregated_once(lazy):
+    """The ranking reads stored routes: nothing of the trips is planned again."""
+    plan = plan_of(lazy["gold_route_performance"])
+    assert "WindowGroupLimit" not in plan and "lineitem" not in plan
 
 
 def test_generated_methods_stay_compilable(spark, lazy):

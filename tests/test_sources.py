@@ -7,7 +7,6 @@ import pytest
 from tests.conftest import values
 from tripweave.schemas import TRIPS, TRIPS_GEO
 from tripweave.sources.lineitem_trips import load_lineitem_trips
-from tripweave.sources.splits import spread_few_splits
 from tripweave.sources.trip_files import (
     csv_options,
     read_trips,
@@ -118,12 +117,3 @@ def test_stream_on_an_interval(spark, tmp_path):
     finally:
         query.stop()
     assert spark.read.parquet(out).count() == 1
-
-
-def test_few_splits_are_spread(spark, small):
-    one_split = spark.read.parquet(f"{small}/orders.parquet")
-    spread = spread_few_splits(one_split)
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread.exceptAll(one_split).isEmpty() and spread.count() == one_split.count()
-    many = spark.range(100).repartition(9)
-    assert spread_few_splits(many) is many

@@ -18,6 +18,7 @@ from tripweave.operators.quality import QualityCheck, quality_by_table
 from tripweave.plans.datasets import DATASETS, STREAM, store_layers
 from tripweave.plans.ingest_job import JobLabels, ingest_trips
 from tripweave.schemas import TRIPS, TRIPS_GEO, TRIPS_TEXT
+from tripweave.session import size_session
 
 
 LAYOUTS = {"text": TRIPS_TEXT, "typed": TRIPS, "geo": TRIPS_GEO, "infer": None}
@@ -28,7 +29,7 @@ def parser() -> argparse.ArgumentParser:
     commands = top.add_subparsers(dest="command", required=True)
 
     layers = commands.add_parser("layers", help="store every dataset")
-    for name in ("catalog", "schema", "source-path", "environment", "output-path"):
+    for name in ("catalog", "schema", "source-path", "environment", "output-path", "time-zone"):
         layers.add_argument(f"--{name}")
     layers.add_argument("--table-format", help="storage format (default: parquet)")
 
@@ -77,6 +78,9 @@ def main(argv: list[str] | None = None) -> None:
     if command == "layers":
         settings = {name: value for name, value in given.items() if value is not None}
         config = PipelineConfig.from_session(spark, **settings)
+        if not config.source_path:
+            raise ValueError("give --source-path or set source_path in the session")
+        size_session(spark, config.source_path, config.time_zone)
         print(config.describe())
         print("datasets      ", *(spec.name for spec in DATASETS), STREAM)
         store_layers(spark, config)
@@ -92,6 +96,7 @@ def main(argv: list[str] | None = None) -> None:
         )
         scores.show(n=len(tables) * sum(map(len, wanted)), truncate=False)
         return
+    size_session(spark, given["source_path"])
     table = given["table"]
     summary = ingest_trips(
         spark,

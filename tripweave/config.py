@@ -28,13 +28,14 @@ class PipelineConfig:
     """Where trips come from, where datasets go and what is stamped on them.
 
     ``output_path`` stores every dataset below one folder; without it datasets become
-    tables of ``catalog.schema``. ``as_of`` fixes the clock columns (default: query time).
+    tables of ``catalog.schema``. ``time_zone`` decides on which date a zoned time falls. ``as_of`` fixes the clock columns (default: query time).
     """
 
-    catalog: str = "dev_catalog"
+    catalog: str = "spark_catalog"
     schema: str = "trips_dev"
     source_path: str = ""
     environment: str = ""
+    time_zone: str = "UTC"
     output_path: str | None = None
     table_format: str = "parquet"
     as_of: datetime | None = None

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripweave.session import scratch_path
+
 
 def rank_within(groups: Sequence[str], value: str) -> Column:
     """Dense rank by ``value``, largest first, inside each group."""
@@ -38,34 +40,37 @@ def trailing_mean(order: str, value: str, length: int) -> Column:
     return F.avg(value).over(frame)
 
 
-def overall_dense_rank(
-    df: DataFrame, value: str, name: str, *, narrow: bool = True, span: float = 100.0
-) -> DataFrame:
+def overall_dense_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     """Dense rank of every row by ``value``, largest first, over the whole input.
 
-    ``narrow`` input (a size bounded by a fixed domain) is ranked by one window in one task.
-    Otherwise the rank comes from the distinct values alone: they are ranked inside value
-    ranges of width ``span``, every range is shifted by the number of values above it, and
-    the result is joined back; no task sees more than one range or the list of ranges.
-    """
-    if narrow:
-        return df.withColumn(name, F.dense_rank().over(Window.orderBy(F.desc(value))))
+    Ranks come from the distinct values alone, so that a value of very many rows costs what
+    any other does: they are dealt into ranges of about equal size, ranked inside each, and
+    every range is shifted by the number of values above it. The one task over all ranges sees
+    one row of each. NaN ranks first, NULL last, as in a window over all rows.
 
-    block = F.floor(F.col("_value") / span)
-    values = df.select(F.col(value).alias("_value")).distinct().withColumn("_block", block)
-    above = Window.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
+    Rows and ranges are written to the shared folder when this is called, because the bounds
+    of ranges are drawn from the values and must be the same for all that reads them.
+    """
+    rows = _written(df, "ranked-rows")
+    values = rows.select(F.col(value).alias("_value")).distinct()
+    dealt = values.repartitionByRange(F.desc("_value"))
+    dealt = _written(dealt.withColumn("_range", F.spark_partition_id()), "ranked-values")
+    above = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        values.groupBy("_block")
+        dealt.groupBy("_range")
         .agg(F.count(F.lit(1)).alias("_size"))
-        .select(
-            F.col("_block").alias("_shift_block"),
-            F.coalesce(F.sum("_size").over(above), F.lit(0)).alias("_shift"),
-        )
+        .select("_range", F.coalesce(F.sum("_size").over(above), F.lit(0)).alias("_shift"))
     )
-    local = F.dense_rank().over(Window.partitionBy("_block").orderBy(F.desc("_value")))
+    local = F.row_number().over(Window.partitionBy("_range").orderBy(F.desc("_value")))
     ranks = (
-        values.withColumn("_local", local)
-        .join(shifts, F.col("_block").eqNullSafe(F.col("_shift_block")))
+        dealt.withColumn("_local", local)
+        .join(shifts, "_range")
         .select("_value", (F.col("_shift") + F.col("_local")).cast("int").alias(name))
     )
-    return df.join(ranks, F.col(value).eqNullSafe(F.col("_value"))).drop("_value")
+    return rows.join(ranks, F.col(value).eqNullSafe(F.col("_value"))).drop("_value")
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -232,6 +232,34 @@ def _rules_sql(source: str, dataset: str, rules: dict[str, str]) -> str:
     )
 
 
+def _expectations_sql() -> str:
+    raw = {
+        "valid_vendor": "VendorID IS NOT NULL",
+        "valid_pickup_time": "tpep_pickup_datetime IS NOT NULL",
+        "valid_dropoff_time": "tpep_dropoff_datetime IS NOT NULL",
+    }
+    enriched = {
+        "positive_trip_distance": "trip_distance > 0",
+        "positive_passenger_count": "passenger_count > 0",
+        "valid_fare": "fare_amount >= 0",
+        "valid_trip_duration": "trip_duration_minutes > 0",
+    }
+    refined = {
+        "valid_trip_distance": "(trip_distance > 0 AND trip_distance < 100)",
+        "valid_passenger_count": "(passenger_count > 0 AND passenger_count <= 6)",
+        "valid_fare": "(fare_amount > 0 AND fare_amount < 500)",
+        "valid_duration": "(trip_duration_minutes > 0 AND trip_duration_minutes < 180)",
+        "valid_speed": "(avg_speed_mph > 0 AND avg_speed_mph < 80)",
+        "logical_timestamps": "tpep_pickup_datetime < tpep_dropoff_datetime",
+    }
+    parts = (
+        _rules_sql("trips", "bronze_taxi_raw", raw),
+        _rules_sql("enriched", "bronze_taxi_enriched", enriched),
+        _rules_sql("refined", "silver_taxi_trips", refined),
+    )
+    return "\nUNION ALL\n".join(parts)
+
+
 def _null_pct(name: str) -> str:
     return (
         f"coalesce(count(*) FILTER (WHERE {name} IS NULL)::DOUBLE / nullif(count(*), 0) * 100, 0)"
@@ -346,43 +374,10 @@ def oracle_sql() -> dict[str, str]:
             FROM silver GROUP BY pickup_date, time_of_day, payment_type_name)""",
         "executive_summary": _with("silver", _DAILY) + _SUMMARY,
         "executive_summary_from_daily_stats": _with("silver", _DAILY) + _SUMMARY,
-        "expectation_report": _with("silver")
-        + "\nUNION ALL\n".join(
-            (
-                _rules_sql(
-                    "trips",
-                    "bronze_taxi_raw",
-                    {
-                        "valid_vendor": "VendorID IS NOT NULL",
-                        "valid_pickup_time": "tpep_pickup_datetime IS NOT NULL",
-                        "valid_dropoff_time": "tpep_dropoff_datetime IS NOT NULL",
-                    },
-                ),
-                _rules_sql(
-                    "enriched",
-                    "bronze_taxi_enriched",
-                    {
-                        "positive_trip_distance": "trip_distance > 0",
-                        "positive_passenger_count": "passenger_count > 0",
-                        "valid_fare": "fare_amount >= 0",
-                        "valid_trip_duration": "trip_duration_minutes > 0",
-                    },
-                ),
-                _rules_sql(
-                    "refined",
-                    "silver_taxi_trips",
-                    {
-                        "valid_trip_distance": "(trip_distance > 0 AND trip_distance < 100)",
-                        "valid_passenger_count": "(passenger_count > 0 AND passenger_count <= 6)",
-                        "valid_fare": "(fare_amount > 0 AND fare_amount < 500)",
-                        "valid_duration": "(trip_duration_minutes > 0"
-                        " AND trip_duration_minutes < 180)",
-                        "valid_speed": "(avg_speed_mph > 0 AND avg_speed_mph < 80)",
-                        "logical_timestamps": "tpep_pickup_datetime < tpep_dropoff_datetime",
-                    },
-                ),
-            )
-        ),
+        "expectation_report": _with("silver") + _expectations_sql(),
+        "expectation_report_stored": _with("silver")
+        + "SELECT *, CASE dataset WHEN 'bronze_taxi_enriched' THEN 'warn' ELSE 'drop' END AS mode"
+        + f" FROM ({_expectations_sql()})",
         "job_clean": _with("trips")
         + """SELECT *, CAST(year(pickup_datetime) AS INTEGER) AS pickup_year,
             CAST(month(pickup_datetime) AS INTEGER) AS pickup_month,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Collection, Iterator, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripweave.config import PipelineConfig
 from tripweave.operators.rules import (
@@ -19,6 +20,7 @@ from tripweave.operators.rules import (
     expectation_report,
 )
 from tripweave.plans import bronze, gold, silver
+from tripweave.session import scratch_path
 from tripweave.sinks import read_dataset, write_dataset
 from tripweave.sources.trip_files import read_trips, with_ingestion_metadata
 from tripweave.streaming.trip_stream import stream_folder, stream_trips
@@ -29,6 +31,8 @@ class DatasetSpec:
     """One dataset: ``build(*inputs, as_of)`` gives its rows, then ``rules`` apply by ``mode``.
 
     ``lazy_inputs`` replace ``inputs`` where nothing is stored and fewer inputs cost less.
+    ``costly`` rows come from a shuffle: a stored run writes them once before the rules, for
+    both the dataset and the counts of its rules.
     """
 
     name: str
@@ -37,7 +41,7 @@ class DatasetSpec:
     inputs: tuple[str, ...]
     properties: Mapping[str, str] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
-    few_rows_per_partition: bool = False
+    costly: bool = False
     rules: Rules = field(default_factory=dict)
     mode: str = "warn"
     lazy_inputs: tuple[str, ...] = ()
@@ -62,6 +66,8 @@ def _unchanged(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
 # Name of the source in the mapping handed to the specs.
 SOURCE = "trips_source"
 STREAM = "bronze_taxi_streaming"
+RULE_REPORT = "rule_report"
+DESCRIPTIONS = "dataset_descriptions"
 
 _DAY = ("pickup_date",)
 _OWNED = "business_owner"
@@ -99,6 +105,7 @@ DATASETS = (
         ("bronze_taxi_enriched",),
         {"quality": "silver"},
         partition_by=_DAY,
+        costly=True,
         rules=SILVER_RULES,
         mode="drop",
     ),
@@ -109,7 +116,6 @@ DATASETS = (
         ("silver_taxi_trips",),
         {"quality": "silver"},
         partition_by=_DAY,
-        few_rows_per_partition=True,
     ),
     DatasetSpec(
         "silver_hourly_location_stats",
@@ -118,7 +124,6 @@ DATASETS = (
         ("silver_taxi_trips",),
         {"quality": "silver"},
         partition_by=_DAY,
-        few_rows_per_partition=True,
     ),
     DatasetSpec(
         "silver_payment_analysis",
@@ -206,7 +211,7 @@ def open_stream(spark: SparkSession, config: PipelineConfig) -> DataFrame:
 class Layers(Mapping[str, DataFrame]):
     """Every dataset as a lazy DataFrame over ``source``, planned when first asked for.
 
-    Nothing is stored or run. Datasets share their inputs' plans but not their results: where
+    Nothing is stored or run, but that route ranks store their routes. Datasets share their inputs' plans but not their results: where
     several are wanted, ``store_layers`` computes each of them once.
     """
 
@@ -227,30 +232,64 @@ class Layers(Mapping[str, DataFrame]):
 
 
 def store_layers(
-    spark: SparkSession, config: PipelineConfig, source: DataFrame | None = None
+    spark: SparkSession,
+    config: PipelineConfig,
+    source: DataFrame | None = None,
+    only: Collection[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Store every dataset and read it back for the ones after it.
+    """Store every dataset, or ``only`` those named, and read it back for the ones after it.
 
     Each dataset is computed once: the eleven that use silver trips scan the stored table,
-    pruned to their columns, instead of repeating the deduplication.
+    pruned to their columns, instead of repeating the deduplication. ``RULE_REPORT`` is stored
+    beside them: passed and failed rows of every rule. Its counts are aggregates over stored
+    rows, and for the raw rules over three columns of the source. Below a folder the datasets'
+    comments and properties are stored as ``DESCRIPTIONS``; tables carry their own.
     """
     layers = {SOURCE: open_source(spark, config) if source is None else source}
-    for spec in DATASETS:
-        rows = spec.rows(layers, config.as_of)
-        target = _target(config, spec.name)
-        write_dataset(
-            rows,
-            fmt=config.table_format,
-            partition_by=spec.partition_by,
-            few_rows_each=spec.few_rows_per_partition,
-            comment=spec.comment,
-            properties=spec.properties,
-            **target,
-        )
-        layers[spec.name] = read_dataset(spark, rows, fmt=config.table_format, **target)
+    specs = [spec for spec in DATASETS if only is None or spec.name in only]
+    if config.output_path is None:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {config.catalog}.{config.schema}")
+    reports = []
+    for spec in specs:
+        rows = spec.candidates(layers, config.as_of)
+        if spec.costly:
+            path = scratch_path(spark, spec.name)
+            rows.write.parquet(path)
+            rows = spark.read.schema(rows.schema).parquet(path)
+        kept = apply_expectations(rows, spec.rules, spec.mode)
+        layers[spec.name] = _store(spark, config, spec.name, kept, spec)
+        if spec.rules:
+            seen = layers[spec.name] if spec.mode == "warn" else rows
+            report = expectation_report(seen, spec.rules, spec.name)
+            reports.append(report.withColumn("mode", F.lit(spec.mode)))
+    if reports:
+        report = reduce(DataFrame.unionByName, reports)
+        layers[RULE_REPORT] = _store(spark, config, RULE_REPORT, report)
+    if config.output_path is not None:
+        described = [(spec.name, spec.comment, dict(spec.properties)) for spec in specs]
+        layout = "dataset string, comment string, properties map<string, string>"
+        _store(spark, config, DESCRIPTIONS, spark.createDataFrame(described, layout))
     return layers
 
 
+def _store(
+    spark: SparkSession,
+    config: PipelineConfig,
+    name: str,
+    rows: DataFrame,
+    spec: DatasetSpec | None = None,
+) -> DataFrame:
+    if config.output_path is None:
+        target = {"table": config.table(name)}
+        described = {"comment": spec.comment, "properties": spec.properties} if spec else {}
+    else:
+        target = {"path": f"{config.output_path.rstrip('/')}/{name}"}
+        described = {}
+    partition_by = spec.partition_by if spec else ()
+    write_dataset(rows, fmt=config.table_format, partition_by=partition_by, **described, **target)
+    return read_dataset(spark, rows, fmt=config.table_format, **target)
+
+
 def rule_report(layers: Mapping[str, DataFrame], as_of: datetime | None = None) -> DataFrame:
     """Passed and failed rows of every rule of every dataset that has rules."""
     reports = (
@@ -260,8 +299,3 @@ def rule_report(layers: Mapping[str, DataFrame], as_of: datetime | None = None)
     )
     return reduce(DataFrame.unionByName, reports)
 
-
-def _target(config: PipelineConfig, name: str) -> dict[str, str]:
-    if config.output_path is None:
-        return {"table": config.table(name)}
-    return {"path": f"{config.output_path.rstrip('/')}/{name}"}

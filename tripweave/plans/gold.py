@@ -92,14 +92,20 @@ def peak_hours(trips: DataFrame, as_of: datetime | None = None) -> DataFrame:
     )
 
 
-def route_performance(
-    trips: DataFrame, as_of: datetime | None = None, *, zones_are_few: bool = True
-) -> DataFrame:
-    """Revenue per mile and minute of every route with enough trips, ranked by the latter.
+def route_performance(trips: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """Every route with enough trips, ranked by its revenue per minute.
 
-    With a fixed zone list there are at most zones x zones routes, few enough for one task
-    to rank; pass ``zones_are_few=False`` for location ids from an open domain.
+    Location ids may come from an open domain: no task ranks all routes. Calling this stores
+    the aggregated routes, once, for the ranking.
     """
+    ranked = overall_dense_rank(rated_routes(trips), "revenue_per_minute", "profitability_rank")
+    return extend(
+        ranked, {"route_type": route_length("avg_distance"), "last_updated": stamp(as_of)}
+    )
+
+
+def rated_routes(trips: DataFrame) -> DataFrame:
+    """Revenue per mile and minute of every route with enough trips."""
     routes = rollup(
         trips,
         ["PULocationID", "DOLocationID"],
@@ -118,19 +124,13 @@ def route_performance(
     def revenue_per(mean: str) -> Column:
         return ratio("total_revenue", F.col(mean) * F.col("trip_count"), 2)
 
-    rated = extend(
+    return extend(
         routes,
         {
             "revenue_per_mile": revenue_per("avg_distance"),
             "revenue_per_minute": revenue_per("avg_duration"),
         },
     )
-    ranked = overall_dense_rank(
-        rated, "revenue_per_minute", "profitability_rank", narrow=zones_are_few
-    )
-    return extend(
-        ranked, {"route_type": route_length("avg_distance"), "last_updated": stamp(as_of)}
-    )
 
 
 def customer_segments(trips: DataFrame, as_of: datetime | None = None) -> DataFrame:
@@ -223,7 +223,7 @@ def executive_summary(
     """One row: the latest day against the mean day of the 7 and 30 days before and itself.
 
     With stored ``daily_stats`` only the latest day's trips and the recent days' statistics
-    are read: the latest date is a scalar subquery, whose value prunes date partitions.
+    are read: the latest date, taken from the statistics, prunes date partitions of both.
     Without them one pass over ``trips`` gives all figures per day first.
     """
     if daily_stats is None:
@@ -242,7 +242,7 @@ def executive_summary(
 
 
 def _summary_from_latest(trips: DataFrame, daily_stats: DataFrame) -> DataFrame:
-    latest = trips.select(F.max("pickup_date")).scalar()
+    latest = daily_stats.select(F.max("pickup_date")).scalar()
     today = trips.filter(F.col("pickup_date") == latest).agg(
         F.max("pickup_date").alias("report_date"),
         rows().alias("trips_today"),

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from tripweave.operators.changes import snapshot_changes
 from tripweave.operators.quality import QualityCheck, quality_by_table, quality_score
-from tripweave.plans import gold
-from tripweave.plans.datasets import Layers, rule_report
+from tripweave.plans import gold, silver
+from tripweave.config import PipelineConfig
+from tripweave.plans.datasets import RULE_REPORT, Layers, rule_report, store_layers
 from tripweave.plans.ingest_job import JOB_CHECK, JobLabels, clean_trips, ingest_trips
 from tripweave.plans.presentation import in_reading_order, latest_days, quality_trend
 from tripweave.schemas import TRIP_KEY, TRIPS, trip_schema
@@ -77,11 +78,17 @@ def trips_source(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def summary_from_daily_stats(spark: SparkSession, folder: str) -> DataFrame:
-    """The summary the way it is computed over stored datasets."""
-    layers = _layers(spark, folder)
-    return _plain(
-        gold.executive_summary(layers["silver_taxi_trips"], layers["silver_daily_trip_stats"])
-    )
+    """The summary over stored silver trips and daily statistics."""
+    trips = _layers(spark, folder)["silver_taxi_trips"]
+    trips = _by_date(spark, trips, "silver-trips")
+    stats = _by_date(spark, silver.daily_trip_stats(trips), "daily-stats")
+    return _plain(gold.executive_summary(trips, stats))
+
+
+def _by_date(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(spark, label)
+    write_dataset(df, path=path, partition_by=["pickup_date"])
+    return read_dataset(spark, df, path=path)
 
 
 def silver_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,6 +107,14 @@ def expectations(spark: SparkSession, folder: str) -> DataFrame:
     return rule_report(_layers(spark, folder))
 
 
+def stored_expectations(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of the rules as a stored run leaves them."""
+    config = PipelineConfig(output_path=scratch_path(spark, "layers"))
+    source = with_ingestion_metadata(load_lineitem_trips(spark, folder), from_files=False)
+    ruled = ("bronze_taxi_raw", "bronze_taxi_enriched", "silver_taxi_trips")
+    return store_layers(spark, config, source, only=ruled)[RULE_REPORT]
+
+
 def job_clean(spark: SparkSession, folder: str) -> DataFrame:
     """Trips whose times are text, some of it not a time."""
     trips = load_lineitem_trips(spark, folder)
@@ -162,9 +177,7 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
 def partitioned_sink(spark: SparkSession, folder: str) -> DataFrame:
     """Daily statistics written by pickup date and read back."""
     stats = _layers(spark, folder)["silver_daily_trip_stats"]
-    path = scratch_path(spark, "daily-stats")
-    write_dataset(stats, path=path, partition_by=["pickup_date"], few_rows_each=True)
-    return _plain(read_dataset(spark, stats, path=path))
+    return _plain(_by_date(spark, stats, "daily-stats"))
 
 
 def changes_between_snapshots(spark: SparkSession, folder: str) -> DataFrame:
@@ -193,15 +206,14 @@ def queries() -> dict[str, Query]:
         "daily_kpis": _dataset("gold_daily_kpis"),
         "peak_hours": _dataset("gold_peak_hours_analysis"),
         "route_performance": _dataset("gold_route_performance"),
-        "route_performance_open_zones": _over_silver(
-            lambda trips: gold.route_performance(trips, zones_are_few=False)
-        ),
+        "route_performance_open_zones": _over_silver(gold.route_performance),
         "customer_segments": _dataset("gold_customer_segments"),
         "weekly_trends": _dataset("gold_weekly_trends"),
         "revenue_breakdown": _dataset("gold_revenue_breakdown"),
         "executive_summary": _dataset("gold_executive_summary"),
         "executive_summary_from_daily_stats": summary_from_daily_stats,
         "expectation_report": expectations,
+        "expectation_report_stored": stored_expectations,
         "job_clean": job_clean,
         "job_quality": job_quality,
         "ingest_job": ingest_job,

@@ -5,23 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
-def spread(
-    df: DataFrame, partition_by: Sequence[str] = (), few_rows_each: bool = False
-) -> DataFrame:
+def spread(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Even out the rows before a write, rows of one output partition together.
 
-    In general adaptive execution (on by default) splits a value with very many rows over
-    several tasks, and lets small ones share a task. ``few_rows_each`` says that every output
-    partition is small (such as one summary row per day): then writing is mostly opening
-    files, which all cores share by value.
+    Adaptive execution (on by default) splits a value with very many rows over several tasks,
+    and lets small ones share a task.
     """
-    if few_rows_each:
-        # Hashed, so that an aggregation by the same columns does not make it redundant.
-        tasks = df.sparkSession.sparkContext.defaultParallelism
-        return df.repartition(tasks, F.xxhash64(*partition_by))
     return df.hint("rebalance", *partition_by)
 
 
@@ -34,17 +25,19 @@ def write_dataset(
     partition_by: Sequence[str] = (),
     comment: str | None = None,
     properties: Mapping[str, str] | None = None,
-    few_rows_each: bool = False,
     rebalance: bool = False,
 ) -> None:
     """Replace ``table`` or the folder ``path`` with ``df``, layout included.
 
     Rows are shuffled before the write only for ``partition_by`` or on ``rebalance``, which
-    unevenly sized input needs; all else is written from the tasks that computed it.
+    unevenly sized input needs; all else is written from the tasks that computed it. A folder
+    has no place for ``comment`` and ``properties``: giving them with ``path`` is an error.
     """
     if (table is None) == (path is None):
         raise ValueError("give either table or path")
-    rows = spread(df, partition_by, few_rows_each) if partition_by or rebalance else df
+    if path is not None and (comment is not None or properties):
+        raise ValueError("a folder keeps no comment and no properties")
+    rows = spread(df, partition_by) if partition_by or rebalance else df
     writer = rows.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripweave.schemas import TRIPS
-from tripweave.sources.splits import spread_few_splits
 
 _USED = (
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -76,4 +75,4 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
 def load_lineitem_trips(spark: SparkSession, folder: str) -> DataFrame:
     """Trips of a folder's ``lineitem`` table."""
     used = spark.read.parquet(f"{folder}/lineitem.parquet").select(*_USED)
-    return trips_from_lineitem(spread_few_splits(used))
+    return trips_from_lineitem(used)
