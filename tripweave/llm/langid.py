@@ -28,6 +28,7 @@ MAX_GRAMS = 50_000
 ORDERS = (1, 2, 3, 4)
 _WORDS = re.compile(r"[^\W\d_]+")
 _CACHED = 100_000
+_AT_ONCE = 10_000  # words spelled at once
 # Weight of a spelled word beside a known one: n-grams of one word are not independent.
 _SPELLED = 0.5
 # Weight of all languages' frequencies in one language's, in occurrences.
@@ -41,11 +42,27 @@ def words_of(text: bytes) -> Counter:
     return words
 
 
-def _grams_at(word: str) -> Iterator[list[str]]:
-    """For each place of the padded word the n-grams that end there, longest first."""
-    padded = f"<{word}>"
-    for end in range(2, len(padded) + 1):
-        yield [padded[end - n : end] for n in reversed(ORDERS) if end >= n]
+class _Longest(dict):
+    """For a run of characters the place of its longest known suffix; a worker remembers runs."""
+
+    def __init__(self, known: dict[str, int], nothing: int):
+        self.known, self.nothing = known, nothing
+
+    def __missing__(self, run: str) -> int:
+        suffixes = (run[at:] for at in range(len(run)))
+        found = next((self.known[s] for s in suffixes if s in self.known), self.nothing)
+        if len(self) >= _CACHED:
+            self.clear()
+        self[run] = found
+        return found
+
+
+def _runs(word: str) -> list[str]:
+    """For each place of the padded word but the first, the characters that end there, as many as the longest order."""
+    padded, most = f"<{word}>", max(ORDERS)
+    return [padded[:end] for end in range(2, min(most, len(padded) + 1))] + [
+        padded[at : at + most] for at in range(len(padded) - most + 1)
+    ]
 
 
 class LanguageModel:
@@ -76,7 +93,10 @@ class Classifier:
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.grams = {gram: at for at, gram in enumerate(model.grams.split("\n"))}
+        grams = {gram: at for at, gram in enumerate(model.grams.split("\n"))} if len(model.gram_rows) else {}
+        nothing = np.zeros((1, len(model.languages)), np.float32)
+        self.gram_rows = np.concatenate([model.gram_rows, nothing])
+        self.longest = _Longest(grams, len(model.gram_rows))
         self.known = len(model.word_rows)
         self.rows = np.zeros((self.known + _CACHED, len(model.languages)), np.float32)
         self.rows[: self.known] = model.word_rows
@@ -86,15 +106,16 @@ class Classifier:
         words = self.model.words.split("\n") if self.known else []
         self.at = {word: at for at, word in enumerate(words)}
 
-    def spelled(self, word: str) -> np.ndarray:
-        found = []
-        for grams in _grams_at(word):
-            at = next((self.grams[g] for g in grams if g in self.grams), None)
-            if at is not None:
-                found.append(at)
-        if not found:
-            return np.zeros(len(self.model.languages), np.float32)
-        return _SPELLED * self.model.gram_rows[found].sum(axis=0)
+    def spell(self, words: list[str]) -> None:
+        """Remembers unknown words by what their n-grams tell."""
+        found, starts, place = [], [], self.longest.__getitem__
+        for word in words:
+            starts.append(len(found))
+            found += map(place, _runs(word))
+        sums = np.add.reduceat(self.gram_rows[found], starts, axis=0)
+        low = len(self.at)
+        self.rows[low : low + len(words)] = _SPELLED * sums
+        self.at.update(zip(words, range(low, low + len(words)), strict=True))
 
     def __call__(self, text: bytes | None) -> tuple[str, float]:
         words = words_of(text or b"")
@@ -102,19 +123,15 @@ class Classifier:
             return UNKNOWN, 0.0
         if not any(c.isalpha() for word in words for c in word):
             return UNKNOWN, 0.0
-        total, known = np.zeros(len(self.model.languages)), self.at
-        items = list(words.items())
-        for low in range(0, len(items), _CACHED // 2):
-            part = items[low : low + _CACHED // 2]
-            if len(known) + len(part) > len(self.rows):
+        total, every = np.zeros(len(self.model.languages)), list(words)
+        times = np.fromiter(words.values(), np.float64, len(words))
+        for low in range(0, len(every), _AT_ONCE):
+            part = every[low : low + _AT_ONCE]
+            if len(self.at) + len(part) > len(self.rows):
                 self.forget_words()
-                known = self.at
-            for word, _ in part:
-                if word not in known:
-                    self.rows[len(known)] = self.spelled(word)
-                    known[word] = len(known)
-            weights = np.array([n for _, n in part], np.float64)
-            total += weights @ self.rows[[known[word] for word, _ in part]]
+            if new := [word for word in part if word not in self.at]:
+                self.spell(new)
+            total += times[low : low + _AT_ONCE] @ self.rows[[*map(self.at.__getitem__, part)]]
         shares = np.exp(total - total.max())
         best = int(total.argmax())
         return self.model.languages[best], float(shares[best] / shares.sum())
