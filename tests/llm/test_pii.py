@@ -80,3 +80,18 @@ def test_odd_rows(spark):
     rows = docs.select("doc_id", pii.find(F.col("text"), patterns, spark).alias("s")).collect()
     assert len(rows) == docs.count() and not any(r.s for r in rows)
     assert pii.learn_patterns(no_documents(spark)) == {}
+
+
+def test_labels_glued_to_values(spark):
+    long = "w" * 100
+    rows = [(i, f"contact my mail:user{i}@example.org today and {long} key=person{i}@example.org now") for i in range(8)]
+    rows += [(50, "contact my mail:AB123456 today"), (51, f"and {long} key=99887766 now (my mail: 12345)")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    patterns = pii.learn_patterns(docs)
+    assert sorted(patterns) == sorted(["my mail:", f"{pii._shown(long)} key="])
+    found = {r.doc_id: r.s for r in docs.select("doc_id", pii.find(F.col("text"), patterns, spark).alias("s")).collect()}
+    texts = dict(rows)
+    assert [texts[50][s.start : s.end] for s in found[50]] == ["AB123456"]
+    assert [texts[51][s.start : s.end] for s in found[51]] == ["99887766"]
+    for text, values in [("acct:AB123456", ["AB123456"]), ("id=99887766", ["99887766"]), ("(ref:12345)", ["12345"]), ("a,123,456", ["123", "456"])]:
+        assert [text[a:b] for a, b in pii._candidates(pii._Words(text), [])] == values

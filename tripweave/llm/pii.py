@@ -9,7 +9,9 @@ of high confidence then extract the identifiers that no fixed pattern knows.
 
 from __future__ import annotations
 
+import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,9 +30,12 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
-# An identifier-like token, without the signs around it.
-_TOKEN = re.compile(r"[^\W_](?:[^\s,;:\"'()<>\[\]{}=|!?*&#$%]*[^\W_])?")
-_WORD = re.compile(r"\S+")
+# A word ends behind the signs that follow it, so a label and a value glued to it are two words.
+_SIGNS = r",;:\"'()<>\[\]{}=|!?*&#$%"
+_WORD = re.compile(rf"[{_SIGNS}]*+[^\s{_SIGNS}]++[{_SIGNS}]*+|[{_SIGNS}]++")
+# An identifier-like token: what a word holds without the signs around it.
+_TOKEN = re.compile(rf"[^\W_](?:[^\s{_SIGNS}]*[^\W_])?")
+_LONG_WORD = 80
 
 CONTEXT_WORDS = 2
 MIN_SUPPORT = 3  # different seed instances that a pattern must extract
@@ -78,26 +83,45 @@ def _is_card(text: str) -> bool:
     return sum(doubled) % 10 == 0
 
 
-def _context(text: str, start: int) -> str | None:
-    """The words before a place, lower-cased; None if there are too few."""
-    words = text[max(0, start - 80) : start].lower().split()
-    if start > 80 and not text[start - 81].isspace() and words and not text[start - 80].isspace():
-        words = words[1:]  # cut in the middle
-    return " ".join(words[-CONTEXT_WORDS:]) if len(words) >= CONTEXT_WORDS else None
+class _Words:
+    """The words of a text: their places, and the contexts of places. Learning, counting and finding all use it."""
 
+    def __init__(self, text: str):
+        self.text = text
+        self.spans = [m.span() for m in _WORD.finditer(text)]
+        self.starts = [a for a, _ in self.spans]
 
-def _candidates(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    def pattern(self, at: int) -> str | None:
+        """The words before word number ``at``, lower-cased; None if there are too few."""
+        if at < CONTEXT_WORDS:
+            return None
+        return " ".join(_shown(self.text[a:b]) for a, b in self.spans[at - CONTEXT_WORDS : at])
+
+    def context(self, start: int) -> str | None:
+        """The words before the one that holds a place."""
+        return self.pattern(bisect_right(self.starts, start) - 1)
+
+
+def _shown(word: str) -> str:
+    """A word as it stands in patterns: long ones by their beginning and digest."""
+    word = word.lower()
+    if len(word) <= _LONG_WORD:
+        return word
+    return f"{word[:16]}#{hashlib.blake2b(word.encode('utf-8', 'replace'), digest_size=16).hexdigest()}"
+
+
+def _candidates(words: _Words, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
     """Identifier-like tokens beside the base spans."""
     taken = sorted((a, b) for _, a, b in base)
     at = 0
-    for word in _WORD.finditer(text):
-        body = word[0]
+    for first, last in words.spans:
+        body = words.text[first:last]
         if "@" not in body and len(_DIGIT.findall(body)) < 3:
             continue
         inner = _TOKEN.search(body)
         if inner is None or sum(map(str.isdigit, inner[0])) < 3 and "@" not in inner[0]:
             continue
-        start, end = word.start() + inner.start(), word.start() + inner.end()
+        start, end = first + inner.start(), first + inner.end()
         while at < len(taken) and taken[at][1] <= start:
             at += 1
         if at == len(taken) or taken[at][0] >= end:
@@ -114,12 +138,12 @@ def _edges(docs: DataFrame) -> DataFrame:
                 text = body.decode("utf-8", "replace")
                 if not _DIGIT.search(text) and "@" not in text:
                     continue
-                base = base_spans(text)
+                base, words = base_spans(text), _Words(text)
                 for kind, a, b in base:
-                    if (pattern := _context(text, a)) is not None:
+                    if (pattern := words.context(a)) is not None:
                         counts[pattern, KINDS[kind], text[a:b].lower()] += 1
-                for a, b in _candidates(text, base):
-                    if (pattern := _context(text, a)) is not None:
+                for a, b in _candidates(words, base):
+                    if (pattern := words.context(a)) is not None:
                         counts[pattern, None, text[a:b].lower()] += 1
             if counts:
                 columns = zip(*counts, strict=True)
@@ -141,7 +165,7 @@ def _totals(docs: DataFrame, patterns: list[str]) -> DataFrame:
         firsts = {pattern.split(" ")[0] for pattern in wanted}
         for part in batches:
             for body in blobs(part.column(0)):
-                words = body.decode("utf-8", "replace").lower().split()
+                words = [_shown(word) for word in _WORD.findall(body.decode("utf-8", "replace"))]
                 for at, word in enumerate(words):
                     if word in firsts:
                         pattern = " ".join(words[at : at + CONTEXT_WORDS])
@@ -220,8 +244,9 @@ def find(text: Column, patterns: dict[str, str], session) -> Column:
             base = base_spans(text)
             found = [{"kind": KINDS[k], "start": a, "end": b, "base": True} for k, a, b in base]
             if known and _DIGIT.search(text) or "@" in text:
-                for a, b in _candidates(text, base):
-                    if (own := known.get(_context(text, a))) is not None:
+                words = _Words(text)
+                for a, b in _candidates(words, base):
+                    if (own := known.get(words.context(a))) is not None:
                         found.append({"kind": own, "start": a, "end": b, "base": False})
             out.append(found)
         return pa.array(out, kind)
