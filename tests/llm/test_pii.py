@@ -95,3 +95,20 @@ def test_labels_glued_to_values(spark):
     assert [texts[51][s.start : s.end] for s in found[51]] == ["99887766"]
     for text, values in [("acct:AB123456", ["AB123456"]), ("id=99887766", ["99887766"]), ("(ref:12345)", ["12345"]), ("a,123,456", ["123", "456"])]:
         assert [text[a:b] for a, b in pii._candidates(pii._Words(text), [])] == values
+
+
+def test_patterns_beyond_the_broadcast_size(spark, monkeypatch):
+    # "of the" has most seeds but is no reliable context; each "label<n> is" has three.
+    rows = [(i, f"of the user{i}@example.org and " + "of the words " * 9) for i in range(20)]
+    rows += [(100 + 3 * p + i, f"so label{p} is p{p}u{i}@example.org now") for p in range(5) for i in range(3)]
+    rows += [(200 + p, f"so label{p} is AB12345{p} now, label{p} is 998877 too") for p in range(5)] * 2
+    rows += [(None, None), (300, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    answers = []
+    for most in (50_000, 2):  # broadcast and joined
+        monkeypatch.setattr(pii, "MAX_BROADCAST_PATTERNS", most)
+        patterns = pii.pattern_table(docs)
+        assert {r.pattern: r.own for r in patterns.collect()} == {f"label{p} is": "email" for p in range(5)}
+        answers.append(sorted((str(r.doc_id), [tuple(s) for s in r.every]) for r in pii.find_all(docs, patterns).collect()))
+    assert answers[0] == answers[1] and len(answers[0]) == len(rows)
+    assert [len(spans) for name, spans in answers[0] if "200" <= name < "205"] == [2] * 10

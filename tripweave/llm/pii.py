@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import blobs, shielded, stored
+from tripweave.llm.common import blobs, content_key, shielded, stored
 
 # Kinds and their forms. At-signs and plus-signs are looked for first and their
 # matches built around them, which finds what matching from the left finds, in linear time.
@@ -41,7 +41,9 @@ CONTEXT_WORDS = 2
 MIN_SUPPORT = 3  # different seed instances that a pattern must extract
 MIN_CONFIDENCE = 0.6
 ROUNDS = 3
-MAX_PATTERNS = 50_000
+# Patterns that go to every worker; more of them are joined instead.
+MAX_BROADCAST_PATTERNS = 50_000
+_FLUSH = 300_000
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -156,36 +158,44 @@ def _edges(docs: DataFrame) -> DataFrame:
     return found.groupBy("pattern", "kind", "instance").agg(F.sum("n").alias("n"))
 
 
-def _totals(docs: DataFrame, patterns: list[str]) -> DataFrame:
-    """How often each of ``patterns`` stands in the corpus before any word."""
-    shared = docs.sparkSession.sparkContext.broadcast(frozenset(patterns))
+def _totals(docs: DataFrame, support: DataFrame) -> DataFrame:
+    """How often each pattern of ``support`` stands in the corpus before any word."""
+    few = support.limit(MAX_BROADCAST_PATTERNS + 1).count() <= MAX_BROADCAST_PATTERNS
+    patterns = frozenset(row.pattern for row in support.select("pattern").collect()) if few else None
+    shared = docs.sparkSession.sparkContext.broadcast(patterns)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, counts = shared.value, Counter()
-        firsts = {pattern.split(" ")[0] for pattern in wanted}
+        firsts = None if wanted is None else {pattern.split(" ")[0] for pattern in wanted}
+
+        def batch() -> pa.RecordBatch:
+            return pa.record_batch(
+                [pa.array(list(counts), pa.string()), pa.array(counts.values(), pa.int64())],
+                names=["pattern", "total"],
+            )
+
         for part in batches:
             for body in blobs(part.column(0)):
                 words = [_shown(word) for word in _WORD.findall(body.decode("utf-8", "replace"))]
-                for at, word in enumerate(words):
-                    if word in firsts:
+                for at in range(len(words) - CONTEXT_WORDS):
+                    if firsts is None or words[at] in firsts:
                         pattern = " ".join(words[at : at + CONTEXT_WORDS])
-                        if pattern in wanted and at + CONTEXT_WORDS < len(words):
+                        if wanted is None or pattern in wanted:
                             counts[pattern] += 1
+                if len(counts) > _FLUSH:
+                    yield batch()
+                    counts.clear()
         if counts:
-            yield pa.record_batch(
-                [pa.array(list(counts), pa.string()), pa.array(counts.values(), pa.int64())],
-                names=["pattern", "total"],
-            )
+            yield batch()
 
     counted = docs.select("text").mapInArrow(count, "pattern string, total long")
+    if not few:
+        counted = counted.join(support.select("pattern"), "pattern", "left_semi")
     return counted.groupBy("pattern").agg(F.sum("total").alias("total"))
 
 
-def learn_patterns(docs: DataFrame, text_col: str = "text") -> dict[str, str]:
-    """The patterns of high confidence and the kind that each extracts.
-
-    At most ``MAX_PATTERNS`` patterns are weighed, those with the most different seeds.
-    """
+def pattern_table(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``pattern`` and ``own``, the kind it extracts, of all patterns of high confidence."""
     rows, (text,) = shielded(docs, text_col)
     rows = rows.select(F.col(text).alias("text"))
     edges = stored(_edges(rows), "edges")
@@ -194,12 +204,10 @@ def learn_patterns(docs: DataFrame, text_col: str = "text") -> dict[str, str]:
     support = support.groupBy("pattern").agg(
         F.max(F.struct("support", "kind")).alias("best")
     ).select("pattern", "best.*")
-    support = support.where(F.col("support") >= MIN_SUPPORT)
-    support = stored(support.orderBy(F.desc("support"), "pattern").limit(MAX_PATTERNS), "support")
-    wanted = [row.pattern for row in support.select("pattern").collect()]
-    if not wanted:
-        return {}
-    weighed = support.join(_totals(rows, wanted), "pattern")
+    support = stored(support.where(F.col("support") >= MIN_SUPPORT), "support")
+    if support.isEmpty():
+        return support.select("pattern", F.col("kind").alias("own"))
+    weighed = support.join(_totals(rows, support), "pattern")
     graph = edges.join(weighed.select("pattern", F.col("kind").alias("own"), "total"), "pattern")
     graph = stored(graph, "graph")
     # Seeds of the pattern's kind are sure; other instances start at nothing.
@@ -219,8 +227,12 @@ def learn_patterns(docs: DataFrame, text_col: str = "text") -> dict[str, str]:
         )
         scored = stored(scored.drop("believed"), "trust")
     final = scored.groupBy("pattern", "own").agg((F.sum(F.col("trust") * F.col("n")) / F.max("total")).alias("confidence"))
-    good = final.where(F.col("confidence") >= MIN_CONFIDENCE).select("pattern", "own")
-    return {row.pattern: row.own for row in good.collect()}  # at most MAX_PATTERNS
+    return stored(final.where(F.col("confidence") >= MIN_CONFIDENCE).select("pattern", "own"), "patterns")
+
+
+def learn_patterns(docs: DataFrame, text_col: str = "text") -> dict[str, str]:
+    """``pattern_table`` on the driver, for patterns that fit there."""
+    return {row.pattern: row.own for row in pattern_table(docs, text_col).collect()}
 
 
 _RESULT = "array<struct<kind:string,start:int,end:int,base:boolean>>"
@@ -252,3 +264,45 @@ def find(text: Column, patterns: dict[str, str], session) -> Column:
         return pa.array(out, kind)
 
     return spans(text)
+
+
+def find_all(docs: DataFrame, patterns: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Each row's id and ``every``, its spans as by ``find``, by a pattern table of any size."""
+    if patterns.limit(MAX_BROADCAST_PATTERNS + 1).count() <= MAX_BROADCAST_PATTERNS:
+        known = {row.pattern: row.own for row in patterns.collect()}
+        return docs.select(F.col(id_col), find(F.col(text_col), known, docs.sparkSession).alias("every"))
+    return _found_by_join(docs, patterns, id_col, text_col)
+
+
+def _found_by_join(docs: DataFrame, patterns: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    rows, (name, text) = shielded(docs, id_col, text_col)
+    rows = rows.select(F.col(name).alias("id"), F.col(text).alias("text"), content_key(name, text).alias("key"))
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["a", "b", "start", "end", "pattern"]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string()]
+        for part in batches:
+            out: list[tuple] = []
+            keys = zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)
+            for (a, b), body in zip(keys, blobs(part.column(2)), strict=True):
+                text = body.decode("utf-8", "replace")
+                if not _DIGIT.search(text) and "@" not in text:
+                    continue
+                words = _Words(text)
+                for start, end in _candidates(words, base_spans(text)):
+                    if (pattern := words.context(start)) is not None:
+                        out.append((a, b, start, end, pattern))
+            if out:
+                columns = zip(*out, strict=True)
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    placed = rows.select("key.a", "key.b", "text").mapInArrow(contexts, "a long, b long, start int, end int, pattern string")
+    met = placed.join(patterns, "pattern").dropDuplicates(["a", "b", "start", "end"])
+    span = F.struct("start", "end", F.col("own").alias("kind"))
+    more = met.groupBy(F.struct("a", "b").alias("key")).agg(F.array_sort(F.collect_list(span)).alias("more"))
+    spans = F.transform(
+        "more", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit(False).alias("base"))
+    )
+    base = rows.select("id", "key", find(F.col("text"), {}, docs.sparkSession).alias("base"))
+    every = F.concat("base", F.coalesce(spans, F.expr(f"cast(array() AS {_RESULT})")))
+    return base.join(more, "key", "left").select(F.col("id").alias(id_col), every.alias("every"))

@@ -39,8 +39,7 @@ def op3_cap_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_bootstrapped_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    patterns = pii.learn_patterns(docs)
-    found = docs.select("doc_id", pii.find(F.col("text"), patterns, spark).alias("every"))
+    found = pii.find_all(docs, pii.pattern_table(docs))
     found = found.withColumn("base", F.filter("every", lambda s: s["base"]))
     kinds = F.transform("base", lambda s: s["kind"])
     counts = [
