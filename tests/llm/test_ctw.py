@@ -1,4 +1,5 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -140,3 +141,36 @@ def test_odd_rows(spark):
     assert all(r.n_known == r.train_tokens == 0 for r in nothing)
     assert all(r.score == pytest.approx(-8 * math.log10(2) * r.n_bytes) for r in nothing)
     assert ctw.score(no_documents(spark), F.col("lang") == "en").count() == 0
+
+
+VOCABULARY = "amber basil cedar delta ember fjord grove haven inlet jolly karma lemon mango noble ocean pearl quilt river stone tulip".split()
+
+
+def test_contexts_across_words(spark, monkeypatch):
+    draw = random.Random(2)
+    follow = {w: draw.sample(VOCABULARY, 2) for w in VOCABULARY}
+
+    def prose():
+        words = [draw.choice(VOCABULARY)]
+        while len(words) < 60:
+            words.append(draw.choice(follow[words[-1]]))
+        return words
+
+    rows = [(i, " ".join(prose()), True) for i in range(150)]
+    texts = [prose() for _ in range(20)]
+    rows += [(1000 + i, " ".join(words), False) for i, words in enumerate(texts)]
+    rows += [(2000 + i, " ".join(draw.sample(words, len(words))), False) for i, words in enumerate(texts)]
+    rows += [(3000, None, True), (3000, None, True), (None, "", False)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, good boolean")
+    answers = []
+    for most in (10**6, 1):  # broadcast and joined gram scores
+        monkeypatch.setattr(ctw, "MAX_BROADCAST_GRAMS", most)
+        answers.append(sorted((tuple(r) for r in ctw.score(frame, frame.good, across=True).collect()), key=str))
+    for one, other in zip(*answers, strict=True):
+        assert one[0] == other[0] and one[1:] == pytest.approx(other[1:], rel=1e-9)
+    assert len(answers[0]) == len(rows)
+    by_id = {r[0]: r for r in answers[0]}
+    for i in range(20):
+        (base, own), (salad_base, salad) = by_id[1000 + i][4:6], by_id[2000 + i][4:6]
+        assert own > base  # loss below that of the words alone
+        assert salad < own and salad_base == pytest.approx(base, rel=1e-9)

@@ -2,14 +2,15 @@
 
 A text is its lower-cased words, each closed by a space, and an end token. Every byte is
 eight binary decisions, and each decision is predicted from the bytes before it: a context
-reaches up to ``DEPTH`` bytes back, to the space before the word at most. For each decision
+reaches up to ``STREAM_DEPTH`` bytes back over the running text, across spaces, or (without
+``across``) ``DEPTH`` bytes, to the space before the word at most. For each decision
 the contexts of all depths form a tree. A node's Krichevsky-Trofimov estimate and the product
 of its children's weighted probabilities count half each, which weighs all prunings of the
 tree at once; read along a path this gives each depth's share in the prediction.
 
-Counts are learned once for each distinct word, weighted by its frequency, and a word's
-probability does not depend on its neighbours. So the corpus meets the model through its
-vocabulary: texts are only counted and joined with the scores of their words.
+Over running texts, the grams (a context and its next byte) of all texts are counted by task
+and shuffled, and texts are scored by the grams' scores. Without ``across``, counts are learned
+once for each distinct word, weighted by its frequency.
 """
 
 from __future__ import annotations
@@ -26,6 +27,10 @@ from pyspark.sql import functions as F
 from tripweave.llm.common import blobs, shielded, stored
 
 DEPTH = 5
+# Bytes that contexts over the running text reach back, across spaces; a gram holds no more.
+STREAM_DEPTH = 6
+# Bytes of text of which the grams are in memory at once.
+_SLICE = 1 << 21
 END = b"\n"
 # Words whose scores go to every worker, the most frequent ones; others are joined.
 HEAD = 200_000
@@ -114,6 +119,48 @@ def _gram_counts(tokens: DataFrame, depth: int) -> DataFrame:
     return counts.groupBy("gram").agg(F.sum("c").alias("c"))
 
 
+def stream_grams(text: bytes, depth: int = STREAM_DEPTH) -> Iterator[np.ndarray]:
+    """The grams of a text as one stream of bytes, all with contexts of full depth.
+
+    The stream is the text's words, each closed by a space, and the end token; before it stand
+    bytes that no word holds.
+    """
+    body = END * (depth - 1) + b" " + b" ".join([*words_of(text), END]) + b" "
+    for at in range(depth, len(body), _SLICE):
+        part = np.frombuffer(body[at - depth : at + _SLICE], np.uint8).astype(np.int64)
+        grams = part[depth:] | (depth << 56)
+        for k in range(1, depth + 1):
+            grams |= part[depth - k : len(part) - k] << (8 * k)
+        yield grams
+
+
+def _stream_counts(docs: DataFrame, depth: int) -> DataFrame:
+    """As ``_gram_counts``, of the streams of all texts; texts not learned count 0."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bool, list[np.ndarray]] = {True: [], False: []}
+        sizes = {True: 0, False: 0}
+
+        def batch(learn: bool) -> pa.RecordBatch:
+            grams, counts = np.unique(np.concatenate(held[learn]), return_counts=True)
+            held[learn], sizes[learn] = [], 0
+            return pa.record_batch([pa.array(grams), pa.array(counts * int(learn), pa.int64())], names=["gram", "c"])
+
+        for part in batches:
+            for learn, text in zip(part.column(0).to_pylist(), blobs(part.column(1)), strict=True):
+                for grams in stream_grams(text, depth):
+                    held[learn].append(grams)
+                    sizes[learn] += len(grams)
+                    if sizes[learn] >= _SLICE:
+                        yield batch(learn)
+        for learn in (True, False):
+            if held[learn]:
+                yield batch(learn)
+
+    counts = docs.select("learn", "text").mapInArrow(count, "gram long, c long")
+    return counts.groupBy("gram").agg(F.sum("c").alias("c"))
+
+
 # A context's number: its length above its bytes.
 _CTX = "(shiftright(gram, 56) << 48) | ((gram & 72057594037927935L) >> 8)"
 _LEVEL = "cast(ctx >> 48 AS int)"
@@ -145,10 +192,11 @@ def _log_mean(a: Column, b: Column) -> Column:
     return top + F.log1p(F.exp(F.least(a, b) - top)) - float(np.log(2))
 
 
-def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
+def gram_scores(grams: DataFrame, depth: int = DEPTH, even: bool = False) -> DataFrame:
     """``gram`` and ``lp``, its weighted log10 probability, from ``gram`` and its count ``c``.
 
-    A decision that a context has never seen is predicted by the longest that has.
+    A decision that a context has never seen is predicted by the longest that has. ``even`` says
+    that all contexts are of full depth; then each level is counted from the one below.
     """
     leaves = grams.select("gram", "c", F.expr(_CTX).alias("ctx"), F.expr("gram & 255").alias("sym"))
     bits = leaves.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(7))))
@@ -164,18 +212,29 @@ def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
         F.sum(F.expr("c * (1 - bit)")).alias("n0"), F.sum(F.expr("c * bit")).alias("n1")
     )
     leaf = stored(leaf, "leaves")
-    spread = leaf.withColumn("length", F.expr(f"explode(sequence(0, {_LEVEL}))"))
-    spread = spread.withColumn("leaf", F.expr(f"length = {_LEVEL}"))
-    counts = spread.withColumn("ctx", F.expr(_shortened("ctx", "length"))).groupBy("length", "ctx", "node").agg(
-        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.max("leaf").alias("leaf")
-    )
     estimate = _log_kt(F.col("n0").cast("double"), F.col("n1").cast("double"))
-    counts = stored(counts.withColumn("pe", estimate), "contexts")
+    levels: dict[int, DataFrame] = {}
+    if even:
+        level = leaf.withColumns({"length": F.lit(depth), "leaf": F.lit(True)})
+        for length in range(depth, -1, -1):
+            if length < depth:
+                shorter = F.expr(_shortened("ctx", str(length))).alias("ctx")
+                level = level.groupBy(shorter, "node").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+                level = stored(level, f"contexts{length}").withColumns({"length": F.lit(length), "leaf": F.lit(False)})
+            levels[length] = level.withColumn("pe", estimate)
+    else:
+        spread = leaf.withColumn("length", F.expr(f"explode(sequence(0, {_LEVEL}))"))
+        spread = spread.withColumn("leaf", F.expr(f"length = {_LEVEL}"))
+        counts = spread.withColumn("ctx", F.expr(_shortened("ctx", "length"))).groupBy("length", "ctx", "node").agg(
+            F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.max("leaf").alias("leaf")
+        )
+        counts = stored(counts.withColumn("pe", estimate), "contexts")
+        levels = {length: counts.where(F.col("length") == length) for length in range(depth + 1)}
 
     parent = F.expr(_shortened("ctx", "(length - 1)"))
     weighted: list[DataFrame] = []
     for length in range(depth, -1, -1):
-        level = counts.where(F.col("length") == length)
+        level = levels[length]
         if weighted:
             below = weighted[-1].groupBy(parent.alias("ctx"), "node").agg(F.sum("pw").alias("deeper"))
             level = level.join(below, ["ctx", "node"], "left")
@@ -261,13 +320,61 @@ def _scored_by_join(tokens: DataFrame, scores: DataFrame, depth: int) -> DataFra
     return grams.join(scores, "gram").groupBy("token", "c").agg(F.sum("lp").alias("lp"))
 
 
+def _digest(name: object, body: bytes) -> tuple[bytes, list[int]]:
+    """A row's digest, and as two numbers."""
+    digest = hashlib.blake2b(repr(name).encode() + b"\0" + body, digest_size=16).digest()
+    return digest, np.frombuffer(digest, "<i8").tolist()
+
+
+def _stream_scores(rows: DataFrame, scores: DataFrame, depth: int) -> DataFrame:
+    """``a``, ``b`` (the row's digest) and ``lp``, parts of the score of each text's stream.
+
+    ``rows`` hold an id and a text.
+    """
+    if scores.count() > MAX_BROADCAST_GRAMS:
+
+        def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in batches:
+                for name, body in zip(part.column(0).to_pylist(), blobs(part.column(1)), strict=True):
+                    _, (a, b) = _digest(name, body)
+                    for own in stream_grams(body, depth):
+                        grams, counts = np.unique(own, return_counts=True)
+                        row = [np.full(len(grams), a, np.int64), np.full(len(grams), b, np.int64), grams, counts]
+                        yield pa.record_batch([pa.array(c, pa.int64()) for c in row], names=["a", "b", "gram", "n"])
+
+        spelled = rows.mapInArrow(spell, "a long, b long, gram long, n long")
+        return spelled.join(scores, "gram").groupBy("a", "b").agg(F.sum(F.col("n") * F.col("lp")).alias("lp"))
+
+    table = scores.select("gram", "lp").toArrow()
+    grams, values = table["gram"].to_numpy(), table["lp"].to_numpy()
+    order = np.argsort(grams)
+    shared = rows.sparkSession.sparkContext.broadcast((grams[order], values[order]))
+
+    def score_streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, lps = shared.value
+        for part in batches:
+            out: list[tuple] = []
+            for name, body in zip(part.column(0).to_pylist(), blobs(part.column(1)), strict=True):
+                _, (a, b) = _digest(name, body)
+                lp = 0.0
+                for own in stream_grams(body, depth):
+                    # In order, so that neighbours are looked up in the same part of the table.
+                    lp += float(lps[np.searchsorted(known, np.sort(own))].sum())
+                out.append((a, b, lp))
+            if out:
+                yield _batch(out, [pa.int64(), pa.int64(), pa.float64()], ["a", "b", "lp"])
+
+    return rows.mapInArrow(score_streams, "a long, b long, lp double")
+
+
 def score(
     docs: DataFrame,
     learn: Column,
     id_col: str = "doc_id",
     text_col: str = "text",
-    depth: int = DEPTH,
+    depth: int | None = None,
     head: int = HEAD,
+    across: bool = False,
 ) -> DataFrame:
     """Scores of all texts by a model of the rows where ``learn`` is true.
 
@@ -276,7 +383,9 @@ def score(
     both log10, and ``n_bytes`` (of the modelled text; -score / n_bytes is the code length a
     byte). A null text is an empty one, a null ``learn`` is false. Equal rows are scored once
     and come back as often as given. Without rows to learn from every decision is even.
+    With ``across`` contexts run over the whole text, otherwise they stop before each word.
     """
+    depth = depth or (STREAM_DEPTH if across else DEPTH)
     rows, (key, text) = shielded(docs.withColumn("learn", F.coalesce(learn, F.lit(False))), id_col, text_col)
     id_type = rows.schema[key].dataType.simpleString()
     both = docs.select(F.coalesce(learn, F.lit(False)).alias("learn"), F.col(text_col).alias("text"))
@@ -284,8 +393,12 @@ def score(
     known = F.col("c") > 0
     total, distinct = tokens.agg(F.sum("c"), F.count(F.when(known, 1))).first()
     total = total or 0
-    scores = stored(gram_scores(stored(_gram_counts(tokens, depth), "grams"), depth), "scores")
-    tokens = stored(token_scores(tokens, scores, depth), "token-scores")
+    counted_grams = _stream_counts(both, depth) if across else _gram_counts(tokens, depth)
+    scores = stored(gram_scores(stored(counted_grams, "grams"), depth, even=across), "scores")
+    if across:  # The words only give the base score.
+        tokens = tokens.withColumn("lp", F.lit(0.0))
+    else:
+        tokens = stored(token_scores(tokens, scores, depth), "token-scores")
     floor = np.log10(total + distinct + 1)
 
     top = tokens.orderBy(F.desc("c"), "token").limit(head).toArrow()
@@ -304,8 +417,7 @@ def score(
             kinds += [pa.binary(), pa.int64()]
             out: list[tuple] = []
             for name, body in zip(part.column(0).to_pylist(), blobs(part.column(1)), strict=True):
-                digest = hashlib.blake2b(repr(name).encode() + b"\0" + body, digest_size=16).digest()
-                a, b = np.frombuffer(digest, "<i8").tolist()
+                digest, (a, b) = _digest(name, body)
                 counts = Counter(words_of(body))
                 size = sum(n * (len(w) + 1) for w, n in counts.items()) + 2
                 n_tokens = sum(counts.values()) + 1
@@ -346,6 +458,12 @@ def score(
         (F.col("base") + F.coalesce(F.expr("tf * t_base"), F.lit(0.0))).alias("base"),
         (F.col("score") + F.coalesce(F.expr("tf * t_score"), F.lit(0.0))).alias("score"),
     )
+    if across:
+        nothing = [F.lit(0).cast("long").alias(c) for c in ("copies", "n", "bytes", "known")]
+        streams = _stream_scores(rows.select(key, text), scores, depth).select(
+            "a", "b", F.lit(None).cast(id_type).alias("id"), *nothing, F.lit(0.0).alias("base"), F.col("lp").alias("score")
+        )
+        joined = joined.unionByName(streams)
     sums = joined.groupBy("a", "b").agg(
         F.max("id").alias("id"), *(F.sum(c).alias(c) for c in ("copies", "n", "bytes", "known", "base", "score"))
     )

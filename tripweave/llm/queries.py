@@ -26,7 +26,7 @@ def op1_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_context_tree(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    found = ctw.score(docs, remainder("doc_id", 7) != 2)
+    found = ctw.score(docs, remainder("doc_id", 7) != 2, across=True)
     held_out = F.coalesce(remainder("doc_id", 7) == 2, F.lit(False))
     return found.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"
