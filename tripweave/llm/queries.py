@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import capfilters, credentials, ctw, langid, licences, packing, pii, simhash, weaklabel, winnow
+from tripweave.llm import (
+    capfilters, credentials, ctw, filteraudit, langid, licences, packing, pii, simhash, weaklabel, winnow,
+)
 from tripweave.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,6 +142,12 @@ def op10_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "found.*", (F.col("found.score") >= 0.5).alias("kept"))
 
 
+def op13_gray_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    cells, letters = filteraudit.cells_of(docs, labels)
+    return filteraudit.audit(cells, letters, followed=("good", "toxic"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_harmonic_packing": op1_harmonic_packing,
@@ -152,8 +160,66 @@ def queries() -> dict[str, Query]:
         "op8_winnowing": op8_winnowing,
         "op9_credential_linking": op9_credential_linking,
         "op10_weak_labels": op10_weak_labels,
+        "op13_gray_filter_audit": op13_gray_filter_audit,
     }
 
 
+_FILTER_AUDIT = r"""
+WITH whole AS (
+    SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part FROM documents
+),
+seen AS (
+    SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+        min(doc_id) OVER (PARTITION BY text) AS low
+    FROM whole
+),
+marks AS (
+    SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+        max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+    FROM labels GROUP BY doc_id
+),
+masked AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+        CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+            + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+            + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 3 * length(text)
+                THEN 4 ELSE 0 END
+            + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+            + CASE WHEN low < doc_id THEN 16 ELSE 0 END AS mask
+    FROM seen LEFT JOIN marks USING (doc_id)
+),
+cells AS (
+    SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+    FROM masked GROUP BY part, mask
+),
+filters(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+    SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+        [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+    FROM filters a, filters b, filters c, filters d, filters e
+    WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+),
+steps AS (
+    SELECT filter_order, CAST(step AS INTEGER) AS step, bits[step] AS bit,
+        coalesce(list_sum(bits[1:step - 1]), 0) AS earlier
+    FROM orders, range(1, 6) AS steps(step)
+),
+counted AS (
+    SELECT part, filter_order, step, bit,
+        coalesce(sum(n) FILTER (mask & (earlier + bit) = 0), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (mask & earlier = 0 AND mask & bit <> 0), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (mask & earlier <> 0 AND mask & bit <> 0), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (mask & earlier = 0 AND mask & bit <> 0), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (mask & earlier = 0 AND mask & bit <> 0), 0)::BIGINT
+            AS toxic_lost
+    FROM cells, steps GROUP BY part, filter_order, step, bit
+)
+SELECT * EXCLUDE (bit),
+    CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op13_gray_filter_audit": _FILTER_AUDIT}
