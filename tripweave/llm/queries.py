@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.llm import (
-    capfilters, credentials, ctw, filteraudit, langid, licences, packing, pii, simhash, weaklabel, winnow,
+    capfilters, credentials, ctw, filteraudit, langid, licences, packing, pii, simhash, weaklabel,
+    whitening, winnow,
 )
 from tripweave.llm.common import remainder
 
@@ -142,6 +143,10 @@ def op10_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "found.*", (F.col("found.score") >= 0.5).alias("kept"))
 
 
+def op11_feast_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 def op13_gray_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     cells, letters = filteraudit.cells_of(docs, labels)
@@ -160,6 +165,7 @@ def queries() -> dict[str, Query]:
         "op8_winnowing": op8_winnowing,
         "op9_credential_linking": op9_credential_linking,
         "op10_weak_labels": op10_weak_labels,
+        "op11_feast_whitening": op11_feast_whitening,
         "op13_gray_filter_audit": op13_gray_filter_audit,
     }
 
