@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.llm import (
-    capfilters, credentials, ctw, filteraudit, langid, licences, packing, pii, simhash, weaklabel,
+    capfilters, credentials, ctw, divergence, filteraudit, langid, licences, packing, pii, simhash, weaklabel,
     whitening, winnow,
 )
 from tripweave.llm.common import remainder
@@ -147,6 +147,13 @@ def op11_feast_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))
 
 
+def op12_distribution_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    known = divergence.references(docs)
+    found = docs.select("doc_id", divergence.judged(F.col("text"), F.col("lang"), known, spark).alias("found"))
+    return found.select("doc_id", "found.*")
+
+
 def op13_gray_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     cells, letters = filteraudit.cells_of(docs, labels)
@@ -166,6 +173,7 @@ def queries() -> dict[str, Query]:
         "op9_credential_linking": op9_credential_linking,
         "op10_weak_labels": op10_weak_labels,
         "op11_feast_whitening": op11_feast_whitening,
+        "op12_distribution_divergence": op12_distribution_divergence,
         "op13_gray_filter_audit": op13_gray_filter_audit,
     }
 
