@@ -29,7 +29,7 @@ def test_layers(spark, source, tmp_path, capsys):
     out = tmp_path / "out"
     main(["layers", "--source-path", source, "--output-path", str(out), "--environment", "dev"])
     assert "gold_executive_summary" in capsys.readouterr().out
-    assert len(list(out.iterdir())) == 15 + 2  # rule report, descriptions
+    assert len(list(out.iterdir())) == 15 + 3  # rejected rows, rule report, descriptions
     assert spark.read.parquet(str(out / "silver_taxi_trips")).count() == 1
     row = spark.read.parquet(str(out / "bronze_taxi_raw")).first()
     assert row.environment == "dev" and Path(row.source_file).name == "trips.csv"

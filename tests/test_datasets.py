@@ -77,7 +77,7 @@ def few_days(spark, small):
 
 
 def _same(stored, lazy):
-    assert list(stored) == [SOURCE, *SIZES, RULE_REPORT]
+    assert {*stored} == {SOURCE, *SIZES, "bronze_taxi_rejected", RULE_REPORT}
     told = values(rule_report(lazy, AS_OF), "*")
     assert sorted(values(stored[RULE_REPORT].drop("mode"), "*")) == sorted(told)
     for name in SIZES:
@@ -141,7 +141,7 @@ def test_rule_report(layers):
         (dataset, rule): (passed, failed)
         for dataset, rule, passed, failed in values(rule_report(layers), "*")
     }
-    assert len(report) == 13
+    assert len(report) == 14 and report["bronze_taxi_raw", "fits_layout"] == (6221, 0)
     assert sum(report["bronze_taxi_raw", "valid_vendor"]) == 6221
     assert report["silver_taxi_trips", "logical_timestamps"] == (5428 - 132, 132)
     assert report["silver_taxi_trips", "valid_duration"] == (5428 - 132 - 21, 132 + 21)

@@ -9,6 +9,9 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Kinds of change whose rows are in the new snapshot.
+ADDED = ("insert", "update_postimage")
+
 
 def snapshot_changes(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows that differ, with ``_change_type``: insert, delete, update_preimage, update_postimage.

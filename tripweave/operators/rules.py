@@ -8,7 +8,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 Rules = Mapping[str, str]
@@ -44,7 +45,49 @@ def apply_expectations(df: DataFrame, rules: Rules, mode: str = "drop") -> DataF
         return df
     if mode != "drop":
         raise ValueError(f"unknown expectation mode {mode!r}")
-    return df.filter(reduce(lambda left, right: left & right, map(F.expr, rules.values())))
+    return df.filter(_all_of(rules))
+
+
+def _all_of(rules: Rules) -> Column:
+    return reduce(lambda left, right: left & right, map(F.expr, rules.values()), F.lit(True))
+
+
+def rejected_rows(df: DataFrame, rules: Rules) -> DataFrame:
+    """The rows that break any of ``rules``, with ``failed_rules``, the names of those they break."""
+    broken = [F.when(F.coalesce(F.expr(test), F.lit(False)), F.lit(None)).otherwise(F.lit(name)) for name, test in rules.items()]
+    return df.filter(~F.coalesce(_all_of(rules), F.lit(False))).withColumn(
+        "failed_rules", F.array_compact(F.array(*broken))
+    )
+
+
+def observed(df: DataFrame, rules: Rules, watch: Observation | str, dropping: Rules | None = None) -> DataFrame:
+    """``df``, whose next action counts rows by the way: seen, passing each rule, and kept.
+
+    ``kept`` rows pass the ``dropping`` rules (default: all). A batch takes an ``Observation``, a
+    stream a name, under which every progress report carries the counts. A task that fails is
+    not counted, but one that ended counts again if its stage runs anew after its output was
+    lost with an executor: whoever stores the rows can tell by their number.
+    """
+    counts = {"seen": F.count(F.lit(1)), "kept": F.count_if(_all_of(rules if dropping is None else dropping))}
+    counts |= {f"passed_{i}": F.count_if(F.expr(test)) for i, test in enumerate(rules.values())}
+    return df.observe(watch, *(column.alias(name) for name, column in counts.items()))
+
+
+def observed_lines(counts: Mapping[str, int], rules: Rules, dataset: str) -> list[tuple[str, str, int, int]]:
+    """Lines of a rule report from the counts of ``observed``."""
+    passed = [counts[f"passed_{i}"] for i in range(len(rules))]
+    return [(dataset, name, n, counts["seen"] - n) for name, n in zip(rules, passed, strict=True)]
+
+
+REPORT_LAYOUT = "dataset string, rule string, passed long, failed long"
+
+
+def told(watch: Observation) -> dict[str, object] | None:
+    """What a finished action left in ``watch``; None if it left nothing."""
+    try:
+        return watch.get
+    except Py4JJavaError:
+        return None
 
 
 def expectation_report(df: DataFrame, rules: Rules, dataset: str) -> DataFrame:

@@ -7,22 +7,26 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.config import PipelineConfig
 from tripweave.operators.rules import (
     ENRICHED_RULES,
     RAW_RULES,
+    REPORT_LAYOUT,
     SILVER_RULES,
     Rules,
     apply_expectations,
     expectation_report,
+    observed,
+    observed_lines,
+    rejected_rows,
+    told,
 )
 from tripweave.plans import bronze, gold, silver
-from tripweave.session import scratch_path
 from tripweave.sinks import read_dataset, write_dataset
-from tripweave.sources.trip_files import read_trips, with_ingestion_metadata
+from tripweave.sources.trip_files import FITS_LAYOUT, RAW_LINE, read_trips, with_ingestion_metadata
 from tripweave.streaming.trip_stream import stream_folder, stream_trips
 
 
@@ -31,8 +35,8 @@ class DatasetSpec:
     """One dataset: ``build(*inputs, as_of)`` gives its rows, then ``rules`` apply by ``mode``.
 
     ``lazy_inputs`` replace ``inputs`` where nothing is stored and fewer inputs cost less.
-    ``costly`` rows come from a shuffle: a stored run writes them once before the rules, for
-    both the dataset and the counts of its rules.
+    ``rejects`` names the dataset in which a stored run keeps the rows that break a rule or,
+    read from files, do not fit the layout.
     """
 
     name: str
@@ -41,7 +45,7 @@ class DatasetSpec:
     inputs: tuple[str, ...]
     properties: Mapping[str, str] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
-    costly: bool = False
+    rejects: str = ""
     rules: Rules = field(default_factory=dict)
     mode: str = "warn"
     lazy_inputs: tuple[str, ...] = ()
@@ -56,7 +60,12 @@ class DatasetSpec:
     def rows(
         self, layers: Mapping[str, DataFrame], as_of: datetime | None, lazy: bool = False
     ) -> DataFrame:
-        return apply_expectations(self.candidates(layers, as_of, lazy), self.rules, self.mode)
+        rows = self.candidates(layers, as_of, lazy)
+        return apply_expectations(rows, self.rules, self.mode).drop(RAW_LINE)
+
+    def counted_rules(self, rows: DataFrame) -> Rules:
+        """The rules, and whether lines fit the layout where ``rows`` tell; that one only warns."""
+        return {**self.rules, **FITS_LAYOUT} if RAW_LINE in rows.columns else self.rules
 
 
 def _unchanged(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
@@ -82,6 +91,7 @@ DATASETS = (
         {"quality": "bronze"},
         rules=RAW_RULES,
         mode="drop",
+        rejects="bronze_taxi_rejected",
     ),
     DatasetSpec(
         "bronze_taxi_enriched",
@@ -105,7 +115,6 @@ DATASETS = (
         ("bronze_taxi_enriched",),
         {"quality": "silver"},
         partition_by=_DAY,
-        costly=True,
         rules=SILVER_RULES,
         mode="drop",
     ),
@@ -197,7 +206,7 @@ _SPECS = {spec.name: spec for spec in DATASETS}
 
 def open_source(spark: SparkSession, config: PipelineConfig) -> DataFrame:
     """Trips of the configured CSV source with ingestion metadata."""
-    trips = read_trips(spark, config.source_path)
+    trips = read_trips(spark, config.source_path, keep_lines=True)
     return with_ingestion_metadata(trips, config.environment, config.as_of)
 
 
@@ -211,8 +220,9 @@ def open_stream(spark: SparkSession, config: PipelineConfig) -> DataFrame:
 class Layers(Mapping[str, DataFrame]):
     """Every dataset as a lazy DataFrame over ``source``, planned when first asked for.
 
-    Nothing is stored or run, but that route ranks store their routes. Datasets share their inputs' plans but not their results: where
-    several are wanted, ``store_layers`` computes each of them once.
+    Nothing is stored or run, but that route ranks store their routes. Datasets share their
+    inputs' plans but not their results: where several are wanted, ``store_layers`` computes
+    each of them once.
     """
 
     def __init__(self, source: DataFrame, as_of: datetime | None = None):
@@ -241,30 +251,37 @@ def store_layers(
 
     Each dataset is computed once: the eleven that use silver trips scan the stored table,
     pruned to their columns, instead of repeating the deduplication. ``RULE_REPORT`` is stored
-    beside them: passed and failed rows of every rule. Its counts are aggregates over stored
-    rows, and for the raw rules over three columns of the source. Below a folder the datasets'
-    comments and properties are stored as ``DESCRIPTIONS``; tables carry their own.
+    beside them: passed and failed rows of every rule, counted by the writes themselves. Only
+    where a write counted other rows than it stored (a stage ran twice after executors were lost)
+    are the rules counted by a scan. ``rejects`` are read in a second pass, made only if there
+    are any. Below a folder the datasets' comments and properties are stored as
+    ``DESCRIPTIONS``; tables carry their own.
     """
     layers = {SOURCE: open_source(spark, config) if source is None else source}
     specs = [spec for spec in DATASETS if only is None or spec.name in only]
     if config.output_path is None:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {config.catalog}.{config.schema}")
-    reports = []
+    report = []
     for spec in specs:
         rows = spec.candidates(layers, config.as_of)
-        if spec.costly:
-            path = scratch_path(spark, spec.name)
-            rows.write.parquet(path)
-            rows = spark.read.schema(rows.schema).parquet(path)
-        kept = apply_expectations(rows, spec.rules, spec.mode)
+        rules = spec.counted_rules(rows)
+        if not rules:
+            layers[spec.name] = _store(spark, config, spec.name, rows, spec)
+            continue
+        watch = Observation()
+        seen = observed(rows, rules, watch, spec.rules if spec.mode == "drop" else {})
+        kept = apply_expectations(seen, spec.rules, spec.mode).drop(RAW_LINE)
         layers[spec.name] = _store(spark, config, spec.name, kept, spec)
-        if spec.rules:
-            seen = layers[spec.name] if spec.mode == "warn" else rows
-            report = expectation_report(seen, spec.rules, spec.name)
-            reports.append(report.withColumn("mode", F.lit(spec.mode)))
-    if reports:
-        report = reduce(DataFrame.unionByName, reports)
-        layers[RULE_REPORT] = _store(spark, config, RULE_REPORT, report)
+        lines = _report_lines(told(watch), layers[spec.name], rows, rules, spec.name)
+        report += [(*line, spec.mode if line[1] in spec.rules else "warn") for line in lines]
+        if spec.rejects:
+            broken = _rejects(spec, rows, rules)
+            if not any(failed for *_, failed in lines):
+                broken = spark.createDataFrame([], broken.schema)
+            layers[spec.rejects] = _store(spark, config, spec.rejects, broken)
+    if report:
+        lines = spark.createDataFrame(report, f"{REPORT_LAYOUT}, mode string")
+        layers[RULE_REPORT] = _store(spark, config, RULE_REPORT, lines)
     if config.output_path is not None:
         described = [(spec.name, spec.comment, dict(spec.properties)) for spec in specs]
         layout = "dataset string, comment string, properties map<string, string>"
@@ -272,6 +289,30 @@ def store_layers(
     return layers
 
 
+def _report_lines(
+    counts: Mapping[str, int] | None, stored: DataFrame, rows: DataFrame, rules: Rules, name: str
+) -> list[tuple]:
+    """The lines that a write counted, or those of a scan if it did not count what is stored.
+
+    Files know their number of rows, so that comparing costs no scan.
+    """
+    if counts is not None and counts["kept"] == stored.count():
+        return observed_lines(counts, rules, name)
+    return [tuple(row) for row in expectation_report(rows, rules, name).collect()]
+
+
+def _rejects(spec: DatasetSpec, rows: DataFrame, rules: Rules) -> DataFrame:
+    """Rows that break a rule or do not fit the layout, as far as they could be read.
+
+    ``raw_line`` is the text of a line that does not fit, ``failed_rules`` names what was broken,
+    ``kept`` rows are in the dataset all the same.
+    """
+    if RAW_LINE not in rows.columns:
+        rows = rows.withColumn(RAW_LINE, F.lit(None).cast("string"))
+    dropping = F.array(*(F.lit(name) for name in spec.rules))
+    return rejected_rows(rows, rules).withColumn("kept", ~F.arrays_overlap("failed_rules", dropping))
+
+
 def _store(
     spark: SparkSession,
     config: PipelineConfig,
@@ -292,10 +333,9 @@ def _store(
 
 def rule_report(layers: Mapping[str, DataFrame], as_of: datetime | None = None) -> DataFrame:
     """Passed and failed rows of every rule of every dataset that has rules."""
-    reports = (
-        expectation_report(spec.candidates(layers, as_of), spec.rules, spec.name)
-        for spec in DATASETS
-        if spec.rules
-    )
+    reports = []
+    for spec in DATASETS:
+        if spec.rules:
+            rows = spec.candidates(layers, as_of)
+            reports.append(expectation_report(rows, spec.counted_rules(rows), spec.name))
     return reduce(DataFrame.unionByName, reports)
-

@@ -50,6 +50,11 @@ def daily_kpis(trips: DataFrame, as_of: datetime | None = None) -> DataFrame:
             "avg_passengers_per_trip": F.avg("passenger_count"),
         },
     )
+    return compare_days(days, as_of)
+
+
+def compare_days(days: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """The key figures of ``days``, a row each, with ratios and the change from the row before."""
     expected_miles = F.col("total_trips") * EXPECTED_MILES_PER_TRIP
     return extend(
         days,

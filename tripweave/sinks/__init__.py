@@ -1,5 +1,5 @@
 """Writers for datasets."""
 
-from tripweave.sinks.tables import read_dataset, spread, write_dataset
+from tripweave.sinks.tables import read_dataset, spread, write_dataset, write_partitions
 
-__all__ = ["read_dataset", "spread", "write_dataset"]
+__all__ = ["read_dataset", "spread", "write_dataset", "write_partitions"]

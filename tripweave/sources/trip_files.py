@@ -12,6 +12,11 @@ from tripweave.functions.clock import stamp
 from tripweave.schemas import TIME_FORMAT, TRIPS
 
 
+# Name of the column for the text of a line that does not fit the layout; fixed for readers and rules.
+RAW_LINE = "raw_line"
+FITS_LAYOUT = {"fits_layout": f"{RAW_LINE} IS NULL"}
+
+
 def csv_options(strict_header: bool = False) -> dict[str, str]:
     """Reader options of the trip layout.
 
@@ -31,9 +36,19 @@ def read_trips(
     path: str,
     schema: T.StructType = TRIPS,
     strict_header: bool = False,
+    keep_lines: bool = False,
 ) -> DataFrame:
-    """Typed batch scan of CSV files, compressed or not."""
-    return spark.read.schema(schema).options(**csv_options(strict_header)).csv(path)
+    """Typed batch scan of CSV files, compressed or not.
+
+    With ``keep_lines`` a line that does not fit the layout (a value of another type, too few or
+    too many values) stands in ``RAW_LINE`` as it is in the file; its other columns hold what
+    could be read. The column is NULL for lines that fit, and costs nothing where it is not used.
+    """
+    reader = spark.read.options(**csv_options(strict_header))
+    if keep_lines:
+        schema = T.StructType([*schema.fields, T.StructField(RAW_LINE, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", RAW_LINE)
+    return reader.schema(schema).csv(path)
 
 
 def read_trips_inferred(spark: SparkSession, path: str) -> DataFrame:
