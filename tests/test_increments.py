@@ -160,6 +160,7 @@ def test_streamed_layers_equal_a_batch(spark, small, tmp_path):
     run(None)  # nothing new
     lazy = Layers(with_ingestion_metadata(source, "", AS_OF, from_files=False), AS_OF)
     wanted, found = lazy["silver_taxi_trips"], layers.silver()
+    assert {r.period.day for r in layers.raw().select("period").distinct().collect()} != {1}
     assert 0 < first < found.count() == wanted.count()
     assert found.select(*wanted.columns).exceptAll(wanted).isEmpty()
     assert layers.raw().count() == lazy["bronze_taxi_raw"].count()

@@ -222,6 +222,18 @@ _SUMMARY = f"""
         (SELECT avg(total_trips) AS avg_trips_30d, avg(total_revenue) AS avg_revenue_30d
         FROM daily WHERE pickup_date >= (SELECT max(pickup_date) FROM silver) - 30)"""
 
+_SEGMENTS = f"""
+        SELECT *, {_percent("total_revenue", "(sum(total_revenue) OVER ())")}
+                AS revenue_contribution_pct,
+            CASE WHEN avg_spend > 30 AND avg_tip_pct > 15 THEN 'Premium'
+                WHEN avg_spend > 20 AND trip_count > 100 THEN 'High Value'
+                WHEN avg_spend < 10 THEN 'Budget' ELSE 'Standard' END AS customer_segment
+        FROM (SELECT payment_type_name, time_of_day, is_weekend, count(*) AS trip_count,
+                avg(trip_distance) AS avg_distance, avg(total_amount) AS avg_spend,
+                avg(tip_percentage) AS avg_tip_pct, sum(total_amount) AS total_revenue,
+                avg(passenger_count) AS avg_passengers
+            FROM silver GROUP BY payment_type_name, time_of_day, is_weekend)"""
+
 
 def _rules_sql(source: str, dataset: str, rules: dict[str, str]) -> str:
     return "\nUNION ALL\n".join(
@@ -233,11 +245,6 @@ def _rules_sql(source: str, dataset: str, rules: dict[str, str]) -> str:
 
 
 def _expectations_sql() -> str:
-    raw = {
-        "valid_vendor": "VendorID IS NOT NULL",
-        "valid_pickup_time": "tpep_pickup_datetime IS NOT NULL",
-        "valid_dropoff_time": "tpep_dropoff_datetime IS NOT NULL",
-    }
     enriched = {
         "positive_trip_distance": "trip_distance > 0",
         "positive_passenger_count": "passenger_count > 0",
@@ -253,7 +260,7 @@ def _expectations_sql() -> str:
         "logical_timestamps": "tpep_pickup_datetime < tpep_dropoff_datetime",
     }
     parts = (
-        _rules_sql("trips", "bronze_taxi_raw", raw),
+        _rules_sql("trips", "bronze_taxi_raw", _RAW_RULES),
         _rules_sql("enriched", "bronze_taxi_enriched", enriched),
         _rules_sql("refined", "silver_taxi_trips", refined),
     )
@@ -279,7 +286,110 @@ def _table_quality(table: str, critical: list[str], non_negative: list[str]) ->
     )
 
 
+def _text_of(name: str) -> str:
+    kind = TRIPS[name].dataType.typeName()
+    text = f"strftime({name}, '%Y-%m-%d %H:%M:%S')" if kind == "timestamp" else f"CAST({name} AS VARCHAR)"
+    if name == "tpep_pickup_datetime":
+        text = f"CASE WHEN PULocationID = 7 AND {name} IS NOT NULL THEN 'not a time' ELSE {text} END"
+    if name == "passenger_count":
+        text = f"CASE WHEN PULocationID = 10 THEN 'two' ELSE {text} END"
+    return f"coalesce({text}, '')"
+
+
+def _damaged_sql() -> str:
+    """Trips whose lines are damaged for some pickup zones: what is read of them, and the lines."""
+    texts = [_text_of(name) for name in TRIPS.names]
+    read = []
+    for at, name in enumerate(TRIPS.names):
+        lost = "PULocationID = 9" if at >= 5 else ""
+        lost = {"tpep_pickup_datetime": "PULocationID = 7", "passenger_count": "PULocationID = 10"}.get(name, lost)
+        read.append(f"CASE WHEN NOT ({lost}) THEN {name} END AS {name}" if lost else name)
+    return f"""damaged AS (
+    SELECT {", ".join(read)},
+        CASE WHEN PULocationID = 7 AND tpep_pickup_datetime IS NOT NULL
+                OR PULocationID IN (8, 9, 10) THEN
+            CASE PULocationID WHEN 9 THEN {" || ',' || ".join(texts[:5])}
+                ELSE {" || ',' || ".join(texts)} END
+            || CASE PULocationID WHEN 8 THEN ',surplus' ELSE '' END END AS raw_line
+    FROM trips
+),
+judged AS (
+    SELECT *, VendorID IS NOT NULL AND tpep_pickup_datetime IS NOT NULL
+            AND tpep_dropoff_datetime IS NOT NULL AS kept,
+        concat_ws(',', CASE WHEN VendorID IS NULL THEN 'valid_vendor' END,
+            CASE WHEN tpep_pickup_datetime IS NULL THEN 'valid_pickup_time' END,
+            CASE WHEN tpep_dropoff_datetime IS NULL THEN 'valid_dropoff_time' END,
+            CASE WHEN raw_line IS NOT NULL THEN 'fits_layout' END) AS failed_rules
+    FROM damaged
+)"""
+
+
+_RAW_RULES = {
+    "valid_vendor": "VendorID IS NOT NULL",
+    "valid_pickup_time": "tpep_pickup_datetime IS NOT NULL",
+    "valid_dropoff_time": "tpep_dropoff_datetime IS NOT NULL",
+}
+
+
+def _stored_sql() -> dict[str, str]:
+    """Twins of the queries that store, stream or bring up to date."""
+    trips = _with("trips") + "SELECT * FROM trips"
+    changed = """changed AS (
+    SELECT * REPLACE (CASE WHEN RatecodeID = 5 THEN fare_amount + 1 ELSE fare_amount END AS fare_amount)
+    FROM silver WHERE RatecodeID <> 7
+)"""
+    daily, kpis = (step.replace("FROM silver", "FROM changed") for step in (_DAILY, _KPIS))
+    damaged = _with("trips", _damaged_sql())
+    columns = ", ".join(TRIPS.names)
+    return {
+        "rejected_lines": damaged
+        + f"SELECT {columns}, raw_line, failed_rules, kept FROM judged WHERE failed_rules <> ''",
+        "damaged_lines_report": damaged
+        + "SELECT *, CASE rule WHEN 'fits_layout' THEN 'warn' ELSE 'drop' END AS mode FROM ("
+        + _rules_sql("judged", "bronze_taxi_raw", _RAW_RULES | {"fits_layout": "raw_line IS NULL"})
+        + ")",
+        "daily_stats_from_changes": _with("silver", changed, daily) + "SELECT * FROM daily",
+        "daily_kpis_from_changes": _with("silver", changed, kpis) + "SELECT * FROM kpis",
+        "streamed_silver": _with("silver") + "SELECT * FROM silver",
+        "stream_expectations": _with("trips") + _rules_sql("trips", "bronze_taxi_raw", _RAW_RULES),
+        "stream_on_an_interval": trips,
+        "stream_with_archive": trips,
+        "touched_dates": _with("silver")
+        + """SELECT pickup_date, PULocationID, total_amount,
+            CASE WHEN year(pickup_date) = 1997 THEN fare_amount * 2 ELSE fare_amount END AS fare_amount
+        FROM silver WHERE NOT (year(pickup_date) = 1997 AND month(pickup_date) = 5)""",
+        "described_table": _with("silver")
+        + f"""SELECT *, 'gold' AS quality, 'marketing_team' AS business_owner,
+            'Spending segments' AS comment FROM ({_SEGMENTS})""",
+        "job_metadata": _with("trips")
+        + """SELECT PULocationID, DOLocationID, total_amount, 'lineitem' AS data_source,
+            'bronze' AS pipeline_stage, 'public' AS data_classification,
+            'transportation' AS business_domain, 'bronze_taxi_ingestion' AS ingestion_job,
+            DATE '2022-02-02' AS processing_date
+        FROM trips""",
+        "geo_layout": _with("trips")
+        + """SELECT CAST(VendorID AS VARCHAR) AS VendorID,
+            strftime(tpep_pickup_datetime, '%Y-%m-%d %H:%M:%S') AS tpep_pickup_datetime,
+            strftime(tpep_dropoff_datetime, '%Y-%m-%d %H:%M:%S') AS tpep_dropoff_datetime,
+            passenger_count::DOUBLE AS passenger_count, trip_distance,
+            PULocationID / 4 - 74 AS pickup_longitude, PULocationID / 8 + 40 AS pickup_latitude,
+            CAST(RatecodeID AS VARCHAR) AS RatecodeID, store_and_fwd_flag,
+            DOLocationID / 4 - 74 AS dropoff_longitude, DOLocationID / 8 + 40 AS dropoff_latitude,
+            CAST(payment_type AS VARCHAR) AS payment_type, fare_amount, extra, mta_tax, tip_amount,
+            tolls_amount, total_amount, tpep_pickup_datetime AS pickup_datetime,
+            CASE WHEN passenger_count > 0 THEN passenger_count ELSE 1 END::DOUBLE
+                AS passenger_count_clean,
+            CASE WHEN trip_distance <= 0 OR total_amount <= 0 OR tpep_pickup_datetime IS NULL
+                THEN 'SUSPICIOUS' ELSE 'CLEAN' END AS data_quality_flag
+        FROM trips""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
+    return _report_sql() | _stored_sql()
+
+
+def _report_sql() -> dict[str, str]:
     trips = _with("trips") + "SELECT * FROM trips"
     return {
         "trips_source": trips,
@@ -336,17 +446,7 @@ def oracle_sql() -> dict[str, str]:
                 FROM silver GROUP BY pickup_hour, is_weekend, time_of_day))""",
         "route_performance": _with("silver") + _ROUTES,
         "route_performance_open_zones": _with("silver") + _ROUTES,
-        "customer_segments": _with("silver")
-        + f"""SELECT *, {_percent("total_revenue", "(sum(total_revenue) OVER ())")}
-                AS revenue_contribution_pct,
-            CASE WHEN avg_spend > 30 AND avg_tip_pct > 15 THEN 'Premium'
-                WHEN avg_spend > 20 AND trip_count > 100 THEN 'High Value'
-                WHEN avg_spend < 10 THEN 'Budget' ELSE 'Standard' END AS customer_segment
-        FROM (SELECT payment_type_name, time_of_day, is_weekend, count(*) AS trip_count,
-                avg(trip_distance) AS avg_distance, avg(total_amount) AS avg_spend,
-                avg(tip_percentage) AS avg_tip_pct, sum(total_amount) AS total_revenue,
-                avg(passenger_count) AS avg_passengers
-            FROM silver GROUP BY payment_type_name, time_of_day, is_weekend)""",
+        "customer_segments": _with("silver") + _SEGMENTS,
         "weekly_trends": _with("silver")
         + f"""SELECT *, {_change("total_trips", "week_start")} AS trips_wow_change_pct,
             {_change("total_revenue", "week_start")} AS revenue_wow_change_pct,

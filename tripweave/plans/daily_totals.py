@@ -27,6 +27,8 @@ _SUMMED = (
 )
 _EXTREMES = ("trip_distance", "trip_duration_minutes")
 VENDORS = "vendors"
+# Sums are kept in decimals: adding and subtracting the same value leaves nothing behind.
+_VALUE, _PART = "decimal(30,15)", "decimal(37,15)"
 # Columns of silver trips that totals depend on.
 MEASURED = (DAY, "VendorID", "payment_type", "is_weekend", *_SUMMED)
 
@@ -39,14 +41,18 @@ def _counted() -> dict[str, Column]:
         "cash_trips": F.col("payment_type") == CASH,
         "weekend_trips": F.col("is_weekend"),
     }
-    tests |= {f"n_{name}": F.col(name).isNotNull() for name in _SUMMED}
+    tests |= {f"n_{name}": _exact(name, F.lit(1)).isNotNull() for name in _SUMMED}
     return {name: F.when(test, 1).otherwise(0) for name, test in tests.items()}
 
 
+def _exact(name: str, weight: Column) -> Column:
+    return (F.col(name).cast("double") * weight).try_cast(_VALUE)
+
+
 def _sums(weight: Column) -> dict[str, Column]:
     """Sums and counts of rows taken ``weight`` times; a sum of nulls is no sum."""
     found = {name: F.coalesce(F.sum(one * weight), F.lit(0)).cast("long") for name, one in _counted().items()}
-    return found | {f"sum_{name}": F.sum(F.col(name) * weight) for name in _SUMMED}
+    return found | {f"sum_{name}": F.sum(_exact(name, weight)) for name in _SUMMED}
 
 
 def _extended(some: Column) -> dict[str, Column]:
@@ -57,7 +63,10 @@ def _extended(some: Column) -> dict[str, Column]:
 
 
 def daily_totals(trips: DataFrame) -> DataFrame:
-    """Totals per date of silver ``trips``; the vendors of a date are few."""
+    """Totals per date of silver ``trips``; the vendors of a date are few.
+
+    Sums hold 15 decimal places. What is no finite number is neither summed nor counted.
+    """
     return rollup(trips, [DAY], _sums(F.lit(1)) | _extended(F.lit(True)))
 
 
@@ -67,8 +76,8 @@ def changed_totals(totals: DataFrame, changes: DataFrame, trips: DataFrame) -> t
     ``changes`` is what ``snapshot_changes`` tells between the trips that ``totals`` describe and
     ``trips``, with the columns ``MEASURED``; a row counts as often as its ``_row_count`` says. A
     date without trips has no row any more. Dates are collected by the driver: they are bounded
-    by the calendar, and prune the partitions of ``trips`` and ``totals`` that are read. Sums of
-    numbers that are no binary fractions may differ from a rebuild's in their last digits.
+    by the calendar, and prune the partitions of ``trips`` and ``totals`` that are read.
+    The result is that of a rebuild.
     """
     added = F.col("_change_type").isin(*ADDED)
     weight = F.when(added, F.col("_row_count")).otherwise(-F.col("_row_count"))
@@ -88,7 +97,9 @@ def changed_totals(totals: DataFrame, changes: DataFrame, trips: DataFrame) -> t
     )
 
     def summed(name: str) -> Column:
-        total = F.coalesce(f"_{name}", F.lit(0)) + F.coalesce(name, F.lit(0))
+        kind = _PART if name.startswith("sum_") else "long"
+        before, delta = (F.coalesce(F.col(part).cast(kind), F.lit(0).cast(kind)) for part in (f"_{name}", name))
+        total = before + delta
         if not name.startswith("sum_"):
             return total
         return F.when(summed(f"n_{name.removeprefix('sum_')}") > 0, total)
@@ -105,8 +116,12 @@ def changed_totals(totals: DataFrame, changes: DataFrame, trips: DataFrame) -> t
     return fresh.filter(F.col("trips") > 0).select(*totals.columns), dates
 
 
+def _total(name: str, kind: str = "double") -> Column:
+    return F.col(f"sum_{name}").cast(kind)
+
+
 def _mean(name: str) -> Column:
-    return ratio(f"sum_{name}", f"n_{name}")
+    return ratio(_total(name), f"n_{name}")
 
 
 def stats_of(totals: DataFrame, as_of: datetime | None = None) -> DataFrame:
@@ -116,19 +131,19 @@ def stats_of(totals: DataFrame, as_of: datetime | None = None) -> DataFrame:
         F.col("trips").alias("total_trips"),
         F.size(VENDORS).cast("long").alias("unique_vendors"),
         _mean("trip_distance").alias("avg_trip_distance"),
-        F.col("sum_trip_distance").alias("total_trip_distance"),
+        _total("trip_distance").alias("total_trip_distance"),
         "min_trip_distance",
         "max_trip_distance",
         _mean("trip_duration_minutes").alias("avg_trip_duration"),
         F.col("min_trip_duration_minutes").alias("min_trip_duration"),
         F.col("max_trip_duration_minutes").alias("max_trip_duration"),
         _mean("fare_amount").alias("avg_fare_amount"),
-        F.col("sum_fare_amount").alias("total_fare_amount"),
+        _total("fare_amount").alias("total_fare_amount"),
         _mean("tip_amount").alias("avg_tip_amount"),
         _mean("tip_percentage").alias("avg_tip_percentage"),
-        F.col("sum_total_amount").alias("total_revenue"),
+        _total("total_amount").alias("total_revenue"),
         _mean("passenger_count").alias("avg_passengers"),
-        F.col("sum_passenger_count").alias("total_passengers"),
+        _total("passenger_count", "long").alias("total_passengers"),
         _mean("avg_speed_mph").alias("avg_speed"),
         "credit_card_trips",
         "cash_trips",
@@ -149,11 +164,11 @@ def kpis_of(totals: DataFrame, as_of: datetime | None = None) -> DataFrame:
     days = totals.select(
         DAY,
         F.col("trips").alias("total_trips"),
-        F.col("sum_passenger_count").alias("total_passengers"),
-        F.col("sum_trip_distance").alias("total_miles"),
-        F.col("sum_total_amount").alias("total_revenue"),
-        F.col("sum_fare_amount").alias("total_fare_revenue"),
-        F.col("sum_tip_amount").alias("total_tip_revenue"),
+        _total("passenger_count", "long").alias("total_passengers"),
+        _total("trip_distance").alias("total_miles"),
+        _total("total_amount").alias("total_revenue"),
+        _total("fare_amount").alias("total_fare_revenue"),
+        _total("tip_amount").alias("total_tip_revenue"),
         _mean("total_amount").alias("avg_revenue_per_trip"),
         _mean("trip_duration_minutes").alias("avg_trip_duration"),
         _mean("trip_distance").alias("avg_trip_distance"),

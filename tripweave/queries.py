@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripweave import stored_queries
 from tripweave.operators.changes import snapshot_changes
 from tripweave.operators.quality import QualityCheck, quality_by_table, quality_score
 from tripweave.plans import gold, silver
@@ -73,6 +74,10 @@ def _over_silver(report: Callable[[DataFrame], DataFrame]) -> Query:
     return query
 
 
+def _shown(query: Query) -> Query:
+    return lambda spark, folder: _plain(query(spark, folder))
+
+
 def trips_source(spark: SparkSession, folder: str) -> DataFrame:
     return load_lineitem_trips(spark, folder)
 
@@ -224,4 +229,4 @@ def queries() -> dict[str, Query]:
         "csv_roundtrip": csv_roundtrip,
         "partitioned_sink": partitioned_sink,
         "snapshot_changes": changes_between_snapshots,
-    }
+    } | {name: _shown(query) for name, query in stored_queries.queries().items()}

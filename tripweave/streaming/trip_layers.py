@@ -11,7 +11,7 @@ import zlib
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -32,8 +32,8 @@ from tripweave.schemas import TRIPS
 from tripweave.sources.trip_files import FITS_LAYOUT, RAW_LINE, csv_options, with_ingestion_metadata
 from tripweave.streaming.trip_stream import Intake
 
-# Partition columns of the stored raw layer; not part of the dataset.
-TRIP_DATE, BATCH = "trip_date", "batch"
+# Partition columns of the stored layers; not part of the datasets.
+PERIOD, BATCH = "period", "batch"
 _ARRIVAL = {**RAW_RULES, **FITS_LAYOUT}
 
 
@@ -55,12 +55,15 @@ def stream_source(
 class StreamedLayers:
     """Raw and silver trips, rejected rows and rule counts below ``folder``, fed by one stream.
 
-    One stream at a time may feed a folder. ``as_of`` fixes the clock columns.
+    One stream at a time may feed a folder. ``as_of`` fixes the clock columns. Layers are stored
+    by ``period``, named by its first date: a day, or where days have few trips a month. Of
+    a period that a batch touches, all silver trips are renewed.
     """
 
     spark: SparkSession
     folder: str
     as_of: datetime | None = None
+    period: str = "day"
 
     def path(self, name: str) -> str:
         return f"{self.folder.rstrip('/')}/{name}"
@@ -78,7 +81,7 @@ class StreamedLayers:
         )
 
     def take(self, batch: DataFrame, mark: str) -> list[date]:
-        """Store one batch under its ``mark`` and renew the silver trips of its dates, which are returned.
+        """Store one batch under its ``mark`` and renew the silver trips of its periods, which are returned.
 
         The batch is read from its files once, into the scratch folder; rules, dates and layers
         take their columns from there.
@@ -94,29 +97,35 @@ class StreamedLayers:
         write_dataset(counts.coalesce(1), path=f"{self.path('rule_counts')}/{BATCH}={mark}")
         broken = rejected_rows(landed, _ARRIVAL)
         write_dataset(broken, path=f"{self.path('bronze_taxi_rejected')}/{BATCH}={mark}")
-        rows = enriched.select(*raw.columns, F.col("pickup_date").alias(TRIP_DATE), F.lit(mark).alias(BATCH))
-        dates = [row[0] for row in rows.select(TRIP_DATE).distinct().collect()]  # bounded by the calendar
-        write_partitions(rows, TRIP_DATE, dates, path=self.path("bronze_taxi_raw"), partition_by=(TRIP_DATE, BATCH))
-        self.renew(sorted(dates))
-        return sorted(dates)
+        rows = enriched.select(*raw.columns, self._period().alias(PERIOD), F.lit(mark).alias(BATCH))
+        touched = [row[0] for row in rows.select(PERIOD).distinct().collect()]  # bounded by the calendar
+        write_partitions(rows, PERIOD, touched, path=self.path("bronze_taxi_raw"), partition_by=(PERIOD, BATCH))
+        self.renew(sorted(touched))
+        return sorted(touched)
 
     def renew(self, touched: list[date]) -> None:
-        """Silver trips of the dates ``touched``, from all raw trips of these dates."""
+        """Silver trips of the periods ``touched``, from all raw trips of these periods."""
         if not touched:
             return
-        trips = self.raw().filter(F.col(TRIP_DATE).isin(touched)).drop(TRIP_DATE, BATCH)
+        trips = self.raw().filter(F.col(PERIOD).isin(touched)).drop(PERIOD, BATCH)
         refined = silver.refine_trips(bronze.enrich_trips(trips, self.as_of), self.as_of)
-        kept = apply_expectations(refined, SILVER_RULES)
-        write_partitions(kept, "pickup_date", touched, path=self.path("silver_taxi_trips"))
+        kept = apply_expectations(refined, SILVER_RULES).withColumn(PERIOD, self._period())
+        write_partitions(kept, PERIOD, touched, path=self.path("silver_taxi_trips"))
+
+    def _period(self) -> Column:
+        return F.date_trunc(self.period, "pickup_date").cast("date")
+
+    def _stored(self, name: str) -> DataFrame:
+        stored = self.spark.read.parquet(self.path(name))
+        return stored.withColumn(PERIOD, F.col(PERIOD).cast("date"))
 
     def raw(self) -> DataFrame:
-        """The raw layer with its partition columns; filters on the date open its folders only."""
-        stored = self.spark.read.option("basePath", self.path("bronze_taxi_raw")).parquet(self.path("bronze_taxi_raw"))
-        return stored.withColumn(TRIP_DATE, F.col(TRIP_DATE).cast("date"))
+        """The raw layer with its partition columns; filters on the period open its folders only."""
+        return self._stored("bronze_taxi_raw")
 
     def silver(self) -> DataFrame:
-        """Silver trips of all batches so far."""
-        return self.spark.read.parquet(self.path("silver_taxi_trips"))
+        """Silver trips of all batches so far, with their partition column."""
+        return self._stored("silver_taxi_trips")
 
     def rule_report(self) -> DataFrame:
         """Passed and failed rows of the rules that look at single rows, over all batches so far."""
