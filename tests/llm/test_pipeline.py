@@ -63,3 +63,36 @@ def test_odd_rows(spark, tmp_path):
         wanted = [(-9, 2), (1, 1), (6, len("the long road of words and more words " * 20_000)), (7, 9), (8, 2), (None, 3)]
         assert found == (sorted(wanted, key=str) if docs.count() else [])
         assert stages.pack(spark, kept, folder).select(F.countDistinct("doc_id")).first()[0] == max(0, len(found) - 1)
+
+
+def texts_kept(frame):
+    return sorted(((r.doc_id is None, r.doc_id or 0), r.text) for r in frame.select("doc_id", "text").collect())
+
+
+def test_every_text_is_judged_by_its_own_group(spark):
+    """One id on two texts, near copies without an id, and groups that only rows without an id make up."""
+    text = {n: random_text(n) for n in "abcdef"}
+    near = {n: t.upper() for n, t in text.items()}  # of the same fingerprint
+    rows = [(0, text["a"]), (2, text["a"]), (2, text["b"]), (3, near["b"]), (3, text["c"]), (3, text["c"])]
+    rows += [(None, near["a"]), (None, text["d"]), (None, near["d"]), (None, text["e"]), (None, text["e"]), (7, text["f"]), (None, text["f"])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], LAYOUT).repartition(3)
+    links = stages.simhash.near_duplicates(docs).select("fp", "component").distinct().collect()
+    assert len({r.component for r in links}) == 6
+    kept = stages.simhash_near_dedup(spark, docs, "")
+    assert kept.columns == COLUMNS
+    wanted = [(0, text["a"]), (2, text["b"]), (3, text["c"]), (7, text["f"]), (None, near["d"]), (None, text["e"])]
+    assert texts_kept(kept) == sorted(((i is None, i or 0), t) for i, t in wanted)
+
+
+def test_without_labels_lettered_texts_stay(spark):
+    rows = [(i, random_text(i), None, "s", 1) for i in range(6)] + [(7, "12 34", None, "s", 1), (8, None, None, "s", 1)]
+    docs = spark.createDataFrame(rows, LAYOUT)
+    assert {i for (_, i), _ in texts_kept(stages.language_id(spark, docs, ""))} == set(range(6))
+
+
+def test_only_wanted_languages_stay(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    kept = stages.language_id(spark, docs, small, wanted=["de", "fr"])
+    counts = {r.lang: r["count"] for r in kept.groupBy("lang").count().collect()}
+    every = {r.lang: r["count"] for r in docs.groupBy("lang").count().collect()}
+    assert counts["de"] >= 0.9 * every["de"] and counts.get("en", 0) <= 0.05 * every["en"]

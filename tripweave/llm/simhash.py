@@ -120,7 +120,8 @@ def near_duplicates(
     shingle_words: int = 3,
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """Each row's id, ``fp`` (signed fingerprint) and ``component_id``, the smallest id reachable.
+    """Each row's id, ``fp`` (signed fingerprint), ``component_id``, the smallest id reachable, and
+    ``component``, a fingerprint that names the group also where all its ids are null.
 
     Rows of equal fingerprint are one node of the link graph. A null id stays null and
     counts for nothing; repeated rows come back as often as given; an empty table gives none.
@@ -136,8 +137,10 @@ def near_duplicates(
     parts = connected_components(fingerprint_links(nodes.select("fp")))
     parts = parts.select(F.col("node").alias("fp"), "component")
     lowest = nodes.join(parts, "fp").groupBy("component").agg(F.min("low").alias("least"))
-    moved = parts.join(lowest, "component").select("fp", "least")
+    moved = parts.join(lowest, "component").select("fp", "least", "component")
     classes = nodes.join(moved, "fp", "left").select(
-        "fp", F.coalesce("least", "low").alias("component_id")
+        "fp",
+        F.coalesce("least", "low").alias("component_id"),
+        F.coalesce("component", "fp").alias("component"),
     )
-    return rows.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    return rows.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id", "component")
