@@ -16,29 +16,32 @@ def plain_words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
 
+def plain_stream(text, depth):
+    words = [w.encode() for w in plain_words(text)]
+    return b"\n" * (depth - 1) + b" " + b" ".join([*words, b"\n"]) + b" "
+
+
 class PlainTree:
-    """Context-tree weighting, node by node."""
+    """Context-tree weighting over running texts, node by node."""
 
-    def __init__(self, counts, seen_too, depth):
+    def __init__(self, streams, depth):
         self.depth = depth
         self.counts = defaultdict(lambda: [0, 0])
         self.children = defaultdict(set)
-        for token in seen_too:
-            for ctx, node, bit in self.decisions(token):
-                for n in range(len(ctx) + 1):
-                    self.counts[ctx[len(ctx) - n :], node][bit] += counts[token]
+        for body, learned in streams:
+            for ctx, node, bit in self.decisions(body):
+                for n in range(depth + 1):
+                    self.counts[ctx[depth - n :], node][bit] += learned
                     if n:
-                        self.children[ctx[len(ctx) - n + 1 :], node].add(ctx[len(ctx) - n :])
+                        self.children[ctx[depth - n + 1 :], node].add(ctx[depth - n :])
 
-    def decisions(self, token):
-        body = b" " + token + b" "
-        for i in range(1, len(body)):
-            ctx = body[max(0, i - self.depth) : i]
+    def decisions(self, body):
+        for i in range(self.depth, len(body)):
             for j in range(8):
-                yield ctx, (1 << j) | (body[i] >> (8 - j)), (body[i] >> (7 - j)) & 1
+                yield body[i - self.depth : i], (1 << j) | (body[i] >> (8 - j)), (body[i] >> (7 - j)) & 1
 
     def leaf(self, ctx):
-        return len(ctx) == self.depth or ctx.startswith(b" ")
+        return len(ctx) == self.depth
 
     def log_kt(self, ctx, node):
         a, b = self.counts[ctx, node]
@@ -65,8 +68,8 @@ class PlainTree:
             mass, rest = mass + rest * stop * kt, rest * (1 - stop)
         return best if bit else 1 - best
 
-    def score(self, token):
-        return sum(math.log10(self.chance(*decision)) for decision in self.decisions(token))
+    def score(self, body):
+        return sum(math.log10(self.chance(*decision)) for decision in self.decisions(body))
 
 
 DOCS = [
@@ -75,24 +78,23 @@ DOCS = [
 ]
 
 
-@pytest.mark.parametrize(("depth", "head"), [(2, 3), (5, 1000)])
+@pytest.mark.parametrize(("depth", "head"), [(1, 3), (2, 3), (3, 1000), (6, 1000)])
 def test_against_a_plain_tree(spark, monkeypatch, depth, head):
     frame = spark.createDataFrame(DOCS, "doc_id long, text string, good boolean")
-    learned, every = Counter(), set()
+    learned = Counter()
     for _, text, good in DOCS:
-        tokens = [w.encode() for w in plain_words(text)] + [b"\n"]
-        every.update(tokens)
         if good:
-            learned.update(tokens)
-    tree = PlainTree(learned, every, depth)
+            learned.update([*plain_words(text), "\n"])
+    tree = PlainTree([(plain_stream(text, depth), int(bool(good))) for _, text, good in DOCS], depth)
     n, v = sum(learned.values()), len(learned)
     wanted = []
     for name, text, _ in DOCS:
-        tokens = [w.encode() for w in plain_words(text)] + [b"\n"]
+        tokens = [*plain_words(text), "\n"]
         base = sum(math.log10((learned[t] + 1) / (n + v + 1)) for t in tokens)
         known = sum(learned[t] > 0 for t in tokens)
-        wanted.append((name, len(tokens), known, n, base, sum(map(tree.score, tokens))))
-    for most in (10**6, 1):  # broadcast and joined gram scores
+        wanted.append((name, len(tokens), known, n, base, tree.score(plain_stream(text, depth))))
+    monkeypatch.setattr(ctw, "_CHUNK", 20)
+    for most in (10**6, 40, 0):  # gram scores broadcast, partly, and all joined
         monkeypatch.setattr(ctw, "MAX_BROADCAST_GRAMS", most)
         rows = [tuple(r)[:6] for r in ctw.score(frame, frame.good, depth=depth, head=head).collect()]
         for got, want in zip(sorted(rows, key=str), sorted(wanted, key=str), strict=True):
@@ -101,7 +103,7 @@ def test_against_a_plain_tree(spark, monkeypatch, depth, head):
 
 
 def test_chances_add_up_to_one():
-    tree = PlainTree(Counter({b"ab": 3, b"abc": 2, b"b": 1}), [b"ab", b"abc", b"b"], 3)
+    tree = PlainTree([(plain_stream(text, 3), 1) for text in ("ab abc", "abc b ab", "ab")], 3)
 
     def total(ctx, node, j):
         if j == 8:
@@ -111,6 +113,29 @@ def test_chances_add_up_to_one():
     assert total(b" ab", 1, 0) == pytest.approx(1.0)
 
 
+def test_tallies_and_chunks():
+    draw = random.Random(5)
+    tally, seen = ctw._Tally(), Counter()
+    for size in (3, 1, 40, 7, 7, 100):
+        grams = [draw.randrange(60) for _ in range(size)]
+        seen.update(grams)
+        tally.add(ctw.np.array(grams), 1)
+        tally.fold(1)
+    batch = tally.take(1)
+    assert batch.to_pydict() == {"gram": sorted(seen), "c": [seen[g] for g in sorted(seen)]}
+    assert tally.take(1) is None
+    grams = sorted(draw.sample(range(1 << 14), 900)) + list(range(1 << 14, (1 << 14) + 500))
+    for size in (1, 7, 250, 5000):
+        parts = [
+            ctw.pa.record_batch([ctw.pa.array(grams[i : i + size]), ctw.pa.array([1] * len(grams[i : i + size]))], names=["gram", "c"])
+            for i in range(0, len(grams), size)
+        ]
+        chunks = [list(own) for own, _ in ctw._whole_subtrees(iter(parts), 9)]
+        assert sum(chunks, []) == grams
+        for one, other in zip(chunks, chunks[1:], strict=False):
+            assert one and other and one[-1] >> 9 != other[0] >> 9
+
+
 def test_whole_table(spark):
     folder = "/root/testdata/sf0.01"
     texts = dict(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect())
@@ -165,7 +190,7 @@ def test_contexts_across_words(spark, monkeypatch):
     answers = []
     for most in (10**6, 1):  # broadcast and joined gram scores
         monkeypatch.setattr(ctw, "MAX_BROADCAST_GRAMS", most)
-        answers.append(sorted((tuple(r) for r in ctw.score(frame, frame.good, across=True).collect()), key=str))
+        answers.append(sorted((tuple(r) for r in ctw.score(frame, frame.good).collect()), key=str))
     for one, other in zip(*answers, strict=True):
         assert one[0] == other[0] and one[1:] == pytest.approx(other[1:], rel=1e-9)
     assert len(answers[0]) == len(rows)

@@ -1,16 +1,17 @@
 """Language-model scores by context-tree weighting over bytes.
 
 A text is its lower-cased words, each closed by a space, and an end token. Every byte is
-eight binary decisions, and each decision is predicted from the bytes before it: a context
-reaches up to ``STREAM_DEPTH`` bytes back over the running text, across spaces, or (without
-``across``) ``DEPTH`` bytes, to the space before the word at most. For each decision
-the contexts of all depths form a tree. A node's Krichevsky-Trofimov estimate and the product
-of its children's weighted probabilities count half each, which weighs all prunings of the
-tree at once; read along a path this gives each depth's share in the prediction.
-
-Over running texts, the grams (a context and its next byte) of all texts are counted by task
-and shuffled, and texts are scored by the grams' scores. Without ``across``, counts are learned
-once for each distinct word, weighted by its frequency.
+eight binary decisions, and each decision is predicted from the ``DEPTH`` bytes before it in
+the running text, across spaces. For each decision the contexts of all depths form a tree. A
+node's Krichevsky-Trofimov estimate and the product of its children's weighted probabilities
+count half each, which weighs all prunings of the tree at once; read along a path this gives
+each depth's share in the prediction.
+
+The grams (a context and its next byte) of all texts are counted by task and shuffled. A
+gram's number begins with the nearest byte of its context, so that sorted grams are the tree
+in order: every subtree is one run. Subtrees below the ``NEAR`` nearest bytes are dealt over
+tasks, each summed from the leaves up; the few levels above them, whose size is bounded
+whatever the input, are weighed on the driver; then the subtrees hand the predictions down.
 """
 
 from __future__ import annotations
@@ -18,23 +19,29 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm.common import blobs, shielded, stored
 
-DEPTH = 5
-# Bytes that contexts over the running text reach back, across spaces; a gram holds no more.
-STREAM_DEPTH = 6
-# Bytes of text of which the grams are in memory at once.
+# Bytes that contexts reach back; a gram's number holds no more.
+DEPTH = 6
+# Context bytes by which subtrees are dealt over tasks. Above them stand at most 1 + 256 + 256^2
+# contexts of 255 decisions, of which UTF-8 text can form only a part.
+NEAR = 3
+# Bytes of text of which the grams are in memory at once, and different grams held by a task.
 _SLICE = 1 << 21
+_HELD = 3 << 20
+# Grams of whole subtrees that are weighed together.
+_CHUNK = 1 << 18
 END = b"\n"
 # Words whose scores go to every worker, the most frequent ones; others are joined.
 HEAD = 200_000
-# Grams whose scores go to every worker; beyond, words are joined with them.
+# Gram scores that go to every worker, those of the most frequent grams; others are joined.
 MAX_BROADCAST_GRAMS = 4_000_000
 _FLUSH = 300_000
 _LN10 = float(np.log(10))
@@ -44,23 +51,6 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def grams_of(tokens: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """The gram of each predicted byte of the tokens' texts, and each token's first.
-
-    A gram holds its context's length, the context's bytes and the byte itself.
-    """
-    body = np.frombuffer(b" " + b" ".join(tokens) + b" ", np.uint8).astype(np.int64)
-    sizes = np.array([len(t) + 1 for t in tokens], np.int64)
-    firsts = np.cumsum(sizes) - sizes
-    places = np.arange(1, len(body))
-    reach = np.minimum(places - np.repeat(firsts, sizes), depth)
-    grams = body[1:].copy()
-    for k in range(1, depth + 1):
-        inside = reach >= k
-        grams[inside] |= body[places[inside] - k] << (8 * k)
-    return grams | (reach << 56), firsts
-
-
 def _token_counts(docs: DataFrame) -> DataFrame:
     """``token`` and its occurrences ``c`` in the rows that are learned from; 0 for others' tokens."""
 
@@ -97,30 +87,8 @@ def _token_counts(docs: DataFrame) -> DataFrame:
     return counts.groupBy("token").agg(F.sum("c").alias("c"))
 
 
-def _gram_counts(tokens: DataFrame, depth: int) -> DataFrame:
-    """``ctx``, ``sym`` and occurrences ``c`` of each gram of the tokens; 0 if none is learned."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            words, counts = part.column(0).to_pylist(), part.column(1).to_numpy()
-            if not words:
-                continue
-            grams, _ = grams_of(words, depth)
-            weights = np.repeat(counts, [len(w) + 1 for w in words])
-            order = np.argsort(grams, kind="stable")
-            grams, weights = grams[order], weights[order]
-            starts = np.flatnonzero(np.diff(grams, prepend=grams[0] - 1))
-            yield pa.record_batch(
-                [pa.array(grams[starts]), pa.array(np.add.reduceat(weights, starts))],
-                names=["gram", "c"],
-            )
-
-    counts = tokens.select("token", "c").mapInArrow(count, "gram long, c long")
-    return counts.groupBy("gram").agg(F.sum("c").alias("c"))
-
-
-def stream_grams(text: bytes, depth: int = STREAM_DEPTH) -> Iterator[np.ndarray]:
-    """The grams of a text as one stream of bytes, all with contexts of full depth.
+def stream_grams(text: bytes, depth: int = DEPTH) -> Iterator[np.ndarray]:
+    """The grams of a text's stream: the context from its nearest byte on, then the byte itself.
 
     The stream is the text's words, each closed by a space, and the end token; before it stand
     bytes that no word holds.
@@ -128,196 +96,257 @@ def stream_grams(text: bytes, depth: int = STREAM_DEPTH) -> Iterator[np.ndarray]
     body = END * (depth - 1) + b" " + b" ".join([*words_of(text), END]) + b" "
     for at in range(depth, len(body), _SLICE):
         part = np.frombuffer(body[at - depth : at + _SLICE], np.uint8).astype(np.int64)
-        grams = part[depth:] | (depth << 56)
+        grams = part[depth:].copy()
         for k in range(1, depth + 1):
-            grams |= part[depth - k : len(part) - k] << (8 * k)
+            grams |= part[depth - k : len(part) - k] << (8 * (depth + 1 - k))
         yield grams
 
 
-def _stream_counts(docs: DataFrame, depth: int) -> DataFrame:
-    """As ``_gram_counts``, of the streams of all texts; texts not learned count 0."""
+def _summed(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different grams in order, and their counts."""
+    order = np.argsort(grams, kind="stable")
+    grams, counts = grams[order], counts[order]
+    starts = np.flatnonzero(np.diff(grams, prepend=-1))
+    return grams[starts], np.add.reduceat(counts, starts)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bool, list[np.ndarray]] = {True: [], False: []}
-        sizes = {True: 0, False: 0}
 
-        def batch(learn: bool) -> pa.RecordBatch:
-            grams, counts = np.unique(np.concatenate(held[learn]), return_counts=True)
-            held[learn], sizes[learn] = [], 0
-            return pa.record_batch([pa.array(grams), pa.array(counts * int(learn), pa.int64())], names=["gram", "c"])
+class _Tally:
+    """Counts of grams: slices are summed, sums of like size are merged."""
 
+    def __init__(self) -> None:
+        self.raw: list[np.ndarray] = []
+        self.pending = 0
+        self.sums: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, grams: np.ndarray, weight: int) -> None:
+        self.raw.append(grams)
+        self.pending += len(grams)
+        if self.pending >= _SLICE:
+            self.fold(weight)
+
+    def fold(self, weight: int) -> None:
+        if self.raw:
+            grams, counts = np.unique(np.concatenate(self.raw), return_counts=True)
+            self.sums.append((grams, counts * weight))
+            self.raw, self.pending = [], 0
+        while len(self.sums) > 1 and len(self.sums[-2][0]) <= 2 * len(self.sums[-1][0]):
+            self.merge()
+
+    def merge(self) -> None:
+        (a, m), (b, n) = self.sums.pop(), self.sums.pop()
+        self.sums.append(_summed(np.concatenate([a, b]), np.concatenate([m, n])))
+
+    def size(self) -> int:
+        return sum(len(grams) for grams, _ in self.sums)
+
+    def take(self, weight: int) -> pa.RecordBatch | None:
+        self.fold(weight)
+        while len(self.sums) > 1:
+            self.merge()
+        if not self.sums:
+            return None
+        grams, counts = self.sums.pop()
+        return pa.record_batch([pa.array(grams), pa.array(counts, pa.int64())], names=["gram", "c"])
+
+
+def gram_counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """``gram`` and ``c``, its occurrences in the rows whose ``learn`` is true; 0 for others' grams."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tallies = {True: _Tally(), False: _Tally()}
         for part in batches:
             for learn, text in zip(part.column(0).to_pylist(), blobs(part.column(1)), strict=True):
                 for grams in stream_grams(text, depth):
-                    held[learn].append(grams)
-                    sizes[learn] += len(grams)
-                    if sizes[learn] >= _SLICE:
-                        yield batch(learn)
-        for learn in (True, False):
-            if held[learn]:
-                yield batch(learn)
+                    tallies[learn].add(grams, int(learn))
+                    if tallies[learn].size() >= _HELD:
+                        yield tallies[learn].take(int(learn))
+        for learn, tally in tallies.items():
+            last = tally.take(int(learn))
+            if last is not None:
+                yield last
 
     counts = docs.select("learn", "text").mapInArrow(count, "gram long, c long")
     return counts.groupBy("gram").agg(F.sum("c").alias("c"))
 
 
-# A context's number: its length above its bytes.
-_CTX = "(shiftright(gram, 56) << 48) | ((gram & 72057594037927935L) >> 8)"
-_LEVEL = "cast(ctx >> 48 AS int)"
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """For x >= 1/2, by Stirling's series seven steps on."""
+    product = x.copy()
+    for i in range(1, 7):
+        product *= x + i
+    y = x + 7
+    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
+    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - np.log(product)
 
 
-def _shortened(ctx: str, length: str) -> str:
-    """The last ``length`` bytes of a context."""
-    return f"(cast({length} AS bigint) << 48) | ({ctx} & ((1L << (8 * {length})) - 1))"
+# Of small counts, which most are; larger ones are worked out.
+_SMALL = 1 << 12
+_HALVES = _log_gamma(np.arange(_SMALL) + 0.5)
+_WHOLES = _log_gamma(np.arange(_SMALL) + 1.0)
 
 
-def _log_gamma(x: Column) -> Column:
-    """For x >= 1/2, by Stirling's series seven steps on."""
-    product = x
-    for i in range(1, 7):
-        product = product * (x + i)
-    y = x + 7
-    series = 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y)
-    return (y - 0.5) * F.log(y) - y + 0.5 * float(np.log(2 * np.pi)) + series - F.log(product)
+def _looked_up(n: np.ndarray, table: np.ndarray, step: float) -> np.ndarray:
+    found = table[np.minimum(n, _SMALL - 1)]
+    large = n >= _SMALL
+    if large.any():
+        found[large] = _log_gamma(n[large] + step)
+    return found
+
+
+def _log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """Log probability of so many outcomes of either kind in any one order."""
+    halves = _looked_up(zeros, _HALVES, 0.5) + _looked_up(ones, _HALVES, 0.5)
+    return halves - _looked_up(zeros + ones, _WHOLES, 1.0) - np.log(np.pi)
 
 
-def _log_kt(a: Column, b: Column) -> Column:
-    """Log probability of a and b outcomes in any one order."""
-    return _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - _log_gamma(a + b + 1) - float(np.log(np.pi))
+class _Level(NamedTuple):
+    """Decisions in contexts of one length, in order of ``ids``."""
 
+    ids: np.ndarray
+    zeros: np.ndarray
+    ones: np.ndarray
+    estimate: np.ndarray
+    weighted: np.ndarray
+    leaf: bool
 
-def _log_mean(a: Column, b: Column) -> Column:
-    """log((e^a + e^b) / 2)."""
-    top = F.greatest(a, b)
-    return top + F.log1p(F.exp(F.least(a, b) - top)) - float(np.log(2))
+    def handed(self, mass: np.ndarray, rest: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, ...]:
+        """What is settled, still open and best so far, after this level.
 
+        A decision that a context has never seen is left to the shorter ones.
+        """
+        seen = self.zeros + self.ones > 0
+        chance = (self.ones + 0.5) / (self.zeros + self.ones + 1)
+        stop = 1.0 if self.leaf else np.exp(self.estimate - self.weighted) / 2
+        best = np.where(seen, mass + rest * chance, best)
+        mass = np.where(seen, mass + rest * stop * chance, mass)
+        rest = np.where(seen, rest * (1 - stop), rest)
+        return mass, rest, best
 
-def gram_scores(grams: DataFrame, depth: int = DEPTH, even: bool = False) -> DataFrame:
-    """``gram`` and ``lp``, its weighted log10 probability, from ``gram`` and its count ``c``.
 
-    A decision that a context has never seen is predicted by the longest that has. ``even`` says
-    that all contexts are of full depth; then each level is counted from the one below.
+def _above(ids: np.ndarray, below: _Level) -> tuple[_Level, np.ndarray]:
+    """The level of the next shorter contexts, and the place there of each decision below.
+
+    ``ids`` number the decisions below as that level does.
     """
-    leaves = grams.select("gram", "c", F.expr(_CTX).alias("ctx"), F.expr("gram & 255").alias("sym"))
-    bits = leaves.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(7))))
-    bits = bits.select(
-        "gram",
-        "ctx",
-        "c",
-        F.expr("cast((1 << j) | (sym >> (8 - j)) AS int)").alias("node"),
-        F.expr("cast((sym >> (7 - j)) & 1 AS int)").alias("bit"),
-    )
-    # Each leaf context counts in all its suffixes.
-    leaf = bits.groupBy("ctx", "node").agg(
-        F.sum(F.expr("c * (1 - bit)")).alias("n0"), F.sum(F.expr("c * bit")).alias("n1")
-    )
-    leaf = stored(leaf, "leaves")
-    estimate = _log_kt(F.col("n0").cast("double"), F.col("n1").cast("double"))
-    levels: dict[int, DataFrame] = {}
-    if even:
-        level = leaf.withColumns({"length": F.lit(depth), "leaf": F.lit(True)})
-        for length in range(depth, -1, -1):
-            if length < depth:
-                shorter = F.expr(_shortened("ctx", str(length))).alias("ctx")
-                level = level.groupBy(shorter, "node").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-                level = stored(level, f"contexts{length}").withColumns({"length": F.lit(length), "leaf": F.lit(False)})
-            levels[length] = level.withColumn("pe", estimate)
-    else:
-        spread = leaf.withColumn("length", F.expr(f"explode(sequence(0, {_LEVEL}))"))
-        spread = spread.withColumn("leaf", F.expr(f"length = {_LEVEL}"))
-        counts = spread.withColumn("ctx", F.expr(_shortened("ctx", "length"))).groupBy("length", "ctx", "node").agg(
-            F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.max("leaf").alias("leaf")
-        )
-        counts = stored(counts.withColumn("pe", estimate), "contexts")
-        levels = {length: counts.where(F.col("length") == length) for length in range(depth + 1)}
-
-    parent = F.expr(_shortened("ctx", "(length - 1)"))
-    weighted: list[DataFrame] = []
-    for length in range(depth, -1, -1):
-        level = levels[length]
-        if weighted:
-            below = weighted[-1].groupBy(parent.alias("ctx"), "node").agg(F.sum("pw").alias("deeper"))
-            level = level.join(below, ["ctx", "node"], "left")
-        else:
-            level = level.withColumn("deeper", F.lit(None).cast("double"))
-        mixed = F.when(F.col("leaf") | F.col("deeper").isNull(), F.col("pe")).otherwise(
-            _log_mean(F.col("pe"), F.col("deeper"))
-        )
-        level = level.withColumn("pw", mixed)
-        stop = F.when(F.col("leaf"), 1.0).otherwise(F.exp(F.col("pe") - F.col("pw")) / 2)
-        kt = F.expr("(n1 + 0.5D) / (n0 + n1 + 1D)")
-        level = level.select(
-            "length", "ctx", "node", "leaf", "pw", kt.alias("kt"), stop.alias("stop"), F.expr("n0 + n1 > 0").alias("seen")
-        )
-        weighted.append(stored(level, f"level{length}"))
-
-    # From the root on: probability ``mass`` already settled, ``rest`` still open, ``best`` so far.
-    settled = F.expr("mass + rest * kt")
-    path = weighted[-1].withColumns({"mass": F.lit(0.0), "rest": F.lit(1.0), "best": F.lit(0.5)})
-    predictions = []
-    for level in [*weighted[-2::-1], None]:
-        path = path.withColumn("best", F.when(F.col("seen"), settled).otherwise(F.col("best")))
-        predictions.append(path.where("leaf").select("ctx", "node", "best"))
-        if level is None:
-            break
-        above = path.where("NOT leaf").select(
-            F.col("ctx").alias("above"),
-            "node",
-            F.expr("CASE WHEN seen THEN mass + rest * stop * kt ELSE mass END").alias("mass"),
-            F.expr("CASE WHEN seen THEN rest * (1 - stop) ELSE rest END").alias("rest"),
-            "best",
-        )
-        path = stored(level.withColumn("above", parent).join(above, ["above", "node"]).drop("above"), "paths")
-    best = predictions[0]
-    for each in predictions[1:]:
-        best = best.unionByName(each)
-    chance = F.when(F.col("bit") == 1, F.col("best")).otherwise(1 - F.col("best"))
-    scored = bits.join(best, ["ctx", "node"])
-    return scored.groupBy("gram").agg((F.sum(F.log(chance)) / _LN10).alias("lp"))
-
-
-def token_scores(tokens: DataFrame, scores: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """``tokens`` with ``lp``, the sum of the scores of each token's grams."""
-    session = tokens.sparkSession
-    if scores.count() <= MAX_BROADCAST_GRAMS:
-        return _scored_by_broadcast(session, tokens, scores, depth)
-    return _scored_by_join(tokens, scores, depth)
-
-
-def _scored_by_broadcast(session: SparkSession, tokens: DataFrame, scores: DataFrame, depth: int) -> DataFrame:
-    table = scores.select("gram", "lp").toArrow()
-    grams, values = table["gram"].to_numpy(), table["lp"].to_numpy()
-    order = np.argsort(grams)
-    shared = session.sparkContext.broadcast((grams[order], values[order]))
+    own, place = np.unique(ids, return_inverse=True)
+    zeros, ones = (np.bincount(place, n, len(own)).astype(np.int64) for n in (below.zeros, below.ones))
+    return _inner(own, zeros, ones, np.bincount(place, below.weighted, len(own))), place
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, lps = shared.value
-        for part in batches:
-            words = part.column(0).to_pylist()
-            if not words:
-                continue
-            own, firsts = grams_of(words, depth)
-            sums = np.add.reduceat(lps[np.searchsorted(known, own)], firsts)
-            yield pa.record_batch(
-                [part.column(0), part.column(1), pa.array(sums)], names=["token", "c", "lp"]
-            )
 
-    return tokens.select("token", "c").mapInArrow(score, "token binary, c long, lp double")
+def _inner(ids: np.ndarray, zeros: np.ndarray, ones: np.ndarray, deeper: np.ndarray) -> _Level:
+    estimate = _log_kt(zeros, ones)
+    return _Level(ids, zeros, ones, estimate, np.logaddexp(estimate, deeper) - np.log(2), False)
 
 
-def _scored_by_join(tokens: DataFrame, scores: DataFrame, depth: int) -> DataFrame:
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            words = part.column(0).to_pylist()
-            if not words:
-                continue
-            own, firsts = grams_of(words, depth)
-            lists = pa.ListArray.from_arrays(pa.array([*firsts, len(own)], pa.int32()), pa.array(own))
-            yield pa.record_batch([part.column(0), part.column(1), lists], names=["token", "c", "grams"])
+def _subtrees(
+    grams: np.ndarray, counts: np.ndarray, j: int, depth: int, near: int
+) -> tuple[list[_Level], list[np.ndarray]]:
+    """Levels ``depth`` to ``near`` of the decision on bit ``j``, and the places that lead up there.
 
-    spelled = tokens.select("token", "c").mapInArrow(spell, "token binary, c long, grams array<long>")
-    grams = spelled.select("token", "c", F.explode("grams").alias("gram"))
-    return grams.join(scores, "gram").groupBy("token", "c").agg(F.sum("lp").alias("lp"))
+    Of each gram in the first level, of each decision in the level above it. A decision's number
+    is its context's, followed by the bits already known.
+    """
+    ids = grams >> (8 - j)
+    firsts = np.diff(ids, prepend=-1) != 0
+    starts = np.flatnonzero(firsts)
+    ones = np.add.reduceat(counts * ((grams >> (7 - j)) & 1), starts)
+    zeros = np.add.reduceat(counts, starts) - ones
+    estimate = _log_kt(zeros, ones)
+    levels = [_Level(ids[starts], zeros, ones, estimate, estimate, True)]
+    places = [np.cumsum(firsts) - 1]
+    for _ in range(depth - near):
+        ids = levels[-1].ids
+        level, place = _above(((ids >> (8 + j)) << j) | (ids & ((1 << j) - 1)), levels[-1])
+        levels.append(level)
+        places.append(place)
+    return levels, places
+
+
+def _crown_ids(ids: np.ndarray, j: int) -> np.ndarray:
+    """The decisions above the subtrees: a shorter context, and bits known after a leading one."""
+    return ((ids >> (8 + j)) << 8) | (1 << j) | (ids & ((1 << j) - 1))
+
+
+def _whole_subtrees(batches: Iterator[pa.RecordBatch], shift: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The sorted grams of a partition and their counts, in chunks that cut no subtree."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def joined() -> tuple[np.ndarray, np.ndarray]:
+        return tuple(np.concatenate(column) for column in zip(*held, strict=True))
+
+    for part in batches:
+        if not part.num_rows:
+            continue
+        grams, counts = part.column(0).to_numpy(), part.column(1).to_numpy()
+        cut = int(np.searchsorted(grams, (grams[-1] >> shift) << shift))
+        if size + cut >= _CHUNK and (cut or grams[0] >> shift != held[-1][0][-1] >> shift):
+            held.append((grams[:cut], counts[:cut]))
+            yield joined()
+            held, size, grams, counts = [], 0, grams[cut:], counts[cut:]
+        held.append((grams, counts))
+        size += len(grams)
+    if held:
+        yield joined()
+
+
+def _crown(sums: pa.Table, near: int) -> tuple[np.ndarray, ...]:
+    """Decisions in contexts of ``near - 1`` bytes, and what they hand to the longer contexts."""
+    ids, zeros, ones, deeper = (sums[name].to_numpy() for name in ("id", "zeros", "ones", "deeper"))
+    order = np.argsort(ids)
+    levels = [_inner(ids[order], zeros[order], ones[order], deeper[order])]
+    places = []
+    for _ in range(near - 1):
+        ids = levels[-1].ids
+        level, place = _above(((ids >> 16) << 8) | (ids & 255), levels[-1])
+        levels.append(level)
+        places.append(place)
+    size = len(levels[-1].ids)
+    state = levels[-1].handed(np.zeros(size), np.ones(size), np.full(size, 0.5))
+    for level, place in zip(levels[-2::-1], places[::-1], strict=True):
+        state = level.handed(*(part[place] for part in state))
+    return levels[0].ids, *state
+
+
+def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """``gram``, ``c`` and ``lp``, its weighted log10 probability, from grams and their counts.
+
+    A task holds the grams that share their ``NEAR`` nearest context bytes at once.
+    """
+    near = min(NEAR, depth)
+    shift = 8 * (depth + 1 - near)
+
+    def crown_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own, counts in _whole_subtrees(batches, shift):
+            for j in range(8):
+                level = _subtrees(own, counts, j, depth, near)[0][-1]
+                ids, place = np.unique(_crown_ids(level.ids, j), return_inverse=True)
+                sums = [np.bincount(place, n, len(ids)) for n in (level.zeros, level.ones, level.weighted)]
+                columns = [ids, sums[0].astype(np.int64), sums[1].astype(np.int64), sums[2]]
+                yield pa.record_batch([pa.array(c) for c in columns], names=["id", "zeros", "ones", "deeper"])
+
+    dealt = grams.select("gram", "c").repartition(F.shiftright("gram", shift)).sortWithinPartitions("gram")
+    sums = dealt.mapInArrow(crown_sums, "id long, zeros long, ones long, deeper double")
+    sums = sums.groupBy("id").agg(*(F.sum(name).alias(name) for name in ("zeros", "ones", "deeper")))
+    table = sums.toArrow()
+    shared = grams.sparkSession.sparkContext.broadcast(_crown(table, near) if table.num_rows else ())
+
+    def score_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own, counts in _whole_subtrees(batches, shift):
+            known, *states = shared.value
+            total = np.zeros(len(own))
+            for j in range(8):
+                levels, places = _subtrees(own, counts, j, depth, near)
+                at = np.searchsorted(known, _crown_ids(levels[-1].ids, j))
+                state = levels[-1].handed(*(part[at] for part in states))
+                for level, place in zip(levels[-2::-1], places[:0:-1], strict=True):
+                    state = level.handed(*(part[place] for part in state))
+                best = state[2][places[0]]
+                total += np.log(np.where((own >> (7 - j)) & 1, best, 1 - best))
+            columns = [pa.array(own), pa.array(counts), pa.array(total / _LN10)]
+            yield pa.record_batch(columns, names=["gram", "c", "lp"])
+
+    return dealt.mapInArrow(score_grams, "gram long, c long, lp double")
 
 
 def _digest(name: object, body: bytes) -> tuple[bytes, list[int]]:
@@ -326,45 +355,70 @@ def _digest(name: object, body: bytes) -> tuple[bytes, list[int]]:
     return digest, np.frombuffer(digest, "<i8").tolist()
 
 
+def _frequent(scores: DataFrame) -> int:
+    """The least count of grams that go to every worker; -1 if all do."""
+    power = F.when(F.col("c") > 0, F.length(F.bin("c"))).otherwise(0).alias("power")
+    sizes = dict(scores.groupBy(power).count().collect())
+    if sum(sizes.values()) <= MAX_BROADCAST_GRAMS:
+        return -1
+    total, least = 0, max(sizes) + 1
+    for each in sorted(sizes, reverse=True):
+        total += sizes[each]
+        if total > MAX_BROADCAST_GRAMS:
+            break
+        least = each
+    return 1 << (least - 1)
+
+
 def _stream_scores(rows: DataFrame, scores: DataFrame, depth: int) -> DataFrame:
     """``a``, ``b`` (the row's digest) and ``lp``, parts of the score of each text's stream.
 
-    ``rows`` hold an id and a text.
+    ``rows`` hold an id and a text. Workers add the scores of frequent grams; of the others a
+    text gives one row each, which are joined with the scores.
     """
-    if scores.count() > MAX_BROADCAST_GRAMS:
-
-        def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part in batches:
-                for name, body in zip(part.column(0).to_pylist(), blobs(part.column(1)), strict=True):
-                    _, (a, b) = _digest(name, body)
-                    for own in stream_grams(body, depth):
-                        grams, counts = np.unique(own, return_counts=True)
-                        row = [np.full(len(grams), a, np.int64), np.full(len(grams), b, np.int64), grams, counts]
-                        yield pa.record_batch([pa.array(c, pa.int64()) for c in row], names=["a", "b", "gram", "n"])
-
-        spelled = rows.mapInArrow(spell, "a long, b long, gram long, n long")
-        return spelled.join(scores, "gram").groupBy("a", "b").agg(F.sum(F.col("n") * F.col("lp")).alias("lp"))
-
-    table = scores.select("gram", "lp").toArrow()
+    least = _frequent(scores)
+    table = scores.where(F.col("c") >= least).select("gram", "lp").toArrow()
     grams, values = table["gram"].to_numpy(), table["lp"].to_numpy()
     order = np.argsort(grams)
-    shared = rows.sparkSession.sparkContext.broadcast((grams[order], values[order]))
+    # A last entry that is no gram: places beyond the others.
+    packed = np.append(grams[order], -1), np.append(values[order], 0.0)
+    shared = rows.sparkSession.sparkContext.broadcast(packed)
+    names = ["a", "b", "gram", "n", "lp"]
 
     def score_streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, lps = shared.value
         for part in batches:
-            out: list[tuple] = []
+            held: list[list[np.ndarray]] = []
+            size = 0
             for name, body in zip(part.column(0).to_pylist(), blobs(part.column(1)), strict=True):
                 _, (a, b) = _digest(name, body)
-                lp = 0.0
-                for own in stream_grams(body, depth):
-                    # In order, so that neighbours are looked up in the same part of the table.
-                    lp += float(lps[np.searchsorted(known, np.sort(own))].sum())
-                out.append((a, b, lp))
-            if out:
-                yield _batch(out, [pa.int64(), pa.int64(), pa.float64()], ["a", "b", "lp"])
-
-    return rows.mapInArrow(score_streams, "a long, b long, lp double")
+                for stream in stream_grams(body, depth):
+                    own, n = np.unique(stream, return_counts=True)
+                    at = np.searchsorted(known[:-1], own)
+                    found = known[at] == own
+                    rest = ~found
+                    # The sum's number is below those of grams, and differs between texts.
+                    own = np.append(own[rest], a | np.int64(-1 << 63))
+                    lp = np.zeros(len(own))
+                    lp[-1] = n[found] @ lps[at[found]]
+                    held.append([np.full(len(own), a), np.full(len(own), b), own, np.append(n[rest], 1), lp])
+                    size += len(own)
+                    if size > _FLUSH:
+                        yield _columns(held, names)
+                        held, size = [], 0
+            if held:
+                yield _columns(held, names)
+
+    parts = rows.mapInArrow(score_streams, "a long, b long, gram long, n long, lp double")
+    if least < 0:
+        return parts.select("a", "b", "lp")
+    rare = scores.where(F.col("c") < least).select("gram", F.col("lp").alias("own"))
+    total = F.col("lp") + F.coalesce(F.col("n") * F.col("own"), F.lit(0.0))
+    return parts.join(rare, "gram", "left").select("a", "b", total.alias("lp"))
+
+
+def _columns(rows: list[list[np.ndarray]], names: list[str]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*rows, strict=True)], names=names)
 
 
 def score(
@@ -372,9 +426,8 @@ def score(
     learn: Column,
     id_col: str = "doc_id",
     text_col: str = "text",
-    depth: int | None = None,
+    depth: int = DEPTH,
     head: int = HEAD,
-    across: bool = False,
 ) -> DataFrame:
     """Scores of all texts by a model of the rows where ``learn`` is true.
 
@@ -383,9 +436,7 @@ def score(
     both log10, and ``n_bytes`` (of the modelled text; -score / n_bytes is the code length a
     byte). A null text is an empty one, a null ``learn`` is false. Equal rows are scored once
     and come back as often as given. Without rows to learn from every decision is even.
-    With ``across`` contexts run over the whole text, otherwise they stop before each word.
     """
-    depth = depth or (STREAM_DEPTH if across else DEPTH)
     rows, (key, text) = shielded(docs.withColumn("learn", F.coalesce(learn, F.lit(False))), id_col, text_col)
     id_type = rows.schema[key].dataType.simpleString()
     both = docs.select(F.coalesce(learn, F.lit(False)).alias("learn"), F.col(text_col).alias("text"))
@@ -393,27 +444,22 @@ def score(
     known = F.col("c") > 0
     total, distinct = tokens.agg(F.sum("c"), F.count(F.when(known, 1))).first()
     total = total or 0
-    counted_grams = _stream_counts(both, depth) if across else _gram_counts(tokens, depth)
-    scores = stored(gram_scores(stored(counted_grams, "grams"), depth, even=across), "scores")
-    if across:  # The words only give the base score.
-        tokens = tokens.withColumn("lp", F.lit(0.0))
-    else:
-        tokens = stored(token_scores(tokens, scores, depth), "token-scores")
+    scores = stored(gram_scores(stored(gram_counts(both, depth), "grams"), depth), "scores")
     floor = np.log10(total + distinct + 1)
 
     top = tokens.orderBy(F.desc("c"), "token").limit(head).toArrow()
     table = {
-        bytes(token): (c > 0, float(np.log10(c + 1) - floor), lp)
-        for token, c, lp in zip(*(top[name].to_pylist() for name in ("token", "c", "lp")), strict=True)
+        bytes(token): (c > 0, float(np.log10(c + 1) - floor))
+        for token, c in zip(top["token"].to_pylist(), top["c"].to_pylist(), strict=True)
     }
     shared = docs.sparkSession.sparkContext.broadcast(table)
-    layout = f"a long, b long, id {id_type}, copies long, n long, bytes long, known long, base double, score double, token binary, tf long"
+    layout = f"a long, b long, id {id_type}, copies long, n long, bytes long, known long, base double, token binary, tf long"
     names = [part.split()[0] for part in layout.split(", ")]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = shared.value
         for part in batches:
-            kinds = [pa.int64()] * 2 + [part.column(0).type] + [pa.int64()] * 4 + [pa.float64()] * 2
+            kinds = [pa.int64()] * 2 + [part.column(0).type] + [pa.int64()] * 4 + [pa.float64()]
             kinds += [pa.binary(), pa.int64()]
             out: list[tuple] = []
             for name, body in zip(part.column(0).to_pylist(), blobs(part.column(1)), strict=True):
@@ -422,18 +468,17 @@ def score(
                 size = sum(n * (len(w) + 1) for w, n in counts.items()) + 2
                 n_tokens = sum(counts.values()) + 1
                 counts[END] += 1
-                n_known, base, own = 0, 0.0, 0.0
+                n_known, base = 0, 0.0
                 for word, n in counts.items():
                     found = frequent.get(word)
                     if found is None:
-                        out.append((a, b, None, 0, 0, 0, 0, 0.0, 0.0, word, n))
+                        out.append((a, b, None, 0, 0, 0, 0, 0.0, word, n))
                     else:
                         n_known += n * found[0]
                         base += n * found[1]
-                        own += n * found[2]
                 # No word holds a space, so this row meets none in the join.
                 mark = b" " + digest
-                out.append((a, b, name, 1, n_tokens, size, n_known, base, own, mark, 0))
+                out.append((a, b, name, 1, n_tokens, size, n_known, base, mark, 0))
                 if len(out) > 50_000:
                     yield _batch(out, kinds, names)
                     out = []
@@ -445,7 +490,6 @@ def score(
         "token",
         known.cast("long").alias("t_known"),
         (F.log10(F.col("c") + 1) - float(floor)).alias("t_base"),
-        F.col("lp").alias("t_score"),
     )
     joined = counted.join(rare, "token", "left").select(
         "a",
@@ -456,14 +500,13 @@ def score(
         "bytes",
         (F.col("known") + F.coalesce(F.expr("tf * t_known"), F.lit(0))).alias("known"),
         (F.col("base") + F.coalesce(F.expr("tf * t_base"), F.lit(0.0))).alias("base"),
-        (F.col("score") + F.coalesce(F.expr("tf * t_score"), F.lit(0.0))).alias("score"),
+        F.lit(0.0).alias("score"),
+    )
+    nothing = [F.lit(0).cast("long").alias(c) for c in ("copies", "n", "bytes", "known")]
+    streams = _stream_scores(rows.select(key, text), scores, depth).select(
+        "a", "b", F.lit(None).cast(id_type).alias("id"), *nothing, F.lit(0.0).alias("base"), F.col("lp").alias("score")
     )
-    if across:
-        nothing = [F.lit(0).cast("long").alias(c) for c in ("copies", "n", "bytes", "known")]
-        streams = _stream_scores(rows.select(key, text), scores, depth).select(
-            "a", "b", F.lit(None).cast(id_type).alias("id"), *nothing, F.lit(0.0).alias("base"), F.col("lp").alias("score")
-        )
-        joined = joined.unionByName(streams)
+    joined = joined.unionByName(streams)
     sums = joined.groupBy("a", "b").agg(
         F.max("id").alias("id"), *(F.sum(c).alias(c) for c in ("copies", "n", "bytes", "known", "base", "score"))
     )
