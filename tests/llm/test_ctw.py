@@ -136,6 +136,16 @@ def test_tallies_and_chunks():
             assert one and other and one[-1] >> 9 != other[0] >> 9
 
 
+def test_hashed_places():
+    draw = random.Random(3)
+    for size in (0, 1, 5, 3000):
+        known = draw.sample(range(1 << 56), size)
+        slots = ctw._hashed(ctw.np.array(known, ctw.np.int64))
+        own = [*known, *(draw.randrange(1 << 56) for _ in range(500))]
+        places = ctw._places(ctw.np.array(own, ctw.np.int64), ctw.np.array([*known, -1], ctw.np.int64), slots)
+        assert places.tolist() == [known.index(g) if g in known else size for g in own]
+
+
 def test_whole_table(spark):
     folder = "/root/testdata/sf0.01"
     texts = dict(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect())

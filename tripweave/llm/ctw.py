@@ -355,6 +355,44 @@ def _digest(name: object, body: bytes) -> tuple[bytes, list[int]]:
     return digest, np.frombuffer(digest, "<i8").tolist()
 
 
+_MIX = np.uint64(0x9E3779B97F4A7C15)  # 2^64 over the golden ratio
+
+
+def _slot(grams: np.ndarray, bits: int) -> np.ndarray:
+    return ((grams.view(np.uint64) * _MIX) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _hashed(grams: np.ndarray) -> np.ndarray:
+    """Slots of different grams: each holds a gram's place, or that of an entry after the last one.
+
+    A gram whose slot is taken stands in the next free one.
+    """
+    bits = max(int(2 * len(grams)).bit_length(), 1)
+    slots = np.full(1 << bits, len(grams), np.int32)
+    left = np.arange(len(grams))
+    at = _slot(grams, bits)
+    while len(left):
+        free = slots[at] == len(grams)
+        slots[at[free]] = left[free]
+        out = slots[at] != left
+        left, at = left[out], (at[out] + 1) & (len(slots) - 1)
+    return slots
+
+
+def _places(own: np.ndarray, grams: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """The place of each of ``own`` in ``grams``, whose last entry stands for those not found."""
+    at = _slot(own, len(slots).bit_length() - 1)
+    places = slots[at].astype(np.int64)
+    left = np.flatnonzero((grams[places] != own) & (places < len(grams) - 1))
+    at = at[left]
+    while len(left):
+        at = (at + 1) & (len(slots) - 1)
+        places[left] = slots[at]
+        more = (grams[places[left]] != own[left]) & (places[left] < len(grams) - 1)
+        left, at = left[more], at[more]
+    return places
+
+
 def _frequent(scores: DataFrame) -> int:
     """The least count of grams that go to every worker; -1 if all do."""
     power = F.when(F.col("c") > 0, F.length(F.bin("c"))).otherwise(0).alias("power")
@@ -379,14 +417,13 @@ def _stream_scores(rows: DataFrame, scores: DataFrame, depth: int) -> DataFrame:
     least = _frequent(scores)
     table = scores.where(F.col("c") >= least).select("gram", "lp").toArrow()
     grams, values = table["gram"].to_numpy(), table["lp"].to_numpy()
-    order = np.argsort(grams)
-    # A last entry that is no gram: places beyond the others.
-    packed = np.append(grams[order], -1), np.append(values[order], 0.0)
+    # The last entry is no gram.
+    packed = np.append(grams, -1), np.append(values, 0.0), _hashed(grams)
     shared = rows.sparkSession.sparkContext.broadcast(packed)
     names = ["a", "b", "gram", "n", "lp"]
 
     def score_streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, lps = shared.value
+        known, lps, slots = shared.value
         for part in batches:
             held: list[list[np.ndarray]] = []
             size = 0
@@ -394,13 +431,12 @@ def _stream_scores(rows: DataFrame, scores: DataFrame, depth: int) -> DataFrame:
                 _, (a, b) = _digest(name, body)
                 for stream in stream_grams(body, depth):
                     own, n = np.unique(stream, return_counts=True)
-                    at = np.searchsorted(known[:-1], own)
-                    found = known[at] == own
-                    rest = ~found
+                    at = _places(own, known, slots)
+                    rest = at == len(known) - 1
                     # The sum's number is below those of grams, and differs between texts.
                     own = np.append(own[rest], a | np.int64(-1 << 63))
                     lp = np.zeros(len(own))
-                    lp[-1] = n[found] @ lps[at[found]]
+                    lp[-1] = n @ lps[at]
                     held.append([np.full(len(own), a), np.full(len(own), b), own, np.append(n[rest], 1), lp])
                     size += len(own)
                     if size > _FLUSH:
@@ -459,31 +495,53 @@ def score(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = shared.value
         for part in batches:
-            kinds = [pa.int64()] * 2 + [part.column(0).type] + [pa.int64()] * 4 + [pa.float64()]
-            kinds += [pa.binary(), pa.int64()]
-            out: list[tuple] = []
+            kind = part.column(0).type
+            own: list[tuple] = []
+            rare: list[tuple[int, int]] = []
+            sizes: list[int] = []
+            words: list[bytes] = []
+            times: list[int] = []
+
+            def batch(kind=kind, own=own, rare=rare, sizes=sizes, words=words, times=times) -> pa.RecordBatch:
+                # Texts first, then the words of texts that the joined table scores.
+                columns = list(zip(*own, strict=True)) or [()] * 9
+                more = len(words)
+                ab = np.repeat(np.array(rare, np.int64).reshape(-1, 2), sizes, axis=0)
+                given = [np.append(np.array(columns[i], np.int64), ab[:, i]) for i in (0, 1)]
+                named = pa.concat_arrays([pa.array(columns[2], kind), pa.nulls(more, kind)])
+                none = np.zeros(more, np.int64)
+                counted = [np.append(np.array(columns[i], np.int64), none) for i in (3, 4, 5, 6)]
+                base = np.append(np.array(columns[7], float), np.zeros(more))
+                tf = np.append(np.zeros(len(own), np.int64), np.array(times, np.int64))
+                tokens = pa.array([*columns[8], *words], pa.binary())
+                made = [*map(pa.array, given), named, *map(pa.array, counted), pa.array(base), tokens, pa.array(tf)]
+                for each in (own, rare, sizes, words, times):
+                    each.clear()
+                return pa.record_batch(made, names=names)
+
             for name, body in zip(part.column(0).to_pylist(), blobs(part.column(1)), strict=True):
                 digest, (a, b) = _digest(name, body)
                 counts = Counter(words_of(body))
                 size = sum(n * (len(w) + 1) for w, n in counts.items()) + 2
                 n_tokens = sum(counts.values()) + 1
                 counts[END] += 1
-                n_known, base = 0, 0.0
+                n_known, base, before = 0, 0.0, len(words)
                 for word, n in counts.items():
                     found = frequent.get(word)
                     if found is None:
-                        out.append((a, b, None, 0, 0, 0, 0, 0.0, word, n))
+                        words.append(word)
+                        times.append(n)
                     else:
                         n_known += n * found[0]
                         base += n * found[1]
+                rare.append((a, b))
+                sizes.append(len(words) - before)
                 # No word holds a space, so this row meets none in the join.
-                mark = b" " + digest
-                out.append((a, b, name, 1, n_tokens, size, n_known, base, mark, 0))
-                if len(out) > 50_000:
-                    yield _batch(out, kinds, names)
-                    out = []
-            if out:
-                yield _batch(out, kinds, names)
+                own.append((a, b, name, 1, n_tokens, size, n_known, base, b" " + digest))
+                if len(words) > 50_000:
+                    yield batch()
+            if own:
+                yield batch()
 
     counted = rows.select(key, text).mapInArrow(count, layout)
     rare = tokens.select(
@@ -520,8 +578,3 @@ def score(
         (F.col("score") / F.col("copies")).alias("score"),
         F.expr("bytes div copies").alias("n_bytes"),
     )
-
-
-def _batch(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
-    columns = zip(*rows, strict=True)
-    return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
