@@ -42,7 +42,7 @@ END = b"\n"
 # Words whose scores go to every worker, the most frequent ones; others are joined.
 HEAD = 200_000
 # Gram scores that go to every worker, those of the most frequent grams; others are joined.
-MAX_BROADCAST_GRAMS = 4_000_000
+MAX_BROADCAST_GRAMS = 2_000_000
 _FLUSH = 300_000
 _LN10 = float(np.log(10))
 
@@ -165,7 +165,8 @@ def gram_counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             if last is not None:
                 yield last
 
-    counts = docs.select("learn", "text").mapInArrow(count, "gram long, c long")
+    # Tasks have summed their own grams; summing again before the shuffle would save nothing.
+    counts = docs.select("learn", "text").mapInArrow(count, "gram long, c long").repartition("gram")
     return counts.groupBy("gram").agg(F.sum("c").alias("c"))
 
 
@@ -417,9 +418,11 @@ def _stream_scores(rows: DataFrame, scores: DataFrame, depth: int) -> DataFrame:
     least = _frequent(scores)
     table = scores.where(F.col("c") >= least).select("gram", "lp").toArrow()
     grams, values = table["gram"].to_numpy(), table["lp"].to_numpy()
+    del table
+    slots = _hashed(grams)
     # The last entry is no gram.
-    packed = np.append(grams, -1), np.append(values, 0.0), _hashed(grams)
-    shared = rows.sparkSession.sparkContext.broadcast(packed)
+    shared = rows.sparkSession.sparkContext.broadcast((np.append(grams, -1), np.append(values, 0.0), slots))
+    del grams, values, slots
     names = ["a", "b", "gram", "n", "lp"]
 
     def score_streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -489,6 +492,7 @@ def score(
         for token, c in zip(top["token"].to_pylist(), top["c"].to_pylist(), strict=True)
     }
     shared = docs.sparkSession.sparkContext.broadcast(table)
+    del top, table
     layout = f"a long, b long, id {id_type}, copies long, n long, bytes long, known long, base double, token binary, tf long"
     names = [part.split()[0] for part in layout.split(", ")]
 
