@@ -8,6 +8,7 @@ only if its scope holds both an identifier and a secret.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -31,6 +32,7 @@ SCOPE = 256
 MASK = "[MASKED]"
 # Group sizes of running sums: lists of matches are folded in parts.
 _PART = 256
+_FAR = 2**62
 _OPEN, _CLOSE, _OTHER = "\x01", "\x02", "\x03"
 
 
@@ -61,26 +63,40 @@ _NUMBER = {kind.name: at for at, kind in enumerate(KINDS)}
 _SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
-def _running(lengths: Column) -> Column:
-    """The sum of the numbers before each of ``lengths``."""
+def _long(number: int) -> Column:
+    return F.lit(number).cast("bigint")
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once a row, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _before(numbers: Column, zero: Column, joined: Callable[[Column, Column], Column]) -> Column:
+    """For each number what ``joined`` makes of ``zero`` and the numbers before it."""
     empty = F.expr("cast(array() AS array<bigint>)")
 
-    def fold(numbers: Column, start: Column) -> Column:
+    def fold(part: Column, start: Column) -> Column:
         first = F.struct(start.alias("sum"), empty.alias("sums"))
 
         def step(state: Column, n: Column) -> Column:
             return F.struct(
-                (state["sum"] + n).alias("sum"), F.array_append(state["sums"], state["sum"]).alias("sums")
+                joined(state["sum"], n).alias("sum"), F.array_append(state["sums"], state["sum"]).alias("sums")
             )
 
-        return F.aggregate(numbers, first, step, lambda state: state["sums"])
+        return F.aggregate(part, first, step, lambda state: state["sums"])
+
+    def folded(parts: Column) -> Column:
+        sums = F.transform(parts, lambda part: F.aggregate(part, zero, joined))
+        return F.flatten(F.zip_with(parts, fold(sums, zero), fold))
 
-    zero = F.lit(0).cast("bigint")
-    starts = F.sequence(F.lit(1), F.greatest(F.size(lengths), F.lit(1)), F.lit(_PART))
-    parts = F.transform(starts, lambda i: F.slice(lengths, i, _PART))
-    sums = F.transform(parts, lambda p: F.aggregate(p, zero, lambda a, n: a + n))
-    befores = fold(sums, zero)
-    return F.flatten(F.zip_with(parts, befores, fold))
+    return _once(_once(numbers, _parts), folded)
+
+
+def _parts(values: Column) -> Column:
+    """An array in arrays of ``_PART``; an empty one gives one empty part."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), F.lit(_PART))
+    return F.transform(starts, lambda i: F.slice(values, i, _PART))
 
 
 def _spans(text: Column, low: Column, kind: Kind) -> Column:
@@ -92,26 +108,28 @@ def _spans(text: Column, low: Column, kind: Kind) -> Column:
     """
     plain = F.translate(text, _OPEN + _CLOSE, _OTHER + _OTHER)
     marked = F.regexp_replace(plain, F.lit(kind.pattern), F.lit(f"{_OPEN}$0{_CLOSE}"))
-    pieces = F.split(marked, _OPEN)
-    inside = F.transform(pieces, lambda p: (F.instr(p, _CLOSE) - 1).cast("bigint"))
-    sizes = F.transform(pieces, lambda p: F.length(F.translate(p, _CLOSE, "")).cast("bigint"))
-    cut = F.zip_with(inside, pieces, lambda n, p: F.struct(n.alias("length"), p.alias("piece")))
-    rows = F.zip_with(_running(sizes), cut, lambda at, c: F.struct(at.alias("start"), c.alias("cut")))
-    rows = F.filter(rows, lambda x: x["cut"]["length"] >= 0)
-    if kind.least:
-        value = lambda x: F.regexp_extract(
-            F.substring_index(x["cut"]["piece"], _CLOSE, 1), kind.pattern, 1
-        )
-        rows = F.filter(rows, lambda x: F.length(value(x)) >= kind.least)
     number = F.lit(_NUMBER[kind.name])
-    spans = F.transform(
-        rows,
-        lambda x: F.struct(
-            x["start"].alias("start"),
-            number.alias("kind"),
-            (x["start"] + x["cut"]["length"]).alias("end"),
-        ),
-    ).cast(_SPANS)
+
+    def matches(pieces: Column) -> Column:
+        sizes = F.transform(pieces, lambda p: F.length(F.translate(p, _CLOSE, "")).cast("bigint"))
+        starts = _before(sizes, _long(0), lambda at, n: at + n)
+        rows = F.zip_with(starts, pieces, lambda at, p: F.struct(at.alias("start"), p.alias("piece")))
+        rows = F.filter(rows, lambda x: F.contains(x["piece"], F.lit(_CLOSE)))
+        if kind.least:
+            value = lambda x: F.regexp_extract(
+                F.substring_index(x["piece"], _CLOSE, 1), kind.pattern, 1
+            )
+            rows = F.filter(rows, lambda x: F.length(value(x)) >= kind.least)
+        return F.transform(
+            rows,
+            lambda x: F.struct(
+                x["start"].alias("start"),
+                number.alias("kind"),
+                (x["start"] + F.instr(x["piece"], _CLOSE) - 1).alias("end"),
+            ),
+        ).cast(_SPANS)
+
+    spans = _once(F.split(marked, _OPEN), matches)
     held = text.isNotNull()
     if kind.cues:
         cue = F.lit(False)
@@ -169,9 +187,8 @@ def _linked(rows: DataFrame) -> DataFrame:
     cell, and a cell has room for few.
     """
     roles = F.array(*(F.lit(kind.role) for kind in KINDS))
-    overlaps = lambda s: F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     rows = rows.where(F.size("weak") > 0).dropDuplicates(["key"])
-    rows = rows.select("key", F.concat("base", F.filter("weak", lambda s: ~overlaps(s))).alias("parts"))
+    rows = rows.select("key", _once(F.array_sort(F.concat("base", "weak")), _clear).alias("parts"))
     parts = rows.select("key", F.explode("parts").alias("s")).select(
         "key",
         "s.*",
@@ -193,6 +210,19 @@ def _linked(rows: DataFrame) -> DataFrame:
     return met.groupBy("key").agg(F.array_sort(F.collect_list(span)).cast(_SPANS).alias("linked"))
 
 
+def _clear(spans: Column) -> Column:
+    """Of spans by start the strong ones, and the weak ones that overlap none of them."""
+    strong = lambda s: s["kind"] < len(BASE)
+    ends = F.transform(spans, lambda s: F.when(strong(s), s["end"]).otherwise(_long(0)))
+    starts = F.transform(F.reverse(spans), lambda s: F.when(strong(s), s["start"]).otherwise(_long(_FAR)))
+    reached = _before(ends, _long(0), lambda a, b: F.greatest(a, b))
+    ahead = F.reverse(_before(starts, _long(_FAR), lambda a, b: F.least(a, b)))
+    around = F.zip_with(reached, ahead, lambda r, a: F.struct(r.alias("reached"), a.alias("ahead")))
+    rows = F.zip_with(around, spans, lambda x, s: F.struct(x.alias("around"), s.alias("span")))
+    free = lambda x: (x["around"]["reached"] <= x["span"]["start"]) & (x["span"]["end"] <= x["around"]["ahead"])
+    return F.transform(F.filter(rows, lambda x: strong(x["span"]) | free(x)), lambda x: x["span"])
+
+
 def written(spans: Column) -> Column:
     """Spans as kind:start:end, comma-joined."""
     names = F.array(*(F.lit(kind.name) for kind in KINDS))
@@ -215,14 +245,8 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     rows = rows.join(linked.withColumnsRenamed({"key": "_key_", "linked": "_linked_"}), "_key_", "left")
     none = F.expr(f"cast(array() AS {_SPANS})")
     rows = rows.withColumn("_spans_", F.array_sort(F.concat(base_spans(text), F.coalesce("_linked_", none))))
-    rows = rows.withColumn("_cut_", _merged(F.col("_spans_")))
-    ends = F.concat(F.array(F.lit(0).cast("bigint")), F.transform("_cut_", lambda s: s["end"]))
-    starts = F.concat(F.transform("_cut_", lambda s: s["start"]), F.array(F.length(text).cast("bigint")))
-    between = F.zip_with(
-        ends, starts, lambda a, b: F.substring(text, (a + 1).cast("int"), (b - a).cast("int"))
-    )
-    hidden = F.size("_cut_") > 0
-    rows = rows.withColumn(text_col, F.when(hidden, F.array_join(between, MASK)).otherwise(text))
+    hidden = F.size("_spans_") > 0
+    rows = rows.withColumn(text_col, F.when(hidden, _hidden(text, F.col("_spans_"))).otherwise(text))
     if size_col in docs.columns:
         kind = docs.schema[size_col].dataType.simpleString()
         if kind in ("bigint", "int"):
@@ -231,17 +255,30 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     return rows.select(*(F.col(f"`{name}`") for name in docs.columns))
 
 
-def _merged(spans: Column) -> Column:
-    """Overlapping spans as one."""
+def _hidden(text: Column, spans: Column) -> Column:
+    """``text`` with a mask for each run of overlapping spans, which come by start.
 
-    def step(state: Column, s: Column) -> Column:
-        last = F.element_at(state, -1)
-        joined = F.struct(
-            last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], s["end"]).alias("end")
-        )
-        grown = F.array_append(F.slice(state, 1, F.size(state) - 1), joined)
-        return F.when(F.size(state) == 0, F.array(s)).otherwise(
-            F.when(s["start"] < last["end"], grown).otherwise(F.array_append(state, s))
-        ).cast(_SPANS)
+    What stays is cut in two steps, a part of the text and pieces of that, so that no piece is
+    looked for from the start of a long text.
+    """
+    ends = lambda spans: F.transform(spans, lambda s: s["end"])
+
+    def shown(spans: Column) -> Column:
+        reached = _before(ends(spans), _long(0), lambda a, b: F.greatest(a, b))
+        rows = F.zip_with(reached, spans, lambda a, s: F.struct(a.alias("a"), s["start"].alias("z")))
+        last = F.struct(F.array_max(ends(spans)).alias("a"), F.length(text).cast("bigint").alias("z"))
+        return F.concat(F.filter(rows, lambda x: x["a"] <= x["z"]), F.array(last))
+
+    def cut(whole: Column, base: Column, a: Column, z: Column) -> Column:
+        return F.substring(whole, (a - base + 1).cast("int"), (z - a).cast("int"))
+
+    def block(part: Column) -> Column:
+        first, last = F.element_at(part, 1)["a"], F.element_at(part, -1)["z"]
+        return F.struct(part.alias("part"), first.alias("from"), cut(text, _long(0), first, last).alias("piece"))
+
+    def joined(b: Column) -> Column:
+        pieces = F.transform(b["part"], lambda x: cut(b["piece"], b["from"], x["a"], x["z"]))
+        return F.array_join(pieces, MASK)
 
-    return F.aggregate(spans, F.expr(f"cast(array() AS {_SPANS})"), step)
+    blocks = F.transform(_once(_once(spans, shown), _parts), block)
+    return F.array_join(F.transform(blocks, joined), MASK)
