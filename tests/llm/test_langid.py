@@ -1,4 +1,7 @@
+import math
+import re
 import zlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -6,6 +9,8 @@ from tests.llm.cases import no_documents, odd_documents
 from tripweave.llm import langid
 from tripweave.llm.queries import op5_language_id
 
+WORD = re.compile(r"[^\W\d_]+")
+
 
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
@@ -50,3 +55,67 @@ def test_the_sample_is_bounded_and_repeatable(spark):
     models = [langid.train(docs.repartition(n), rows_per_language=50) for n in (1, 5)]
     assert models[0].words == models[1].words and models[0].languages == ["en", "fr"]
     assert "text" in models[0].words.split("\n") and (models[0].word_rows == models[1].word_rows).all()
+
+
+def plain_scores(samples, text):
+    """Log scores of each language, straight from the counts of all words and n-grams."""
+    languages = sorted({lang for _, lang in samples})
+    words = {lang: Counter() for lang in languages}
+    for body, lang in samples:
+        words[lang].update(WORD.findall(body.lower()))
+    grams = {(lang, n): Counter() for lang in languages for n in langid.ORDERS}
+    for lang in languages:
+        for word, count in words[lang].items():
+            padded = f"<{word}>"
+            for n in langid.ORDERS:
+                for i in range(len(padded) - n + 1):
+                    if padded[i : i + n] != "<":
+                        grams[lang, n][padded[i : i + n]] += count
+
+    def logs(feature, tables):
+        every = sum(t[feature] for t in tables.values()) / sum(t.total() for t in tables.values())
+        return {lang: math.log((t[feature] + 20 * every) / (t.total() + 20)) for lang, t in tables.items()}
+
+    total = dict.fromkeys(languages, 0.0)
+    for word, times in Counter(WORD.findall(text.lower())).items():
+        if any(word in t for t in words.values()):
+            parts, weight = [logs(word, words)], times
+        else:
+            padded, parts, weight = f"<{word}>", [], times * 0.5
+            for end in range(2, len(padded) + 1):
+                for n in sorted(langid.ORDERS, reverse=True):
+                    tables = {lang: grams[lang, n] for lang in languages}
+                    if n <= end and any(padded[end - n : end] in t for t in tables.values()):
+                        parts.append(logs(padded[end - n : end], tables))
+                        break
+        for part in parts:
+            for lang, value in part.items():
+                total[lang] += weight * value
+    return total
+
+
+def test_scores_are_those_of_a_plain_scorer(spark):
+    samples = [
+        ("The cat and the dog, the house a", "en"), ("der Hund und die Katze im Haus", "de"),
+        ("le chat et le chien a la maison", "fr"), ("le chat, encore", "fr"), ("naïve Maße 漢字", "xx"),
+    ]
+    model = langid.train(spark.createDataFrame(samples, "text string, lang string"))
+    classify = langid.Classifier(model)
+    texts = ["the hound", "chatte", "Hunde und hausen", "a", "qqq zzz", "漢", "maison the Haus le", "naïveté " * 3]
+    for text in texts:
+        plain = plain_scores(samples, text)
+        best = max(plain.values())
+        share = 1 / sum(math.exp(v - best) for v in plain.values())
+        lang, score = classify(text.encode())
+        assert abs(score - share) < 1e-4
+        assert plain[lang] >= best - 1e-4
+
+
+def test_no_task_ranks_the_rows_of_a_language(spark):
+    """A language of many texts gives its sample from a few candidates; a rare word of it counts."""
+    rows = spark.range(20_000).selectExpr("concat('text of number ', id) AS text", "'en' AS lang")
+    rows = rows.unionByName(spark.createDataFrame([("selten Wort", "de")], "text string, lang string"))
+    model = langid.train(rows, rows_per_language=100)
+    words = model.words.split("\n")
+    en = model.word_rows["lang"] == model.languages.index("en")
+    assert {"selten", "wort", "number"} <= set(words) and en.sum() == 3

@@ -3,8 +3,8 @@
 A word that the model knows counts with its log frequency in each language. An unknown word
 is spelled: at each place the longest n-gram that the model knows counts, down to single
 characters. The model is learned by aggregating words and n-grams of a bounded sample of
-labelled rows of each language; it holds at most ``MAX_WORDS`` words and ``MAX_GRAMS``
-n-grams of each order, the most frequent ones.
+labelled rows of each language, and holds all words and n-grams of the sample, each with the
+languages that it occurs in.
 """
 
 from __future__ import annotations
@@ -16,21 +16,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm.common import blobs, pieces, resident, shielded, stored
 
 UNKNOWN = "und"
 ROWS_PER_LANGUAGE = 2_000
-MAX_WORDS = 100_000
-MAX_GRAMS = 50_000
 ORDERS = (1, 2, 3, 4)
 _WORDS = re.compile(r"[^\W\d_]+")
 _CACHED = 100_000
 _AT_ONCE = 10_000  # words spelled at once
 # Weight of a spelled word beside a known one: n-grams of one word are not independent.
 _SPELLED = 0.5
+# Candidates of a language's sample beside the texts taken: an estimate of their number is 5 % off.
+_SPARE, _SPARE_TEXTS = 1.5, 100
 # Weight of all languages' frequencies in one language's, in occurrences.
 _PRIOR = 20.0
 
@@ -65,27 +65,66 @@ def _runs(word: str) -> list[str]:
     ]
 
 
+_ENTRY = np.dtype([("feature", np.int32), ("lang", np.int32), ("weight", np.float32)])
+
+
 class LanguageModel:
-    """Log frequencies of words and n-grams in each language, by their places in one text."""
+    """Log frequencies of words and n-grams in each language, by their places in one text.
+
+    A frequency is log((n + p) / (all n of the language + _PRIOR)), p being what the feature's
+    share in all languages makes of ``_PRIOR``. Less log(p), which is the same for every
+    language, it is the feature's weight, 0 for n = 0, and the language's share: only languages
+    that have a feature need an entry.
+    """
 
     def __init__(self, languages: list[str], words: pa.Table, grams: pa.Table):
         self.languages = languages
-        self.words, self.word_rows = self._rows([words])
+        self.words, self.word_rows, shares = self._rows(words)
+        self.word_share = shares
         length = pa.compute.utf8_length(grams["feature"])
-        by_order = [grams.filter(pa.compute.equal(length, n)) for n in ORDERS]
-        self.grams, self.gram_rows = self._rows(by_order)
-
-    def _rows(self, tables: list[pa.Table]) -> tuple[str, np.ndarray]:
-        names, rows = [], [np.zeros((0, len(self.languages)), np.float32)]
-        for table in tables:
-            counts = [table[f"n{at}"].to_numpy() for at in range(len(self.languages))]
-            counts = np.array(counts, float).reshape(len(self.languages), len(table)).T
-            # What a language lacks, it takes from all languages together, the less the more it has.
-            shared = counts.sum(axis=1, keepdims=True) / max(counts.sum(), 1)
-            counts = (counts + _PRIOR * shared) / (counts.sum(axis=0) + _PRIOR)
-            names += table["feature"].to_pylist()
-            rows.append(np.log(counts).astype(np.float32))
-        return "\n".join(names), np.concatenate(rows)
+        parts = [self._rows(grams.filter(pa.compute.equal(length, n))) for n in ORDERS]
+        names = [name for part, _, _ in parts for name in (part.split("\n") if part else [])]
+        self.grams, self.gram_rows, low = "\n".join(names), [], 0
+        for part, rows, _ in parts:
+            rows["feature"] += low
+            low += part.count("\n") + 1 if part else 0
+            self.gram_rows.append(rows)
+        self.gram_rows = np.concatenate(self.gram_rows)
+        # By order; a place of no known n-gram tells nothing.
+        self.gram_share = np.array([np.zeros(len(languages)), *(shares for _, _, shares in parts)])
+
+    def _rows(self, table: pa.Table) -> tuple[str, np.ndarray, np.ndarray]:
+        table = table.sort_by([("feature", "ascending"), ("lang", "ascending")])
+        coded = table["feature"].combine_chunks().dictionary_encode()
+        if isinstance(coded, pa.ChunkedArray):
+            coded = coded.combine_chunks()
+        feature = coded.indices.to_numpy(zero_copy_only=False)
+        at = {name: place for place, name in enumerate(self.languages)}
+        lang = np.array([at[name] for name in table["lang"].to_pylist()], np.int32)
+        n = table["n"].to_numpy().astype(float)
+        shared = np.bincount(feature, weights=n, minlength=len(coded.dictionary)) / max(n.sum(), 1)
+        rows = np.zeros(len(n), _ENTRY)
+        rows["feature"], rows["lang"] = feature, lang
+        rows["weight"] = np.log1p(n / (_PRIOR * shared[feature]))
+        totals = np.bincount(lang, weights=n, minlength=len(self.languages))
+        return "\n".join(coded.dictionary.to_pylist()), rows, -np.log(totals + _PRIOR)
+
+
+class _Weights:
+    """The entries of features, looked up by the features' places."""
+
+    def __init__(self, rows: np.ndarray, features: int):
+        self.lang, self.weight = rows["lang"].astype(np.int64), rows["weight"].copy()
+        self.starts = np.searchsorted(rows["feature"], np.arange(features + 1))
+
+    def sums(self, places: np.ndarray, group: np.ndarray, times: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+        """The summed weights of features, ``times`` each, in each group and language."""
+        sizes = self.starts[places + 1] - self.starts[places]
+        offsets = np.cumsum(sizes) - sizes
+        flat = np.arange(sizes.sum()) + np.repeat(self.starts[places] - offsets, sizes)
+        cells = np.repeat(group * shape[1], sizes) + self.lang[flat]
+        weights = self.weight[flat] * np.repeat(times, sizes)
+        return np.bincount(cells, weights, shape[0] * shape[1]).astype(float).reshape(shape)
 
 
 class Classifier:
@@ -93,48 +132,56 @@ class Classifier:
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        grams = {gram: at for at, gram in enumerate(model.grams.split("\n"))} if len(model.gram_rows) else {}
-        nothing = np.zeros((1, len(model.languages)), np.float32)
-        self.gram_rows = np.concatenate([model.gram_rows, nothing])
-        self.longest = _Longest(grams, len(model.gram_rows))
-        self.known = len(model.word_rows)
-        self.rows = np.zeros((self.known + _CACHED, len(model.languages)), np.float32)
-        self.rows[: self.known] = model.word_rows
-        self.forget_words()
-
-    def forget_words(self) -> None:
-        words = self.model.words.split("\n") if self.known else []
-        self.at = {word: at for at, word in enumerate(words)}
+        self.known = {word: at for at, word in enumerate(model.words.split("\n") if model.words else [])}
+        self.word_weights = _Weights(model.word_rows, len(self.known))
+        grams = {gram: at for at, gram in enumerate(model.grams.split("\n") if model.grams else [])}
+        self.orders = np.array([*map(len, grams), 0])
+        self.longest = _Longest(grams, len(grams))
+        # The place after the last n-gram is that of none.
+        self.gram_weights = _Weights(model.gram_rows, len(grams) + 1)
+        self.spelled: dict[str, int] = {}
+        self.rows = np.zeros((_CACHED, len(model.languages)))
 
     def spell(self, words: list[str]) -> None:
         """Remembers unknown words by what their n-grams tell."""
-        found, starts, place = [], [], self.longest.__getitem__
+        found, sizes, place = [], [], self.longest.__getitem__
         for word in words:
-            starts.append(len(found))
-            found += map(place, _runs(word))
-        sums = np.add.reduceat(self.gram_rows[found], starts, axis=0)
-        low = len(self.at)
+            runs = _runs(word)
+            sizes.append(len(runs))
+            found += map(place, runs)
+        places, group = np.array(found), np.repeat(np.arange(len(words)), sizes)
+        sums = self.gram_weights.sums(places, group, np.ones(len(places)), (len(words), len(self.model.languages)))
+        orders = len(self.model.gram_share)
+        of_order = np.bincount(group * orders + self.orders[places], minlength=len(words) * orders)
+        sums += of_order.reshape(-1, orders) @ self.model.gram_share
+        low = len(self.spelled)
         self.rows[low : low + len(words)] = _SPELLED * sums
-        self.at.update(zip(words, range(low, low + len(words)), strict=True))
+        self.spelled.update(zip(words, range(low, low + len(words)), strict=True))
 
     def __call__(self, text: bytes | None) -> tuple[str, float]:
         words = words_of(text or b"")
-        if not words or not self.model.languages:
+        languages = self.model.languages
+        if not words or not languages:
             return UNKNOWN, 0.0
         if not any(c.isalpha() for word in words for c in word):
             return UNKNOWN, 0.0
-        total, every = np.zeros(len(self.model.languages)), list(words)
-        times = np.fromiter(words.values(), np.float64, len(words))
-        for low in range(0, len(every), _AT_ONCE):
-            part = every[low : low + _AT_ONCE]
-            if len(self.at) + len(part) > len(self.rows):
-                self.forget_words()
-            if new := [word for word in part if word not in self.at]:
+        every, times = list(words), np.fromiter(words.values(), np.float64, len(words))
+        at = np.array([self.known.get(word, -1) for word in every])
+        held = np.flatnonzero(at >= 0)
+        total = self.word_weights.sums(at[held], np.zeros(len(held), np.int64), times[held], (1, len(languages)))[0]
+        total += times[held].sum() * self.model.word_share
+        others = np.flatnonzero(at < 0)
+        for low in range(0, len(others), _AT_ONCE):
+            part = others[low : low + _AT_ONCE]
+            unknown = [every[i] for i in part]
+            if len(self.spelled) + len(part) > len(self.rows):
+                self.spelled.clear()
+            if new := [word for word in unknown if word not in self.spelled]:
                 self.spell(new)
-            total += times[low : low + _AT_ONCE] @ self.rows[[*map(self.at.__getitem__, part)]]
+            total += times[part] @ self.rows[[*map(self.spelled.__getitem__, unknown)]]
         shares = np.exp(total - total.max())
         best = int(total.argmax())
-        return self.model.languages[best], float(shares[best] / shares.sum())
+        return languages[best], float(shares[best] / shares.sum())
 
 
 def train(
@@ -143,22 +190,28 @@ def train(
     lang_col: str = "lang",
     rows_per_language: int = ROWS_PER_LANGUAGE,
 ) -> LanguageModel:
-    """The model of at most ``rows_per_language`` rows of each non-null language.
+    """The model of at most ``rows_per_language`` different texts of each non-null language.
 
-    Rows are drawn by the hash of their content, so the same rows give the same model. Rows
+    Texts are drawn by the hash of their content, so the same rows give the same model. Rows
     without text or language teach nothing; no such rows give a model without languages.
+
+    How many texts a language has is estimated first; only texts whose hash lies in the part of
+    the range that holds half as many again as are wanted are candidates, and of these the
+    smallest hashes are taken, so no task sees all rows of a language.
     """
     rows, (text, lang) = shielded(labelled, text_col, lang_col)
     rows = rows.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
     draw = F.xxhash64(F.length(text), text)
     rows = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), draw.alias("draw"))
-    # Only hashes are ranked; the last of each language tells which texts to take, once each.
-    best = Window.partitionBy("lang").orderBy("draw")
-    ranked = rows.select("lang", "draw").distinct().withColumn("place", F.row_number().over(best))
-    last = ranked.where(F.col("place") <= rows_per_language).groupBy("lang").agg(F.max("draw").alias("last"))
+    wanted = F.lit(_SPARE * rows_per_language + _SPARE_TEXTS) / F.approx_count_distinct("draw")
+    share = rows.groupBy("lang").agg(wanted.alias("share"))
     # One row a language, as the model itself has.
-    drawn = rows.join(F.broadcast(last), "lang").where("draw <= last")
-    drawn = drawn.groupBy("lang", "draw").agg(F.first("text").alias("text")).select("text", "lang")
+    near = rows.join(F.broadcast(share), "lang").where(F.col("draw") / F.lit(2.0**64) + 0.5 <= F.col("share"))
+    near = stored(near.groupBy("lang", "draw").agg(F.first("text").alias("text")), "candidates")
+    hashes = F.array_sort(F.collect_list("draw"))
+    last = F.element_at(hashes, F.least(F.size(hashes), F.lit(rows_per_language))).alias("last")
+    last = near.groupBy("lang").agg(last)
+    drawn = near.join(F.broadcast(last), "lang").where("draw <= last").select("text", "lang")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -186,28 +239,17 @@ def train(
     languages = sorted(row.lang for row in words.select("lang").distinct().collect())
     padded = F.concat(F.lit("<"), "word", F.lit(">"))
     cut = F.expr(
-        f"flatten(transform(sequence(1, {max(ORDERS)}), n -> transform("
-        "sequence(1, greatest(length(padded) - n + 1, 1)), i -> substring(padded, i, n))))"
+        f"flatten(transform(sequence(1, least({max(ORDERS)}, length(padded))), n -> transform("
+        "sequence(1, length(padded) - n + 1), i -> substring(padded, i, n))))"
     )
     grams = (
         words.withColumn("padded", padded)
         .select("lang", "n", F.explode(cut).alias("feature"))
         .where("feature <> '<'")
+        .groupBy("feature", "lang")
+        .agg(F.sum("n").alias("n"))
     )
-    by_order = Window.partitionBy(F.length("feature")).orderBy(F.desc("total"), "feature")
-    grams = _counted(grams, languages).withColumn("place", F.row_number().over(by_order))
-    grams = grams.where(F.col("place") <= MAX_GRAMS).drop("place")
-    named = _counted(words.withColumnRenamed("word", "feature"), languages)
-    named = named.orderBy(F.desc("total"), "feature").limit(MAX_WORDS)
-    return LanguageModel(languages, named.toArrow(), grams.toArrow())
-
-
-def _counted(features: DataFrame, languages: list[str]) -> DataFrame:
-    """``feature``, its count in each language (``n0``, ``n1``, ...) and in all."""
-    own = [F.sum(F.when(F.col("lang") == name, F.col("n")).otherwise(0)) for name in languages]
-    return features.groupBy("feature").agg(
-        F.sum("n").alias("total"), *(n.alias(f"n{at}") for at, n in enumerate(own))
-    )
+    return LanguageModel(languages, words.withColumnRenamed("word", "feature").toArrow(), grams.toArrow())
 
 
 def predict(text: Column, model: LanguageModel, session) -> Column:
