@@ -95,3 +95,26 @@ def test_wrapped_notices(spark, model):
     found = {r.doc_id: [p.family for p in r.paragraphs if p.family != "unknown"] for r in licences.scan(docs, model).collect()}
     assert [found[i] for i in range(len(WRAPPED))] == [[f] if f else [] for _, f in WRAPPED]
     assert found[99] == ["bsd", "mit", "apache", "gpl", "mit", "mit", "mit"]
+
+
+BARE = [
+    ("Available under CC BY 4.0", "cc-by"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public", "mpl"),
+    ("free of charge, to any person obtaining a copy of this software and associated documentation files", "mit"),
+    ("Use of this source code is governed\nby a BSD-style file.", "bsd"),
+    ("The source of the software is a matter of documentation.", None),
+]
+
+
+def test_notices_without_a_cue_are_found(spark, model):
+    docs = spark.createDataFrame([(i, f"int main;\n\n{text}\n\nint x;") for i, (text, _) in enumerate(BARE)], "doc_id long, text string")
+    found = {r.doc_id: [(p.at, p.family) for p in r.paragraphs] for r in licences.scan(docs, model).collect()}
+    assert [found[i] for i in range(len(BARE))] == [[(2, family)] if family else [] for _, family in BARE]
+
+
+def test_what_is_passed_over_can_be_of_no_family(spark):
+    grams = licences._notices(spark)
+    words = [*licences.MARKS, *(cue for cue in licences.CUES if " " not in cue)]
+    bare = grams.where(~F.exists(F.array(*map(F.lit, words)), lambda w: F.contains("gram", w)))
+    left = bare.groupBy("number").agg((F.count(F.lit(1)) / F.max("size")).alias("share"))
+    assert left.where(F.col("share") >= licences.MIN_CONTAINED).count() == 0

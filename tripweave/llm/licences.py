@@ -5,13 +5,15 @@ family, with words left out in turn, and on paragraphs of the corpus that speak
 things (a bounded sample), which are the unknown class. A paragraph is a line, or several lines
 in a row as notices are wrapped. It is given to a family if the model's probability passes a
 bound calibrated on the notices, and if enough of one of the family's notices stands in it word
-for word; otherwise it stays unknown.
+for word; otherwise it stays unknown. All paragraphs are looked through for notices, also those
+without any of the usual words: parts of words pass over what cannot hold enough of one.
 
 Built-in expressions and Spark's own learner only; the trained weights are a table.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from functools import reduce
 from operator import or_
@@ -79,8 +81,14 @@ TEMPLATES = {
         "SPDX-License-Identifier: CC0-1.0",
     ),
 }
-# A paragraph is scored if it holds one of these; each notice above does.
+# A paragraph with one of these is told even if it is of no family; each notice above has one.
 CUES = ("licen", "copyright", "permission", "permitted", "redistribut", "public domain", "spdx")
+# Enough of a notice may stand in a paragraph without a cue. Of the grams of each notice, less than
+# MIN_CONTAINED hold neither a one-word cue nor one of these: without either no family is possible.
+MARKS = (
+    "apache", "released", "source", "software", "documentation", "obtaining", "modif", "mozilla", "gnu", "4.0",
+    "waived", "extent",
+)
 # Ordinary paragraphs about permissions and such, for the unknown class.
 OTHERS = (
     "You need permission to enter this building.",
@@ -122,8 +130,33 @@ def _cued_across(text: Column) -> Column:
     return _cued(text) | F.lower(text).rlike("|".join(word.replace(" ", r"[^\p{L}\p{N}]+") for word in CUES if " " in word))
 
 
+def _marked(text: Column) -> Column:
+    """Whether a cue or a part of a notice may stand in the text: true of all that can be given a family."""
+    low = F.lower(text)
+    return reduce(or_, (F.contains(low, F.lit(word)) for word in MARKS), _cued_across(text))
+
+
+def _near(spark: SparkSession, words: Column) -> Column:
+    """Whether some notice stands in the words to ``MIN_CONTAINED``, row by row; as ``_contained`` has it."""
+    notices = _notices(spark).groupBy("number").agg(F.max("size").alias("size"), F.collect_list("gram").alias("grams")).collect()
+    grams = sorted({gram for notice in notices for gram in notice["grams"]})
+    lengths = sorted({gram.count(" ") + 1 for gram in grams})
+    # One literal each: expressions of a thousand parts would be planned again with every step.
+    every = F.from_json(F.lit(json.dumps(grams)), "array<string>")
+    known = F.from_json(F.lit(json.dumps([notice.asDict() for notice in notices])), "array<struct<size:int,grams:array<string>>>")
+
+    def enough(met: Column) -> Column:
+        shares = F.transform(known, lambda n: F.size(F.array_intersect(n["grams"], met)) / n["size"])
+        return (F.size(met) > 0) & F.exists(shares, lambda share: share >= MIN_CONTAINED)
+
+    # Words and met grams are bound by lambdas, so that nothing computes them again for every gram;
+    # only what stands in any notice is compared with each of them.
+    met = F.transform(F.array(words), lambda w: F.array_intersect(F.concat(*(_grams(w, n) for n in lengths)), every))
+    return F.exists(met, enough)
+
+
 def _runs(docs: DataFrame) -> DataFrame:
-    """``key``, ``run`` and ``lines`` of each run of lines with words that holds a cue.
+    """``key``, ``run`` and ``lines`` of each run of lines with words that holds a cue or may hold a notice.
 
     ``lines`` have their number ``at`` and their ``line``. A line without a letter or digit, such
     as a comment sign alone, ends a run.
@@ -133,7 +166,7 @@ def _runs(docs: DataFrame) -> DataFrame:
     shown = F.transform(
         lines, lambda x: F.when(x["line"].rlike(r"[\p{L}\p{N}]"), F.concat(x["at"].cast("string"), F.lit(":"), x["line"])).otherwise("")
     )
-    wide = docs.where(_cued_across(F.col("text")))
+    wide = docs.where(_marked(F.col("text")))
     runs = wide.select(content_key("id", "text").alias("key"), F.explode(F.split(F.array_join(shown, "\n"), r"\n{2,}")).alias("run"))
     runs = runs.select("key", F.filter(F.split("run", r"\n"), lambda x: x != "").alias("shown"))
     runs = runs.select(
@@ -146,14 +179,18 @@ def _runs(docs: DataFrame) -> DataFrame:
         ).alias("lines"),
     )
     joined = F.array_join(F.transform("lines", lambda x: x["line"]), " ")
-    runs = runs.where(_cued_across(joined))
+    runs = runs.where(_marked(joined))
     return runs.select("key", F.col("lines")[0]["at"].alias("run"), "lines").dropDuplicates(["key", "run"])
 
 
 def _single(runs: DataFrame) -> DataFrame:
-    """``key``, ``run``, ``at``, ``last`` (the same) and ``words`` of each line that holds a cue."""
-    lines = runs.select("key", "run", F.explode("lines").alias("x")).where(_cued(F.col("x.line")))
-    return lines.select("key", "run", F.col("x.at").alias("at"), F.col("x.at").alias("last"), _words(F.col("x.line")).alias("words"))
+    """``key``, ``run``, ``at``, ``last`` (the same), ``cued`` and ``words`` of each line that holds a cue or much of a notice."""
+    lines = runs.select("key", "run", F.explode("lines").alias("x")).where(_marked(F.col("x.line")))
+    found = lines.select(
+        "key", "run", F.col("x.at").alias("at"), F.col("x.at").alias("last"),
+        _cued(F.col("x.line")).alias("cued"), _words(F.col("x.line")).alias("words"),
+    )
+    return found.where(F.col("cued") | _near(runs.sparkSession, F.col("words")))
 
 
 def _notices(spark: SparkSession) -> DataFrame:
@@ -177,7 +214,7 @@ def _contained(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _windows(runs: DataFrame) -> DataFrame:
-    """As ``_single``, for two and more lines of a run that may hold a notice together.
+    """As ``_single``, for two and more lines of a run that hold much of a notice together.
 
     A notice that begins in the first line and ends in the last has all words of the lines
     between, so lines of as many words as the longest notice need not be looked at between them.
@@ -200,7 +237,8 @@ def _windows(runs: DataFrame) -> DataFrame:
     found = ended.select(
         "key", "run", F.col("lines")[0]["at"].alias("at"), F.element_at("lines", F.col("n"))["at"].alias("last"), words.alias("words")
     )
-    return found.where(_cued(F.array_join("words", " ")))
+    found = found.where(_marked(F.array_join("words", " "))).where(_near(runs.sparkSession, F.col("words")))
+    return found.withColumn("cued", F.lit(True))
 
 
 def _training(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -222,6 +260,7 @@ def _training(spark: SparkSession, docs: DataFrame) -> DataFrame:
     taken = line.where(F.col("draw") <= F.lit(last).cast("bigint"))
     drawn = taken.groupBy("draw").agg(F.first("line").alias("line"))
     others = drawn.select(F.lit(UNKNOWN).alias("family"), _words(F.col("line")).alias("words"))
+    others = others.where(~_near(spark, F.col("words")))  # a notice without a cue speaks of nothing else
     return shorter.unionByName(others).withColumn("features", _features(F.col("words")))
 
 
@@ -287,10 +326,11 @@ def _judged(found: DataFrame, model: Model) -> DataFrame:
         best.alias("probability"),
     )
     contained = _contained(found, keys).withColumnRenamed("family", "guess")
-    judged = found.select(*keys).join(guess, keys, "left").join(contained, [*keys, "guess"], "left")
+    judged = found.select(*keys, "cued").join(guess, keys, "left").join(contained, [*keys, "guess"], "left")
     sure = (F.col("probability") >= model.least) & (F.col("contained") >= MIN_CONTAINED)
     return judged.select(
         *keys,
+        "cued",
         "guess",
         F.coalesce("probability", F.lit(0.0)).alias("probability"),
         F.coalesce("contained", F.lit(0.0)).alias("contained"),
@@ -340,7 +380,8 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     rows, (key, text) = shielded(docs, id_col, text_col)
     rows = rows.select(F.col(key).alias("id"), F.col(text).alias("text"))
     runs = stored(_runs(rows), "runs")
-    single = stored(_judged(stored(_single(runs), "paragraphs"), model), "single")
+    single = _judged(stored(_single(runs), "paragraphs"), model)
+    single = stored(single.where(F.col("sure") | F.col("cued")), "single")
     windows = _judged(stored(_windows(runs), "wrapped"), model)
     judged = _chosen(single, windows).select(
         "key",
