@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tests.conftest import values
 from tests.test_plans import plan_of
 from tests.test_sources import GOOD, HEADER
+from tripweave import stored_queries
 from tripweave.operators.changes import snapshot_changes
 from tripweave.operators.rules import RAW_RULES, expectation_report, observed, told
 from tripweave.plans import gold, silver
@@ -238,3 +239,26 @@ def test_files_are_archived_and_bytes_bound_a_batch(spark, tmp_path):
     assert spark.read.schema(TRIPS).parquet(str(tmp_path / "out")).count() == 4
     # The last batch's file is cleaned up by a later run.
     assert len(list((tmp_path / "done").rglob("*.csv"))) >= 3
+
+
+@pytest.mark.parametrize("name", ["stream_on_an_interval", "stream_with_archive", "stream_expectations"])
+def test_files_of_a_streamed_folder_grow_in_number_not_in_size(spark, small, monkeypatch, name):
+    lines = spark.read.parquet(f"{small}/lineitem.parquet").count()
+    write, written = stored_queries._csv, []
+
+    def watched(spark, rows, path=None):
+        path = write(spark, rows, path)
+        written.append(spark.read.options(**csv_options()).csv(path).groupBy(F.input_file_name()).count().toPandas()["count"])
+        return path
+
+    monkeypatch.setattr(stored_queries, "_csv", watched)
+    monkeypatch.setattr(stored_queries, "LINES_IN_FILE", lines // 8, raising=False)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        found = stored_queries.queries()[name](spark, small)
+        assert spark.conf.get("spark.sql.streaming.numRecentProgressUpdates") == "2"
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    trips = load_lineitem_trips(spark, small).count()
+    assert len(written[0]) >= 8 and written[0].max() <= trips // 8 + 100
+    assert trips == (found.count() if name != "stream_expectations" else found.selectExpr("passed + failed").first()[0])

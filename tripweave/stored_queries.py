@@ -20,7 +20,7 @@ from tripweave.sinks import read_dataset, write_dataset, write_partitions
 from tripweave.sources.lineitem_trips import load_lineitem_trips
 from tripweave.sources.trip_files import csv_options, with_ingestion_metadata
 from tripweave.streaming.trip_layers import PERIOD, StreamedLayers, stream_source
-from tripweave.streaming.trip_stream import Intake, start_append, stream_trips, streamed_rule_report
+from tripweave.streaming.trip_stream import REPORTS_KEPT, Intake, start_append, stream_trips, streamed_rule_report
 
 _WALL_CLOCK = trip_schema(zoned=False)
 
@@ -30,6 +30,16 @@ def _silver(spark: SparkSession, folder: str) -> DataFrame:
     return Layers(with_ingestion_metadata(trips, from_files=False))["silver_taxi_trips"]
 
 
+# Line items whose trips make a file of a streamed folder, at most: one task writes it.
+LINES_IN_FILE = 3_000_000
+
+
+def _files(spark: SparkSession, folder: str, least: int) -> int:
+    """In how many files the trips of ``folder`` are written, ``least`` or as many as they fill."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").count()  # from the footers alone
+    return max(least, -(-lines // LINES_IN_FILE))
+
+
 def _csv(spark: SparkSession, rows: DataFrame, path: str | None = None) -> str:
     path = path or scratch_path(spark, "trip-csv")
     rows.write.mode("append").options(**csv_options()).csv(path)
@@ -114,10 +124,17 @@ def streamed_silver(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_expectations(spark: SparkSession, folder: str) -> DataFrame:
     """Raw rule counts from the progress reports of a stream."""
-    path = _csv(spark, load_lineitem_trips(spark, folder).repartition(6))
+    files = _files(spark, folder, 6)
+    path = _csv(spark, load_lineitem_trips(spark, folder).repartition(files))
     stream = observed(stream_trips(spark, path, _WALL_CLOCK, max_files_per_trigger=2), RAW_RULES, "rules")
-    query = start_append(stream, scratch_path(spark, "stream-out"), scratch_path(spark, "stream-log"))
-    query.awaitTermination()
+    kept = spark.conf.get(REPORTS_KEPT)
+    # The session is to keep the report of every batch; one takes a file at least.
+    spark.conf.set(REPORTS_KEPT, str(max(int(kept), files + 1)))
+    try:
+        query = start_append(stream, scratch_path(spark, "stream-out"), scratch_path(spark, "stream-log"))
+        query.awaitTermination()
+    finally:
+        spark.conf.set(REPORTS_KEPT, kept)
     return streamed_rule_report(spark, query, "rules", RAW_RULES, "bronze_taxi_raw")
 
 
@@ -134,13 +151,13 @@ def _streamed(spark: SparkSession, path: str, intake: Intake, every: str | None)
 
 def stream_on_an_interval(spark: SparkSession, folder: str) -> DataFrame:
     """All trips by a stream that looks for files every second, until none is left."""
-    path = _csv(spark, load_lineitem_trips(spark, folder).repartition(4))
+    path = _csv(spark, load_lineitem_trips(spark, folder).repartition(_files(spark, folder, 4)))
     return _streamed(spark, path, Intake(max_files=3), "1 second")
 
 
 def stream_with_archive(spark: SparkSession, folder: str) -> DataFrame:
     """All trips by a stream of bounded batches that moves the files it has read."""
-    path = _csv(spark, load_lineitem_trips(spark, folder).repartition(4))
+    path = _csv(spark, load_lineitem_trips(spark, folder).repartition(_files(spark, folder, 4)))
     return _streamed(spark, path, Intake(max_bytes=1 << 20, archive_to=scratch_path(spark, "archive")), None)
 
 

@@ -14,6 +14,9 @@ from tripweave.operators.rules import REPORT_LAYOUT, Rules, observed_lines
 from tripweave.schemas import TRIPS
 from tripweave.sources.trip_files import csv_options
 
+# Setting for how many progress reports of a stream a session keeps.
+REPORTS_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
+
 
 @dataclass(frozen=True)
 class Intake:
@@ -85,7 +88,7 @@ def streamed_rule_report(spark: SparkSession, query: StreamingQuery, watch: str,
     """Rule counts of a run of ``query``, whose stream is ``observed`` under the name ``watch``.
 
     They come from the progress reports of the run's batches, of which a session keeps the last
-    ``spark.sql.streaming.numRecentProgressUpdates``: a run that has lost some is an error.
+    ``REPORTS_KEPT``: a run that has lost some is an error.
     """
     told = [p for p in query.recentProgress if watch in p.observedMetrics]
     numbers = {p.batchId for p in told}
