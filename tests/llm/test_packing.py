@@ -2,12 +2,15 @@ import struct
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.cases import LAYOUT, no_documents, odd_documents
-from tripweave.llm.packing import CAPACITY, cuts, pack, sequences
+from tripweave.llm import packing
+from tripweave.llm.packing import CAPACITY, TokenIds, cuts, pack, sequences
 from tripweave.llm.queries import op1_harmonic_packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -92,3 +95,37 @@ def test_bins_are_filled_over_tasks(spark):
 
 def test_no_rows(spark):
     assert pack(no_documents(spark), PATH).count() == 0
+
+
+def found_ids(tokens, texts):
+    return [[*np.frombuffer(raw, "<u4")] + [2] for raw in tokens(pa.array(texts, pa.string()))]
+
+
+def test_ids_are_those_of_the_tokenizer(monkeypatch):
+    texts = [
+        None, "", " \t\x0b\n", "Word word, WORD! (word) \"word\".", "it's IT'S 'sam ''s can't!", "...", "a...b ?! --",
+        "J\u030c e\u0301 E\u0301, \u0130stanbul \u00c0\u00d6\u00df\u00ff\u00d7\u00f7 \u212a \u017fs", "x\u00a0y\u2028z \x1c a\x00b", "<|endoftext|> <|ENDOFTEXT|> a<|endoftext|>.",
+        "3.14, +1 a1 1a! \u0661\u0662", "\u4f60\u597d, \U0001f600! \U0001f600a", "Z" * 300 + "!" * 300,
+    ]
+    wanted = [ids_of(text) for text in texts]
+    tokens = TokenIds(PATH)
+    assert found_ids(tokens, texts) == wanted
+    assert found_ids(tokens, texts[::-1]) == wanted[::-1]
+    monkeypatch.setattr(packing, "_CACHED", 3)  # forgets all the time
+    monkeypatch.setattr(packing, "_AT_ONCE", 2)
+    assert found_ids(tokens, texts) == wanted and found_ids(tokens, []) == []
+
+
+def test_a_word_is_tokenized_once_however_it_is_written(monkeypatch):
+    """Words are remembered, not their spellings: more chunks than a worker remembers cost nothing new."""
+    words = ["".join("qz"[i >> bit & 1] for bit in range(5)) for i in range(32)]
+    chunks = [make(word) + sign for word in words for make in (str, str.title, str.upper) for sign in "!?.,;:"]
+    monkeypatch.setattr(packing, "_CACHED", 100)
+    tokens, asked = TokenIds(PATH), []
+    plain = tokens._tokenize
+    monkeypatch.setattr(tokens, "_tokenize", lambda texts: asked.extend(" ".join(texts).split()) or plain(texts))
+    for _ in range(3):
+        for at in range(0, len(chunks), 48):
+            texts = [" ".join(chunks[at : at + 48])]
+            assert found_ids(tokens, texts) == [ids_of(text) for text in texts]
+    assert sorted(asked) == sorted([*words, *"!?.,;:"])

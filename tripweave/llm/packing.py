@@ -14,30 +14,33 @@ grow as squares, so a rest needs five pieces at most.
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import pairwise, repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tripweave.llm.common import blobs, resident, shielded, stored
+from tripweave.llm.common import resident, shielded, stored
 
 CAPACITY = 4096
 END_ID = 2
 SLACK = 0.01
 _END = END_ID.to_bytes(4, "little")
-_CACHED = 600_000  # words and chunks remembered by a Python worker
-_AT_ONCE = 2_000  # words tokenized as one text
-# Letters that lower-casing and normal form NFC treat alone, then ASCII signs.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+_CACHED = 600_000  # words, signs and chunks remembered by a Python worker
+_AT_ONCE = 2_000  # words or signs tokenized as one text
+# Letters that lower-casing and normal form NFC treat alone, and ASCII signs.
+_LETTER, _SIGNS = "[A-Za-zÀ-ÖØ-öø-ÿ]", string.punctuation
+_ONE_KIND = re.compile(f"{_LETTER}+|[{re.escape(_SIGNS)}]+")
 _ROUND = 1 << 61
 
 
@@ -58,7 +61,8 @@ class TokenIds:
     """Token ids of texts as little-endian bytes, by a tokenizer file that drops white space.
 
     White space separates tokens and nothing in this tokenizer reaches across it, so a text's
-    ids are those of its chunks in turn; a worker remembers chunks. New plain words are
+    ids are those of its chunks in turn. A plain chunk is a word, learned in lower case, and the
+    signs behind it; a worker remembers words, signs and other chunks. New words and signs are
     tokenized many at a time and told apart by their last token, which ends a word.
     """
 
@@ -67,68 +71,96 @@ class TokenIds:
         self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.last[number] = token.endswith("</w>")
-        self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        # The ids of the part with number n are those from ends[n] to ends[n + 1].
+        self.known: dict[str, int] = {"": 0}
+        self.ids, self.ends = np.zeros(0, "<u4"), np.zeros(2, np.int64)
 
     def _tokenize(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in found]
 
-    def _learn_words(self, words: list[str]) -> None:
-        for at in range(0, len(words), _AT_ONCE):
-            part = words[at : at + _AT_ONCE]
-            (ids,) = self._tokenize([" ".join(part)])
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) == len(part):
-                raw, start = ids.tobytes(), 0
-                for word, end in zip(part, (4 * ends).tolist(), strict=True):
-                    self.words[word] = raw[start:end]
-                    start = end
-            else:
-                for word, own in zip(part, self._tokenize(part), strict=True):
-                    self.words[word] = own.tobytes()
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        plain, odd, new = {}, [], set()
-        for chunk in chunks:
-            if match := _PLAIN.fullmatch(chunk.decode()):
-                plain[chunk] = parts = (match[1].lower(), match[2])
-                new.update(part for part in parts if part and part not in self.words)
-            else:
-                odd.append(chunk)
-        self._learn_words(list(new))
-        for chunk, (word, signs) in plain.items():
-            self.chunks[chunk] = self.words[word] + (self.words[signs] if signs else b"")
-        for at in range(0, len(odd), _AT_ONCE):
-            part = odd[at : at + _AT_ONCE]
-            for chunk, ids in zip(part, self._tokenize([c.decode() for c in part]), strict=True):
-                self.chunks[chunk] = ids.tobytes()
-
-    def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
-        """The ids of each text; chunks that are new in a group of texts are learned together."""
-        known = self.chunks
+    def _learn(self, parts: list[str], joined: bool) -> None:
+        """Remember new parts; ``joined`` ones are letters or signs only, a word to the tokenizer."""
+        learned, sizes = [self.ids], [np.zeros(0, np.int64)]
+        for at in range(0, len(parts), _AT_ONCE):
+            some = parts[at : at + _AT_ONCE]
+            if joined:
+                (ids,) = self._tokenize([" ".join(some)])
+                ends = np.flatnonzero(self.last[ids]) + 1
+                if len(ends) == len(some):
+                    learned.append(ids)
+                    sizes.append(np.diff(ends, prepend=0))
+                    continue
+            each = self._tokenize(some)
+            learned += each
+            sizes.append(np.array([len(ids) for ids in each], np.int64))
+        first = len(self.known)
+        self.known.update(zip(parts, range(first, first + len(parts)), strict=True))
+        self.ids = np.concatenate(learned)
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))])
+
+    def _numbers(self, parts: list[str]) -> np.ndarray:
+        """The number of each of the different ``parts``, new ones learned."""
+        found = np.fromiter(map(self.known.get, parts, repeat(-1)), np.int64, len(parts))
+        new = np.flatnonzero(found < 0)
+        if len(self.known) + len(new) > _CACHED and len(self.known) > 1:
+            self._forget()
+            return self._numbers(parts)
+        missing = [parts[i] for i in new.tolist()]
+        of_one_kind = [_ONE_KIND.fullmatch(part) is not None for part in missing]
+        for joined in (True, False):
+            self._learn([part for part, one in zip(missing, of_one_kind, strict=True) if one is joined], joined)
+        found[new] = [self.known[part] for part in missing]
+        return found
+
+    def _chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different ``chunks`` one after another, and where each ends."""
+        words = pc.ascii_rtrim(chunks, characters=_SIGNS)
+        plain = pc.match_substring_regex(words, f"^{_LETTER}*$")
+        heads = pc.if_else(plain, pc.utf8_lower(words), chunks)
+        signs = pc.subtract(pc.binary_length(chunks), pc.binary_length(words)).to_numpy()
+        signed = np.flatnonzero(plain.to_numpy(zero_copy_only=False) & (signs > 0))
+        behind = zip(chunks.take(pa.array(signed)).to_pylist(), signs[signed].tolist(), strict=True)
+        tails = pa.array([chunk[-n:] for chunk, n in behind], heads.type)
+        parts = pa.concat_arrays([heads, tails]).dictionary_encode()
+        numbers = self._numbers(parts.dictionary.to_pylist())[parts.indices.to_numpy()]
+        pairs = np.zeros((len(chunks), 2), np.int64)
+        pairs[:, 0], pairs[signed, 1] = numbers[: len(chunks)], numbers[len(chunks) :]
+        ids, ends = _joined(self.ids, self.ends, pairs.ravel())
+        return ids, ends[::2]
+
+    def __call__(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text, a null one as empty; a group's new chunks are learned together."""
         for group in _groups(texts):
-            parts = [text.split() for text in group]
-            new = set(chain.from_iterable(parts)).difference(known)
-            if len(known) + len(new) > _CACHED or len(self.words) > _CACHED:
-                known.clear()
-                self.words.clear()
-                new = set(chain.from_iterable(parts))
-            self._learn(new)
-            for chunks in parts:
-                yield b"".join(map(known.__getitem__, chunks))
-
-
-def _groups(texts: list[bytes], size: int = 1 << 22) -> Iterator[list[bytes]]:
-    group, held = [], 0
-    for text in texts:
-        group.append(text)
-        held += len(text)
-        if held >= size:
-            yield group
-            group, held = [], 0
-    if group:
-        yield group
+            chunks = pc.ascii_split_whitespace(group)
+            coded = chunks.flatten().dictionary_encode()
+            ids, ends = _joined(*self._chunk_ids(coded.dictionary), coded.indices.to_numpy())
+            sizes = pc.list_value_length(chunks).to_numpy()
+            for start, end in pairwise(ends[np.cumsum([0, *sizes])].tolist()):
+                yield ids[start:end].tobytes()
+
+
+def _joined(ids: np.ndarray, ends: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of parts in turn, given by their ``numbers``, and where each part ends, from 0 on."""
+    starts, sizes = ends[numbers], np.diff(ends)[numbers]
+    stops = np.concatenate([[0], np.cumsum(sizes)])
+    places = np.repeat(starts - stops[:-1], sizes)
+    places += np.arange(len(places))
+    return ids[places], stops
+
+
+def _groups(texts: pa.Array, size: int = 1 << 22) -> Iterator[pa.Array]:
+    texts = texts.cast(pa.large_string()).fill_null("")
+    held = np.cumsum(pc.binary_length(texts).to_numpy())
+    at = 0
+    while at < len(texts):
+        before = held[at - 1] if at else 0
+        end = min(int(np.searchsorted(held, before + size)) + 1, len(texts))
+        yield texts[at:end]
+        at = end
 
 
 def _token_ids(path: str) -> TokenIds:
@@ -204,7 +236,7 @@ def pack(
 
         for batch in batches:
             kind, keys, out = batch.schema.field(0).type, batch.column(0).to_pylist(), []
-            for name, raw in zip(keys, ids_of(blobs(batch.column(1))), strict=True):
+            for name, raw in zip(keys, ids_of(batch.column(1)), strict=True):
                 raw += _END
                 total, start = len(raw) // 4, 0
                 for length in cuts(total, capacity, slack):
