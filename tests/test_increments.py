@@ -11,6 +11,7 @@ from tests.conftest import values
 from tests.test_plans import plan_of
 from tests.test_sources import GOOD, HEADER
 from tripweave import stored_queries
+from tripweave.operators import dedupe
 from tripweave.operators.changes import snapshot_changes
 from tripweave.operators.rules import RAW_RULES, expectation_report, observed, told
 from tripweave.plans import gold, silver
@@ -20,6 +21,7 @@ from tripweave.schemas import TRIP_KEY, TRIPS
 from tripweave.sinks import write_dataset, write_partitions
 from tripweave.sources.lineitem_trips import load_lineitem_trips
 from tripweave.sources.trip_files import csv_options, with_ingestion_metadata
+from tripweave.streaming import trip_layers
 from tripweave.streaming.trip_layers import StreamedLayers, stream_source
 from tripweave.streaming.trip_stream import Intake, start_append, stream_trips, streamed_rule_report
 
@@ -262,3 +264,48 @@ def test_files_of_a_streamed_folder_grow_in_number_not_in_size(spark, small, mon
     trips = load_lineitem_trips(spark, small).count()
     assert len(written[0]) >= 8 and written[0].max() <= trips // 8 + 100
     assert trips == (found.count() if name != "stream_expectations" else found.selectExpr("passed + failed").first()[0])
+
+
+def test_streamed_trips_are_shuffled_once(spark, trips_of, tmp_path, monkeypatch):
+    """A batch is stored as it comes, and silver trips cross one shuffle, with columns as they were stored."""
+    layers, plans = StreamedLayers(spark, str(tmp_path / "out"), AS_OF), []
+    write = trip_layers.write_partitions
+
+    def watched(rows, *args, **kwargs):
+        plans.append(plan_of(rows))
+        assert kwargs.get("dealt")
+        return write(rows, *args, **kwargs)
+
+    monkeypatch.setattr(trip_layers, "write_partitions", watched)
+    for mark, days in (("x-0", (1, 2, 3)), ("x-1", (3, 4))):
+        records = [{"tpep_pickup_datetime": dt.datetime(2020, 1, d, h), "tpep_dropoff_datetime": dt.datetime(2020, 1, d, h, 10)} for d in days for h in range(5)]
+        rows = with_ingestion_metadata(trips_of(*records).repartition(4), "", AS_OF, False)
+        layers.take(rows.withColumn("raw_line", F.lit(None).cast("string")), mark)
+    assert len(plans) == 2 and layers.raw().count() == 25 and layers.silver().count() == 20
+    for plan, batches in zip(plans, (["x-0"], ["x-0", "x-1"]), strict=True):
+        assert plan.count("Exchange hashpartitioning") == plan.count("Exchange ") - plan.count("BroadcastExchange ") == 1
+        shuffled = plan[plan.index("Exchange hashpartitioning") :].split("\n")[1]
+        assert "avg_speed_mph" not in shuffled
+        assert all(batch in plan for batch in batches)
+    # One file for each date, though rows came from several tasks.
+    files = list((tmp_path / "out" / "silver_taxi_trips").rglob("*.parquet"))
+    assert len(files) == 4
+
+    # Batches without trips of the renewed dates are not opened.
+    layers.renew([day(4)])
+    assert "x-1" in plans[-1] and "x-0" not in plans[-1]
+    assert layers.silver().count() == 20
+
+
+@pytest.mark.parametrize("size", [10, 40, 1_000_000])
+def test_grouped_deduplication_equals_the_plain_one(spark, monkeypatch, size):
+    """Groups of several parts, a null group, and a key and a null key that hold most rows of a group."""
+    monkeypatch.setattr(dedupe, "ROWS_IN_PART", size)
+    rows = [(g, g * 1000 + (k if k % 3 else 0), k % 7, float(k % 5)) for g in range(4) for k in range(60 * g + 1)]
+    rows += [(9, None, k % 3, None) for k in range(50)] + [(None, k % 9, k, 0.0) for k in range(90)]
+    df = spark.createDataFrame(rows, "g int, k int, a int, b double").repartition(5)
+    wanted = dedupe.keep_first(df, ["g", "k"], ["a", "b"])
+    found = dedupe.keep_first_grouped(df, ["g", "k"], ["a", "b"], "g")
+    assert found.columns == wanted.columns
+    assert sorted(values(found, "*"), key=str) == sorted(values(wanted, "*"), key=str)
+    assert (" LeftAnti" in plan_of(found)) == (size <= 40)

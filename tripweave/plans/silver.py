@@ -31,10 +31,17 @@ def refine_trips(enriched: DataFrame, as_of: datetime | None = None) -> DataFram
 
     Labels and ratios are added after the deduplication, so that its shuffle stays narrow.
     """
-    lineage = [name for name in LINEAGE_TIE_BREAK if name in enriched.columns]
-    unique = keep_first(
-        enriched.filter(~F.col("is_suspicious")), TRIP_KEY, [*TRIP_TIE_BREAK, *lineage]
-    )
+    unique = keep_first(enriched.filter(~F.col("is_suspicious")), TRIP_KEY, tie_break(enriched))
+    return label_trips(unique, as_of)
+
+
+def tie_break(trips: DataFrame) -> list[str]:
+    """The order in which records sharing a key are compared."""
+    return [*TRIP_TIE_BREAK, *(name for name in LINEAGE_TIE_BREAK if name in trips.columns)]
+
+
+def label_trips(unique: DataFrame, as_of: datetime | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The silver columns of unique trips, and the columns ``keep`` as they are."""
     derived = {
         "payment_type_name": code_label("payment_type", PAYMENT_LABELS),
         "rate_code_name": code_label("RatecodeID", RATE_LABELS),
@@ -45,7 +52,7 @@ def refine_trips(enriched: DataFrame, as_of: datetime | None = None) -> DataFram
         "silver_processed_timestamp": stamp(as_of),
     }
     return unique.select(
-        *(derived[n].alias(n) if n in derived else n for n in SILVER_TRIP_COLUMNS)
+        *(derived[n].alias(n) if n in derived else n for n in SILVER_TRIP_COLUMNS), *keep
     )
 
 

@@ -64,6 +64,7 @@ def write_partitions(
     path: str | None = None,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    dealt: bool = False,
 ) -> None:
     """Replace the partitions ``touched`` of a stored dataset, and none but those, by ``df``.
 
@@ -71,13 +72,15 @@ def write_partitions(
     columns, ``column`` first (default: it alone). Each partition is replaced as a whole (of
     several columns: each combination that has rows). Touched values without rows end up empty.
     Their number is meant to be bounded, by the calendar for dates. A folder that is not there
-    yet is made; a table must exist.
+    yet is made; a table must exist. Rows that are ``dealt`` by partition already are not
+    shuffled again.
     """
     if (table is None) == (path is None):
         raise ValueError("give either table or path")
     columns = tuple(partition_by) or (column,)
     watch = Observation()
-    rows = spread(df.observe(watch, F.collect_set(F.col(column).cast("string")).alias("there")), columns)
+    rows = df.observe(watch, F.collect_set(F.col(column).cast("string")).alias("there"))
+    rows = rows if dealt else spread(rows, columns)
     spark = df.sparkSession
     if path is not None:
         writer = rows.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -18,12 +18,14 @@ _USED = (
 # The expressions of the fixture, step by step.
 _HELPERS = """
     l_orderkey AS k; l_partkey AS p; l_suppkey AS sup; l_linenumber AS ln; l_quantity AS q;
-    floor(l_extendedprice / 1000) AS e; l_shipdate AS d;
-    ((l_orderkey * 7 + l_linenumber * 5) % 24) * 3600 + (l_partkey % 60) * 60 AS pick_s;
-    CASE WHEN l_partkey % 83 = 0 THEN 0 WHEN l_partkey % 79 = 0 THEN -300
-        WHEN l_partkey % 73 = 0 AND l_orderkey % 2 = 0 THEN 10800
-        WHEN l_partkey % 73 = 0 THEN 12000
-        ELSE (5 + (l_orderkey + l_partkey) % 60) * 60 + (l_orderkey % 4) * 15 END AS dur_s
+    floor(l_extendedprice / 1000) AS e; l_shipdate AS d
+"""
+_SECONDS = """
+    ((k * 7 + ln * 5) % 24) * 3600 + (p % 60) * 60 AS pick_s;
+    CASE WHEN p % 83 = 0 THEN 0 WHEN p % 79 = 0 THEN -300
+        WHEN p % 73 = 0 AND k % 2 = 0 THEN 10800
+        WHEN p % 73 = 0 THEN 12000
+        ELSE (5 + (k + p) % 60) * 60 + (k % 4) * 15 END AS dur_s
 """
 _BASE = """
     int(CASE WHEN p % 97 <> 0 THEN sup % 2 + 1 END) AS VendorID;
@@ -64,19 +66,23 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     Trips are the output of a generator, so filters on trips stay above it instead of being
     rewritten over the line items, which would repeat the expressions in every filter.
     """
+    return _trips(lineitem.selectExpr(*_HELPERS.split(";")))
+
+
+def _trips(used: DataFrame) -> DataFrame:
     return (
-        lineitem.selectExpr(*_HELPERS.split(";"))
+        used.selectExpr("*", *_SECONDS.split(";"))
         .selectExpr("p", f"struct({_BASE.replace(';', ',')}) AS trip")
         .selectExpr(f"inline({_COPIES}) AS (trip, surplus)")
         .selectExpr(*(f"{_FINAL.get(n, f'trip.{n}')} AS {n}" for n in TRIPS.names))
     )
 
 
-def load_lineitem_trips(spark: SparkSession, folder: str) -> DataFrame:
-    """Trips of a folder's ``lineitem`` table, dealt over all cores.
+def load_lineitem_trips(spark: SparkSession, folder: str, only: str = "true") -> DataFrame:
+    """Trips of a folder's ``lineitem`` table, dealt over all cores; ``only`` of some line items.
 
     The given tables are files of one row group, which one task reads: what follows would run
     on one core up to its first shuffle. Trip files do not need this; it belongs to the fixture.
     """
-    used = spark.read.parquet(f"{folder}/lineitem.parquet").select(*_USED)
-    return trips_from_lineitem(used.repartition("l_orderkey", "l_linenumber"))
+    lineitem = spark.read.parquet(f"{folder}/lineitem.parquet").select(*_USED).filter(only)
+    return _trips(lineitem.selectExpr(*_HELPERS.split(";")).repartition("k", "ln"))

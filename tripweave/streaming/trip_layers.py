@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tripweave.operators.dedupe import keep_first_grouped
 from tripweave.operators.rules import (
     ENRICHED_RULES,
     RAW_RULES,
@@ -28,12 +29,13 @@ from tripweave.operators.rules import (
 from tripweave.plans import bronze, silver
 from tripweave.session import scratch_path
 from tripweave.sinks import write_dataset, write_partitions
-from tripweave.schemas import TRIPS
+from tripweave.schemas import TRIP_KEY, TRIPS
 from tripweave.sources.trip_files import FITS_LAYOUT, RAW_LINE, csv_options, with_ingestion_metadata
 from tripweave.streaming.trip_stream import Intake
 
-# Partition columns of the stored layers; not part of the datasets.
+# Columns by which layers are stored; not part of the datasets.
 PERIOD, BATCH = "period", "batch"
+_LISTED = "bronze_taxi_raw_periods"
 _ARRIVAL = {**RAW_RULES, **FITS_LAYOUT}
 
 
@@ -57,7 +59,8 @@ class StreamedLayers:
 
     One stream at a time may feed a folder. ``as_of`` fixes the clock columns. Layers are stored
     by ``period``, named by its first date: a day, or where days have few trips a month. Of
-    a period that a batch touches, all silver trips are renewed.
+    a period that a batch touches, all silver trips are renewed. Raw trips stay as a batch brings
+    them, in a folder a batch; the periods of every batch are listed beside them.
     """
 
     spark: SparkSession
@@ -87,7 +90,7 @@ class StreamedLayers:
         take their columns from there.
         """
         path = scratch_path(self.spark, "batch")
-        batch.write.parquet(path)
+        batch.write.option("compression", "zstd").parquet(path)
         landed = self.spark.read.schema(batch.schema).parquet(path)
         raw = apply_expectations(landed, RAW_RULES).drop(RAW_LINE)
         enriched = bronze.enrich_trips(raw, self.as_of)
@@ -97,9 +100,12 @@ class StreamedLayers:
         write_dataset(counts.coalesce(1), path=f"{self.path('rule_counts')}/{BATCH}={mark}")
         broken = rejected_rows(landed, _ARRIVAL)
         write_dataset(broken, path=f"{self.path('bronze_taxi_rejected')}/{BATCH}={mark}")
-        rows = enriched.select(*raw.columns, self._period().alias(PERIOD), F.lit(mark).alias(BATCH))
-        touched = [row[0] for row in rows.select(PERIOD).distinct().collect()]  # bounded by the calendar
-        write_partitions(rows, PERIOD, touched, path=self.path("bronze_taxi_raw"), partition_by=(PERIOD, BATCH))
+        rows = enriched.select(*raw.columns, self._period().alias(PERIOD))
+        write_dataset(rows, path=f"{self.path('bronze_taxi_raw')}/{BATCH}={mark}")
+        periods = rows.select(PERIOD).distinct()
+        touched = [row[0] for row in periods.collect()]  # bounded by the calendar
+        listed = self.spark.createDataFrame([(each,) for each in touched], periods.schema).coalesce(1)
+        write_dataset(listed, path=f"{self.path(_LISTED)}/{BATCH}={mark}")
         self.renew(sorted(touched))
         return sorted(touched)
 
@@ -107,10 +113,15 @@ class StreamedLayers:
         """Silver trips of the periods ``touched``, from all raw trips of these periods."""
         if not touched:
             return
-        trips = self.raw().filter(F.col(PERIOD).isin(touched)).drop(PERIOD, BATCH)
-        refined = silver.refine_trips(bronze.enrich_trips(trips, self.as_of), self.as_of)
-        kept = apply_expectations(refined, SILVER_RULES).withColumn(PERIOD, self._period())
-        write_partitions(kept, PERIOD, touched, path=self.path("silver_taxi_trips"))
+        listed = self._stored(_LISTED).filter(F.col(PERIOD).isin(touched)).select(BATCH).distinct()
+        batches = [row[0] for row in listed.collect()]
+        trips = self.raw().filter(F.col(BATCH).isin(batches) & F.col(PERIOD).isin(touched)).drop(BATCH)
+        plain = bronze.enrich_trips(trips, self.as_of).filter(~F.col("is_suspicious")).select(*trips.columns)
+        # What follows from other columns is derived once more behind the shuffle, instead of crossing it.
+        unique = keep_first_grouped(plain, TRIP_KEY, silver.tie_break(plain), PERIOD)
+        refined = silver.label_trips(bronze.enrich_trips(unique, self.as_of), self.as_of, (PERIOD,))
+        kept = apply_expectations(refined, SILVER_RULES)
+        write_partitions(kept, PERIOD, touched, path=self.path("silver_taxi_trips"), dealt=True)
 
     def _period(self) -> Column:
         return F.date_trunc(self.period, "pickup_date").cast("date")
@@ -120,7 +131,7 @@ class StreamedLayers:
         return stored.withColumn(PERIOD, F.col(PERIOD).cast("date"))
 
     def raw(self) -> DataFrame:
-        """The raw layer with its partition columns; filters on the period open its folders only."""
+        """The raw layer with the period and the batch of every trip; filters on the batch open its folder only."""
         return self._stored("bronze_taxi_raw")
 
     def silver(self) -> DataFrame:
