@@ -66,3 +66,40 @@ def test_odd_rows(spark):
     even = weaklabel.train(no_documents(spark))
     rows = docs.select(weaklabel.scored(F.col("text"), even, spark).alias("r")).collect()
     assert {(r.r.posterior, r.r.score) for r in rows} == {(None, 0.5)}
+
+
+def test_workers_hold_few_texts_and_words():
+    """Of a batch only some texts at a time, and a bounded number of remembered words."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    column = pa.array([None, *(f"{k:05d}" * 1000 for k in range(4000))], pa.string())
+    tracemalloc.start()
+    found = [(len(body), body[:5]) for body in weaklabel.bodies(column)]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(0, b""), *((5000, b"%05d" % k) for k in range(4000))]
+    assert most < 5_000_000
+    buckets = weaklabel._Buckets()
+    alone = {b"w%d" % k: weaklabel._Buckets()[b"w%d" % k] for k in range(0, 300_000, 1000)}
+    for k in range(300_000):
+        word = b"w%d" % k
+        assert buckets[word] == alone.get(word, buckets[word]) and len(buckets) <= 1 << 17
+
+
+def test_batches_of_many_texts(spark, monkeypatch):
+    """Each text of a batch is trained on and judged once, in its place."""
+    texts = [f"Text number {k} of {k % 7} with some Words, and a few ### more." for k in range(700)] + [None]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    seen, plain = [], weaklabel._gradient
+    monkeypatch.setattr(weaklabel, "_gradient", lambda frame, *rest: seen.append(frame) or plain(frame, *rest))
+    scorer = weaklabel.train(docs, steps=2)
+    wanted = sorted([len(weaklabel.features((t or "").encode())[0]) for t in texts])
+    assert sorted(len(r["at"]) for r in seen[0].collect()) == wanted
+    rows = docs.select("doc_id", weaklabel.scored(F.col("text"), scorer, spark).alias("r")).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        body = (texts[row.doc_id] or "").encode()
+        mark = weaklabel.votes(body)
+        assert (row.r.votes, row.r.posterior, row.r.score) == (mark, scorer.posteriors[mark], scorer(body))

@@ -26,6 +26,9 @@ BUCKETS = 1 << 15
 SAMPLE = 20_000
 EM_ROUNDS = 50
 STEPS = 40
+# What a Python worker holds at a time: texts of a batch, and remembered words.
+TEXTS = 256
+WORDS = 1 << 17
 _SIGNS = bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 127))
 _DIGITS = b"0123456789"
 _UPPER = bytes(range(65, 91))
@@ -119,7 +122,7 @@ class _Buckets(dict):
     def __missing__(self, word: bytes) -> int:
         shape = _RUNS.sub(rb"\1\1", word.translate(_SHAPE))
         found = zlib.crc32(b"w" + word.lower()) % BUCKETS * BUCKETS + zlib.crc32(b"s" + shape) % BUCKETS
-        if len(self) > 500_000:
+        if len(self) >= WORDS:
             self.clear()
         self[word] = found
         return found
@@ -141,12 +144,18 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return at, values / np.linalg.norm(values)
 
 
+def bodies(column: pa.Array) -> Iterator[bytes]:
+    """``blobs`` of a column, with the bytes of ``TEXTS`` texts in memory beside it, not of all."""
+    for at in range(0, len(column), TEXTS):
+        yield from blobs(column.slice(at, TEXTS))
+
+
 def voted(text: Column) -> Column:
     """The votes on a text; a null text is an empty one."""
 
     @F.arrow_udf("string")
     def vote(texts: pa.Array) -> pa.Array:
-        return pa.array([votes(t) for t in blobs(texts)], pa.string())
+        return pa.array([votes(t) for t in bodies(texts)], pa.string())
 
     return vote(text)
 
@@ -180,7 +189,7 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, steps:
     picked = picked.groupBy("draw").agg(F.first("text").alias("text"))
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+        for part in (batch.slice(at, TEXTS) for batch in batches for at in range(0, batch.num_rows, TEXTS)):
             texts = blobs(part.column(0))
             pairs = [features(t) for t in texts]
             yield pa.record_batch(
@@ -229,14 +238,17 @@ def _gradient(prepared: DataFrame, weights: np.ndarray, bias: float) -> np.ndarr
 def scored(text: Column, scorer: Scorer, session) -> Column:
     """``votes``, the ``posterior`` of the votes (null for votes never met) and the ``score``."""
     shared = session.sparkContext.broadcast(scorer)
-    kind = pa.struct([("votes", pa.string()), ("posterior", pa.float64()), ("score", pa.float64())])
 
     @F.arrow_udf("struct<votes:string,posterior:double,score:double>")
     def judge(texts: pa.Array) -> pa.Array:
-        own, out = shared.value, []
-        for body in blobs(texts):
-            mark = votes(body)
-            out.append({"votes": mark, "posterior": own.posteriors.get(mark), "score": own(body)})
-        return pa.array(out, kind)
+        own, marks, scores = shared.value, [], []
+        for body in bodies(texts):
+            marks.append(votes(body))
+            scores.append(own(body))
+        posteriors = pa.array([own.posteriors.get(mark) for mark in marks], pa.float64())
+        return pa.StructArray.from_arrays(
+            [pa.array(marks, pa.string()), posteriors, pa.array(scores, pa.float64())],
+            names=["votes", "posterior", "score"],
+        )
 
     return judge(text)
